@@ -6,23 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import host_rules, pii
+from . import host_rules, pii, resampling, sentencepieces, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.digest(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(spark, table(spark, sf_dir, "documents")))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = host_rules.host_rules(spark, table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def queries() -> dict[str, Query]:
-    own = (op3_pii, op9_host_rules)
+    own = (op2_sentencepiece, op3_pii, op4_toxicity, op7_resampling, op9_host_rules)
     return {f.__name__: f for f in own}
 
 
