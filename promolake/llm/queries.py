@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import host_rules, pii, resampling, sentencepieces, toxicity
+from . import decontamination, host_rules, jaccard_join, line_dedup, pii, resampling, sentencepieces, suffix_runs, suffix_tree, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("th")
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.digest(spark, table(spark, sf_dir, "documents"))
 
@@ -24,17 +28,36 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(spark, table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.deduplicated(spark, table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op7_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_runs.removed(spark, table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = host_rules.host_rules(spark, table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes_of(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    own = (op2_sentencepiece, op3_pii, op4_toxicity, op7_resampling, op9_host_rules)
+    own = (
+        op1_decontamination, op2_sentencepiece, op3_pii, op4_toxicity, op5_suffix_tree, op6_line_dedup,
+        op7_resampling, op8_suffix_runs, op9_host_rules, op10_jaccard_join,
+    )
     return {f.__name__: f for f in own}
 
 

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import arrow_schema
 
@@ -228,7 +229,7 @@ def encode(spark: SparkSession, docs: DataFrame, model: str = DEFAULT_MODEL, tex
     """All columns of docs with ids (array of int) and n_byte_pieces."""
     pieces = spark.sparkContext.broadcast(load(spark, model))
     keep = [c for c in docs.columns if c not in ("ids", "n_byte_pieces")]
-    schema = docs.select(*keep).schema.add("ids", "array<int>").add("n_byte_pieces", "bigint")
+    schema = docs.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType())).add("n_byte_pieces", T.LongType())
 
     def run(batches):
         p = pieces.value

@@ -49,8 +49,8 @@ class Inputs:
         self.word = (distinct % np.uint64(WORD_BUCKETS)).astype(np.int64)
         at = np.zeros(len(distinct), np.int64)
         at[self.codes[::-1]] = np.arange(len(self.codes))[::-1]
-        s, n = s[at], np.minimum((e - s)[at], 24)
-        self.lengths = n
+        s, n = s[at], (e - s)[at]
+        self.lengths = np.minimum(n, 24)
         owner = np.repeat(np.arange(len(n)), n)
         pos = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
         c = buf[(s[owner] + pos)].astype(np.uint64)
