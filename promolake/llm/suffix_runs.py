@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Shelf, arrow_schema, chunks, signed, small_enough, utf8
+from .common import Shelf, arrow_schema, chunks, signed, utf8
 from .words import byte_sums, mix, span_hash
 
 LENGTH, GRAM, GROUP = 200, 100, 2000
@@ -233,7 +233,7 @@ def spans_of(spark: SparkSession, docs: DataFrame, shelf: Shelf) -> tuple[DataFr
     rows = shelf.put(measured(docs), "rows")
     all_ = rows.select("uid", F.explode(F.arrays_zip("a", "f", "s", "e")).alias("x")).select("x.a", "x.f", "uid", "x.s", "x.e")
     # anchors that occur more than once, then their occurrences
-    repeated = all_.groupBy("a").agg(F.count("*").alias("times")).filter("times > 1").select("a")
+    repeated = shelf.put(all_.groupBy("a").agg(F.count("*").alias("times")).filter("times > 1").select("a"), "repeated")
     found = shelf.put(all_.join(repeated, "a", "left_semi"), "found")
     kinds = found.groupBy("a", "f").agg(F.count("*").alias("times"), F.min(F.struct("uid", "s", "e")).alias("one"))
     kinds = shelf.put(kinds, "kinds")
@@ -256,8 +256,7 @@ def spans_of(spark: SparkSession, docs: DataFrame, shelf: Shelf) -> tuple[DataFr
 
 def _joined(docs: DataFrame, per: DataFrame) -> DataFrame:
     """docs with the columns of per, by doc_id and th; of rows that repeat, each one gets every row of per."""
-    side = F.broadcast(per) if small_enough(per, BROADCAST_ROWS // 4) else per
-    right = side.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
+    right = per.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
     return docs.join(right, (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id", "_th")
 
 
