@@ -92,7 +92,7 @@ class RunIndex:
         while same[-1] < n - 1 and k < 2 * top:
             key = rank << 32
             key[:-k] |= rank[k:] + 1
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             same = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
             rank = np.empty(n, np.int64)
             rank[order] = same
@@ -133,8 +133,8 @@ class RunIndex:
     def marked(self, length: int) -> list[np.ndarray]:
         """Of each fragment, the positions from which `length` bytes also stand elsewhere."""
         hit = np.flatnonzero(self.statistics() >= length)
-        own = np.searchsorted(self.first, hit, "right") - 1
-        return [hit[own == k] - self.first[k] for k in range(len(self.first) - 1)] if len(hit) else [hit] * (len(self.first) - 1)
+        cut = np.searchsorted(hit, self.first)
+        return [hit[a:b] - f for a, b, f in zip(cut[:-1].tolist(), cut[1:].tolist(), self.first.tolist(), strict=False)]
 
 
 _MEASURED = "uid bigint, doc_id bigint, th bigint, n_bytes bigint, sha string, a array<bigint>, f array<bigint>, s array<int>, e array<int>"
