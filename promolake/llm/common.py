@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 #: Bytes of text that a Python worker holds as numpy arrays at once.
 CHUNK_BYTES = 2_000_000
+#: Rows of an Arrow batch, unless the session has its own number: whole texts make wide rows.
+BATCH_ROWS = 1_000
 #: Rows of a small side that may be broadcast; beyond it a shuffle join is used.
 BROADCAST_ROWS = 200_000
 
@@ -35,6 +37,13 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the default number of rows of an Arrow batch, so that workers hold a few MB of text at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 class Shelf:
     """Tables that one run of an operator writes to the shared folder.
 
@@ -42,6 +51,7 @@ class Shelf:
     step needs are dropped early; the rest goes when the application ends, as lazy results may read them."""
 
     def __init__(self, spark: SparkSession, name: str):
+        bounded_batches(spark)
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         atexit.register(self._close)
 

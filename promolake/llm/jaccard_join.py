@@ -12,7 +12,8 @@ Rarity is by a sketch of fixed size that counts every shingle of every document,
 do not make long lists.  Pairs in a list must be of fitting size, and the parity of their shingles in 256 groups, which
 bounds their difference from below, must allow a link; that test is exact in what it drops.  First each list's pairs
 with one member are verified and components built; then all other pairs of different components, each pair at its
-first shared shingle only.  Sets of what is left are compared exactly.  No list and no group is ever collected.
+first shared shingle only.  What is left is tested by parity in more groups than shingles, and then set by set.  No list
+and no group is ever collected.
 
 Nulls and edges: null and blank texts have an empty set and link with nothing; fewer words than SHINGLE make one
 shingle; equal texts always share a class; rows with null doc_id have their class's component; a class of null ids only
@@ -59,6 +60,25 @@ class Sets:
         return [(odd[:, k].astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64) for k in range(4)]
 
 
+    def fine_parity(self) -> list[bytes]:
+        """The same in the least power of two of groups that is twice the size; halves of groups add up to coarser ones."""
+        out = []
+        for m, a, b in zip(self.size.tolist(), self.first[:-1].tolist(), self.first[1:].tolist(), strict=True):
+            bits = max(8, (2 * m - 1).bit_length())
+            group = (self.mixed[a:b] >> np.uint64(64 - bits)).astype(np.int64)
+            out.append(np.packbits((np.bincount(group, minlength=1 << bits) & 1).astype(np.uint8)).tobytes())
+        return out
+
+
+def differ_by(x: bytes, y: bytes) -> int:
+    """A lower bound of the number of shingles that only one of two sets has."""
+    while len(x) != len(y):
+        long = np.unpackbits(np.frombuffer(max(x, y, key=len), np.uint8)).reshape(-1, 2)
+        folded = np.packbits(long[:, 0] ^ long[:, 1]).tobytes()
+        x, y = min(x, y, key=len), folded
+    return (int.from_bytes(x, "big") ^ int.from_bytes(y, "big")).bit_count()
+
+
 def slot(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - 18)).astype(np.int64)
 
@@ -67,7 +87,7 @@ def prefix_size(n: np.ndarray) -> np.ndarray:
     return n + (-PERCENT * n) // 100 + 1
 
 
-_MEASURED = "doc_id bigint, n bigint, id bigint, p0 bigint, p1 bigint, p2 bigint, p3 bigint, block int, part int, counts binary"
+_MEASURED = "doc_id bigint, n bigint, id bigint, p0 bigint, p1 bigint, p2 bigint, p3 bigint, fine binary, block int, part int, counts binary"
 
 
 def measured(docs: DataFrame, k: int) -> DataFrame:
@@ -83,9 +103,9 @@ def measured(docs: DataFrame, k: int) -> DataFrame:
                 s = Sets(texts[i:j], k)
                 sketch += np.bincount(slot(s.hash), minlength=SLOTS)
                 null = [pa.nulls(j - i, t) for t in (pa.int32(), pa.int32(), pa.binary())]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(s.size), pa.array(signed(s.id)), *[pa.array(signed(p)) for p in s.parity()], *null], names=names)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(s.size), pa.array(signed(s.id)), *[pa.array(signed(p)) for p in s.parity()], pa.array(s.fine_parity(), pa.binary()), *null], names=names)
         blocks = range(SLOTS // BLOCK)
-        cols = [pa.nulls(len(blocks), pa.int64()) for _ in range(7)] + [pa.array(list(blocks), pa.int32()), pa.array([part] * len(blocks), pa.int32()), pa.array([sketch[x * BLOCK : (x + 1) * BLOCK].tobytes() for x in blocks], pa.binary())]
+        cols = [pa.nulls(len(blocks), pa.int64()) for _ in range(7)] + [pa.nulls(len(blocks), pa.binary()), pa.array(list(blocks), pa.int32()), pa.array([part] * len(blocks), pa.int32()), pa.array([sketch[x * BLOCK : (x + 1) * BLOCK].tobytes() for x in blocks], pa.binary())]
         yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return docs.mapInArrow(run, arrow_schema(_MEASURED))
@@ -166,6 +186,15 @@ def with_sets(docs: DataFrame, k: int) -> DataFrame:
 
 def _verified(shelf: Shelf, docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
+    side = lambda c: classes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("fine").alias(f"f{c}"))
+    wide = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "fa", "fb")
+
+    def near(batches):
+        for b in batches:
+            ok = [differ_by(x, y) * (100 + PERCENT) <= (n + m) * (100 - PERCENT) for n, m, x, y in zip(*(b.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    pairs = shelf.put(wide.mapInArrow(near, arrow_schema("a bigint, b bigint")), "near")
     needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     ids = shelf.put(classes.join(needed, "id", "left_semi").select(F.col("doc_id")), "needed")
     at = ids.filter("doc_id is not null")
@@ -195,7 +224,7 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFr
     rows = shelf.put(measured(docs, k), "rows")
     sketch = spark.sparkContext.broadcast(add_up(shelf, rows.filter("block is not null")))
     rows = rows.filter("block is null")
-    classes = shelf.put(rows.filter("n > 0").groupBy("id", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), *[F.first(f"p{x}").alias(f"p{x}") for x in range(4)]), "classes")
+    classes = shelf.put(rows.filter("n > 0").groupBy("id", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), *[F.first(f"p{x}").alias(f"p{x}") for x in range(4)], F.first("fine").alias("fine")), "classes")
     mean = classes.agg(F.avg("copies")).first()[0]
     lists = shelf.put(keyed(docs.select("text"), k, sketch, boundary_of(mean or 1.0)), "keyed")
     # light: a set and a subset of a larger one, or two equal ones, have equal hashes; sizes must differ by one
@@ -204,10 +233,11 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFr
     few = subset.join(both, "key", "left_semi")
     own = few.filter("n < 18").alias("l").join(few.alias("r"), F.expr("l.key = r.key and r.n = l.n + 1 and 100 * l.n >= 90 * r.n"))
     light = own.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
-    # heavy: keys that two classes share
-    listed = lists.select("id", F.explode("keys").alias("key"))
-    shared = listed.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x <> y")
-    entries = shelf.put(listed.join(shared.select("key"), "key", "left_semi").distinct(), "entries")
+    # heavy: keys that two classes share; two entries of sizes that do not fit are no pair
+    listed = lists.select("id", "n", F.explode("keys").alias("key"))
+    shared = listed.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("times"), F.min("n").alias("low"), F.max("n").alias("high"))
+    shared = shelf.put(shared.filter(f"x <> y and not (times = 2 and 100 * low < {PERCENT} * high)").select("key"), "shared")
+    entries = shelf.put(listed.select("id", "key").join(shared, "key", "left_semi").distinct(), "entries")
     attributes = classes.select("id", "n", "p0", "p1", "p2", "p3")
     entries_n = shelf.put(entries.join(attributes, "id"), "entries")
     centre = entries_n.groupBy("key").agg(F.min_by(F.struct("id", "n", "p0", "p1", "p2", "p3"), F.xxhash64("id")).alias("c")).select("key", "c.*")
@@ -216,15 +246,17 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFr
     links = shelf.put(light.unionByName(_verified(shelf, docs, classes, pairs, k)).distinct(), "links")
     first = shelf.put(components(shelf, links), "components")
     # all pairs of different components that fit, at their first shared key; pairs that the stars have tried are known
-    keys = entries.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
-    rest = entries_n.join(keys, "id").join(first, F.col("id") == F.col("node"), "left").select("id", "n", "p0", "p1", "p2", "p3", "key", "keys", F.coalesce("root", "id").alias("root"))
-    mixed = rest.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
+    rest = entries_n.join(first, F.col("id") == F.col("node"), "left").select("id", "n", "p0", "p1", "p2", "p3", "key", F.coalesce("root", "id").alias("root"))
+    rest = shelf.put(rest, "rest")
+    mixed = shelf.put(rest.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key"), "mixed")
     rest = shelf.put(rest.join(mixed, "key", "left_semi"), "rest")
+    keys = rest.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    rest = rest.join(keys, "id")
     apart = (F.col("l.key") == F.col("r.key")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.root") != F.col("r.root")) & _fits("l", "r")
     once = F.element_at(F.array_intersect("l.keys", "r.keys"), 1) == F.col("l.key")
     more = rest.alias("l").join(rest.alias("r"), apart & once).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
     more = shelf.put(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    shelf.drop(rest, entries, lists)
+    shelf.drop(entries, lists)
     links = shelf.put(links.unionByName(_verified(shelf, docs, classes, more, k)), "links")
     roots = components(shelf, links)
     named = classes.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
@@ -236,7 +268,7 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFr
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """Of each component the row with the least doc_id (of repeated ids one row); rows with an empty set all stay."""
+    """Of each component the rows with the least doc_id; rows with an empty set or without doc_id all stay."""
     found = classes_of(spark, docs, k)
     keep = found.filter("n_shingles = 0 or doc_id = component_id or doc_id is null").select("doc_id").distinct()
     kept = docs.join(keep, docs.doc_id.cast("bigint").eqNullSafe(keep.doc_id), "left_semi")
