@@ -5,8 +5,8 @@ compared over all documents; equal ones form one class.  Two classes link when t
 Every line is split into EDITS + 1 segments, and the index holds each segment by its content, number and the line's
 length: of EDITS edits one segment at least is spared, so a line within reach has an equal substring at a fitting
 place.  A line probes the index of its own and of up to EDITS smaller lengths with the substrings that the positions
-of the remaining edits allow on both sides.  Pairs whose characters differ too much in number (parity in 24 groups, a
-lower bound) fall out in the join; the others are verified by banded bit-parallel edit distance.  Of all lines that
+of the remaining edits allow on both sides.  Pairs whose characters or pairs of characters differ too much in number
+(parity in 24 and 64 groups, lower bounds) fall out in the join; the others are verified by banded bit-parallel edit distance.  Of all lines that
 links connect, the first (by doc_id and line number) stays; the others go from their texts.
 
 Nulls and edges: null and blank texts have no lines and come back as they are; shorter lines stay; a null doc_id comes
@@ -58,11 +58,17 @@ class Lines:
         sums = running(weight)
         self.hash = span_hash(sums, first[:-1], first[1:])
         if not keys or not len(lines):
-            self.index, self.probes = np.zeros((len(lines), 0), np.uint64), np.zeros((len(lines), 0), np.uint64)
+            self.index, self.probes, self.pairs = np.zeros((len(lines), 0), np.uint64), np.zeros((len(lines), 0), np.uint64), np.zeros(len(lines), np.uint64)
             return
         group = (mix(points.astype(np.uint64)) % np.uint64(24)).astype(np.int64)
         odd = np.bincount(np.repeat(np.arange(len(n)), n) * 24 + group, minlength=24 * len(n)).reshape(-1, 24) & 1
         parity = (odd << np.arange(24)).sum(1).astype(np.uint64)
+        #: Parity of the pairs of neighbouring characters, of which an edit changes four at most.
+        owner = np.repeat(np.arange(len(n)), n)
+        two = np.flatnonzero(owner[1:] == owner[:-1])
+        group = (mix(points[two].astype(np.uint64) << np.uint64(32) | points[two + 1]) >> np.uint64(58)).astype(np.int64)
+        odd = np.bincount(owner[two] * 64 + group, minlength=64 * len(n)).reshape(-1, 64) & 1
+        self.pairs = (odd.astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64)
 
         def key(start: np.ndarray, size: np.ndarray, length: np.ndarray, i: int) -> np.ndarray:
             h = mix(span_hash(sums, start, start + size) ^ (length.astype(np.uint64) * np.uint64(0x9E3779B1) + np.uint64(i)))
@@ -103,7 +109,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame, edits: int) -> DataFrame:
-    """h, index and probe keys of the lines, each line once in a batch."""
+    """h, parity of pairs, index and probe keys of the lines, each line once in a batch."""
 
     def run(batches):
         for b in batches:
@@ -111,9 +117,9 @@ def keyed(docs: DataFrame, edits: int) -> DataFrame:
                 distinct = list(dict.fromkeys(r[2] for r in rows))
                 x = Lines(distinct, edits)
                 lists = [pa.FixedSizeListArray.from_arrays(pa.array(signed(k.ravel())), k.shape[1]).cast(pa.list_(pa.int64())) if len(distinct) else pa.array([], pa.list_(pa.int64())) for k in (x.index, x.probes)]
-                yield pa.RecordBatch.from_arrays([pa.array(signed(x.hash)), *lists], names=["h", "index", "probes"])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(x.hash)), pa.array(signed(x.pairs)), *lists], names=["h", "pairs", "index", "probes"])
 
-    return docs.select("text").mapInArrow(run, arrow_schema("h bigint, index array<bigint>, probes array<bigint>"))
+    return docs.select("text").mapInArrow(run, arrow_schema("h bigint, pairs bigint, index array<bigint>, probes array<bigint>"))
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -197,13 +203,15 @@ def _verified(shelf: Shelf, docs: DataFrame, found: DataFrame, pairs: DataFrame,
 def pairs_of(shelf: Shelf, docs: DataFrame, edits: int) -> DataFrame:
     """Candidate pairs (a < b) of line hashes."""
     keys = shelf.put(keyed(docs, edits), "keys")
-    part = lambda c: keys.select("h", F.explode(c).alias("k")).select("h", F.shiftrightunsigned("k", 24).alias("key"), "k")
-    index = keys.select("h", F.explode("index").alias("k")).distinct().select("h", F.shiftrightunsigned("k", 24).alias("key"), "k")
-    probe = part("probes").filter("k <> 0")
-    differ = F.bit_count(F.col("l.k").bitwiseXOR(F.col("r.k")).bitwiseAND(F.lit(0xFFFFFF)))
-    fits = (F.col("l.key") == F.col("r.key")) & (F.col("l.h") != F.col("r.h")) & (differ <= 2 * edits)
-    found = index.alias("l").join(probe.alias("r"), fits)
-    return shelf.put(found.select(F.least("l.h", "r.h").alias("a"), F.greatest("l.h", "r.h").alias("b")).distinct(), "pairs")
+    part = lambda c: keys.select("h", "pairs", F.explode(c).alias("k"))
+    keyed_by = lambda rows: rows.select("h", "pairs", F.shiftrightunsigned("k", 24).alias("key"), "k")
+    index, probe = keyed_by(part("index").distinct()), keyed_by(part("probes").filter("k <> 0"))
+    differ = F.bit_count(F.col("l.k").bitwiseXOR(F.col("r.k")).bitwiseAND(F.lit(0xFFFFFF))) <= 2 * edits
+    differ &= F.bit_count(F.col("l.pairs").bitwiseXOR(F.col("r.pairs"))) <= 4 * edits
+    found = index.alias("l").join(probe.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.h") != F.col("r.h")) & differ)
+    out = shelf.put(found.select(F.least("l.h", "r.h").alias("a"), F.greatest("l.h", "r.h").alias("b")).distinct(), "pairs")
+    shelf.drop(keys)
+    return out
 
 
 def removals(spark: SparkSession, docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
