@@ -11,8 +11,8 @@ scanned for pairs.  The boundary is where enumerating gets dearer than scanning
 Rarity is by a sketch of fixed size that counts every shingle of every document, so passages that many documents share
 do not make long lists.  Pairs in a list must be of fitting size, and the parity of their shingles in 256 groups, which
 bounds their difference from below, must allow a link; that test is exact in what it drops.  First each list's pairs
-with one member are verified and components built; then all other pairs of different components, each pair at its
-first shared shingle only.  What is left is tested by parity in more groups than shingles, and then set by set.  No list
+with one member (and lists of two) are verified and components built; then all other pairs of different components, in
+long lists each pair at its first shared shingle only.  What is left is tested by parity in more groups than shingles, and then set by set.  No list
 and no group is ever collected.
 
 Nulls and edges: null and blank texts have an empty set and link with nothing; fewer words than SHINGLE make one
@@ -34,6 +34,8 @@ from .words import Words, mix, shingles
 SHINGLE, PERCENT = 3, 90
 SLOTS, BLOCK = 1 << 18, 1 << 12
 LIGHT_FROM, MOST_LIGHT = 9, 18
+#: Members of a list from which on a pair is taken at its first long list only.
+LONG = 8
 _SALT, _SUBSET = np.uint64(0x632BE59BD9B4E019), np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -233,28 +235,32 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFr
     few = subset.join(both, "key", "left_semi")
     own = few.filter("n < 18").alias("l").join(few.alias("r"), F.expr("l.key = r.key and r.n = l.n + 1 and 100 * l.n >= 90 * r.n"))
     light = own.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
-    # heavy: keys that two classes share; two entries of sizes that do not fit are no pair
+    # heavy: keys that two classes share; a list of two entries is one pair, without scanning
     listed = lists.select("id", "n", F.explode("keys").alias("key"))
     shared = listed.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("times"), F.min("n").alias("low"), F.max("n").alias("high"))
-    shared = shelf.put(shared.filter(f"x <> y and not (times = 2 and 100 * low < {PERCENT} * high)").select("key"), "shared")
-    entries = shelf.put(listed.select("id", "key").join(shared, "key", "left_semi").distinct(), "entries")
+    shared = shelf.put(shared.filter("x <> y"), "shared")
+    twos = shared.filter(f"times = 2 and 100 * low >= {PERCENT} * high").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    entries = shelf.put(listed.select("id", "key").join(shared.filter("times > 2").select("key"), "key", "left_semi").distinct(), "entries")
     attributes = classes.select("id", "n", "p0", "p1", "p2", "p3")
+    side = lambda c: attributes.select(*[F.col(x).alias(c if x == "id" else x) for x in attributes.columns])
+    twos = twos.join(side("a").alias("l"), "a").join(side("b").alias("r"), "b").filter(_fits("l", "r")).select("a", "b")
     entries_n = shelf.put(entries.join(attributes, "id"), "entries")
     centre = entries_n.groupBy("key").agg(F.min_by(F.struct("id", "n", "p0", "p1", "p2", "p3"), F.xxhash64("id")).alias("c")).select("key", "c.*")
     star = entries_n.alias("l").join(centre.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.id") != F.col("r.id")) & _fits("l", "r"))
-    pairs = shelf.put(star.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct(), "pairs")
+    star = star.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
+    pairs = shelf.put(star.unionByName(twos).distinct(), "pairs")
     links = shelf.put(light.unionByName(_verified(shelf, docs, classes, pairs, k)).distinct(), "links")
     first = shelf.put(components(shelf, links), "components")
     # all pairs of different components that fit, at their first shared key; pairs that the stars have tried are known
     rest = entries_n.join(first, F.col("id") == F.col("node"), "left").select("id", "n", "p0", "p1", "p2", "p3", "key", F.coalesce("root", "id").alias("root"))
     rest = shelf.put(rest, "rest")
-    mixed = shelf.put(rest.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key"), "mixed")
-    rest = shelf.put(rest.join(mixed, "key", "left_semi"), "rest")
-    keys = rest.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
-    rest = rest.join(keys, "id")
+    mixed = rest.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), (F.count("*") > LONG).alias("long")).filter("x <> y").select("key", "long")
+    rest = shelf.put(rest.join(shelf.put(mixed, "mixed"), "key"), "rest")
+    keys = rest.filter("long").groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    rest = rest.join(keys, "id", "left")
     apart = (F.col("l.key") == F.col("r.key")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.root") != F.col("r.root")) & _fits("l", "r")
-    once = F.element_at(F.array_intersect("l.keys", "r.keys"), 1) == F.col("l.key")
-    more = rest.alias("l").join(rest.alias("r"), apart & once).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    once = ~F.col("l.long") | (F.element_at(F.array_intersect("l.keys", "r.keys"), 1) == F.col("l.key"))
+    more = rest.alias("l").join(rest.alias("r"), apart & once).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
     more = shelf.put(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
     shelf.drop(entries, lists)
     links = shelf.put(links.unionByName(_verified(shelf, docs, classes, more, k)), "links")
