@@ -240,7 +240,7 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFr
     shared = listed.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("times"), F.min("n").alias("low"), F.max("n").alias("high"))
     shared = shelf.put(shared.filter("x <> y"), "shared")
     twos = shared.filter(f"times = 2 and 100 * low >= {PERCENT} * high").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-    entries = shelf.put(listed.select("id", "key").join(shared.filter("times > 2").select("key"), "key", "left_semi").distinct(), "entries")
+    entries = listed.select("id", "key").join(shared.filter("times > 2").select("key"), "key", "left_semi").distinct()
     attributes = classes.select("id", "n", "p0", "p1", "p2", "p3")
     side = lambda c: attributes.select(*[F.col(x).alias(c if x == "id" else x) for x in attributes.columns])
     twos = twos.join(side("a").alias("l"), "a").join(side("b").alias("r"), "b").filter(_fits("l", "r")).select("a", "b")
@@ -253,7 +253,6 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFr
     first = shelf.put(components(shelf, links), "components")
     # all pairs of different components that fit, at their first shared key; pairs that the stars have tried are known
     rest = entries_n.join(first, F.col("id") == F.col("node"), "left").select("id", "n", "p0", "p1", "p2", "p3", "key", F.coalesce("root", "id").alias("root"))
-    rest = shelf.put(rest, "rest")
     mixed = rest.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), (F.count("*") > LONG).alias("long")).filter("x <> y").select("key", "long")
     rest = shelf.put(rest.join(shelf.put(mixed, "mixed"), "key"), "rest")
     keys = rest.filter("long").groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
@@ -262,11 +261,11 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFr
     once = ~F.col("l.long") | (F.element_at(F.array_intersect("l.keys", "r.keys"), 1) == F.col("l.key"))
     more = rest.alias("l").join(rest.alias("r"), apart & once).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
     more = shelf.put(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    shelf.drop(entries, lists)
+    shelf.drop(lists)
     links = shelf.put(links.unionByName(_verified(shelf, docs, classes, more, k)), "links")
     roots = components(shelf, links)
     named = classes.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
-    named = shelf.put(named.select("id", "n", "doc_id", "root"), "named")
+    named = named.select("id", "n", "doc_id", "root")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     each = named.join(least, "root").select("id", "n", "component_id")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "id", "n").join(each, ["id", "n"], "left")
