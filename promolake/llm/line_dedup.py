@@ -30,6 +30,17 @@ from .words import mix, running, span_hash
 MIN_CHARS, EDITS = 40, 2
 _SPACE = " \t\n\x0b\x0c\r"
 _CODE = np.random.default_rng(41).integers(1, 1 << 63, 4096, dtype=np.uint64) | np.uint64(1)
+_GROUP = (_CODE >> np.uint64(20)).astype(np.int64) % 24
+_LEFT, _RIGHT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+def _of_point(points: np.ndarray, table: np.ndarray, of_rare) -> np.ndarray:
+    """Table values of characters; those beyond the table by their mixed number."""
+    out = table[np.minimum(points, len(table) - 1)]
+    rare = np.flatnonzero(points >= len(table))
+    if len(rare):
+        out[rare] = of_rare(mix(points[rare].astype(np.uint64)))
+    return out
 
 
 def lines_of(text: str | None) -> list[tuple[int, str]]:
@@ -54,20 +65,20 @@ class Lines:
         points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
         n = np.fromiter(map(len, lines), np.int64, len(lines))
         first = np.concatenate([[0], np.cumsum(n)])
-        weight = np.where(points < 4096, _CODE[np.minimum(points, 4095)], mix(points.astype(np.uint64)))
+        weight = _of_point(points, _CODE, lambda p: p)
         sums = running(weight)
         self.hash = span_hash(sums, first[:-1], first[1:])
         if not keys or not len(lines):
             self.index, self.probes, self.pairs = np.zeros((len(lines), 0), np.uint64), np.zeros((len(lines), 0), np.uint64), np.zeros(len(lines), np.uint64)
             return
-        group = (mix(points.astype(np.uint64)) % np.uint64(24)).astype(np.int64)
-        odd = np.bincount(np.repeat(np.arange(len(n)), n) * 24 + group, minlength=24 * len(n)).reshape(-1, 24) & 1
+        owner = np.repeat(np.arange(len(n)), n)
+        group = _of_point(points, _GROUP, lambda p: (p % np.uint64(24)).astype(np.int64))
+        odd = np.bincount(owner * 24 + group, minlength=24 * len(n)).reshape(-1, 24) & 1
         parity = (odd << np.arange(24)).sum(1).astype(np.uint64)
         #: Parity of the pairs of neighbouring characters, of which an edit changes four at most.
-        owner = np.repeat(np.arange(len(n)), n)
-        two = np.flatnonzero(owner[1:] == owner[:-1])
-        group = (mix(points[two].astype(np.uint64) << np.uint64(32) | points[two + 1]) >> np.uint64(58)).astype(np.int64)
-        odd = np.bincount(owner[two] * 64 + group, minlength=64 * len(n)).reshape(-1, 64) & 1
+        within_line = owner[1:] == owner[:-1]
+        group = ((weight[:-1] * _LEFT + weight[1:] * _RIGHT) >> np.uint64(58)).astype(np.int64)
+        odd = np.bincount((owner[:-1] * 64 + group)[within_line], minlength=64 * len(n)).reshape(-1, 64) & 1
         self.pairs = (odd.astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64)
 
         def key(start: np.ndarray, size: np.ndarray, length: np.ndarray, i: int) -> np.ndarray:
@@ -204,11 +215,12 @@ def pairs_of(shelf: Shelf, docs: DataFrame, edits: int) -> DataFrame:
     """Candidate pairs (a < b) of line hashes."""
     keys = shelf.put(keyed(docs, edits), "keys")
     part = lambda c: keys.select("h", "pairs", F.explode(c).alias("k"))
-    keyed_by = lambda rows: rows.select("h", "pairs", F.shiftrightunsigned("k", 24).alias("key"), "k")
-    index, probe = keyed_by(part("index").distinct()), keyed_by(part("probes").filter("k <> 0"))
+    index, probe = part("index").distinct(), part("probes").filter("k <> 0")
     differ = F.bit_count(F.col("l.k").bitwiseXOR(F.col("r.k")).bitwiseAND(F.lit(0xFFFFFF))) <= 2 * edits
     differ &= F.bit_count(F.col("l.pairs").bitwiseXOR(F.col("r.pairs"))) <= 4 * edits
-    found = index.alias("l").join(probe.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.h") != F.col("r.h")) & differ)
+    # the key is part of k and not a column of its own, as that would be shuffled too
+    same = F.shiftrightunsigned("l.k", 24) == F.shiftrightunsigned("r.k", 24)
+    found = index.alias("l").join(probe.alias("r"), same & (F.col("l.h") != F.col("r.h")) & differ)
     out = shelf.put(found.select(F.least("l.h", "r.h").alias("a"), F.greatest("l.h", "r.h").alias("b")).distinct(), "pairs")
     shelf.drop(keys)
     return out

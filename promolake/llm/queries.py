@@ -61,5 +61,23 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in own}
 
 
+#: The measures, the beta prior by moments and the verdicts of op9 in SQL.
+_HOST_RULES = r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
+x AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+g AS (SELECT r, i, word || ' ' || lead(word, 1) OVER p || ' ' || lead(word, 2) OVER p AS gram FROM x WINDOW p AS (PARTITION BY r ORDER BY i)),
+rep AS (SELECT r, count(DISTINCT place) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS c FROM g WHERE gram IS NOT NULL) WHERE c > 1) GROUP BY r),
+l AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+m AS (SELECT w.doc_id, w.source, CAST(len(w.words) AS BIGINT) AS n_words, CAST(length(regexp_replace(w.t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+ CAST(length(w.t) - length(regexp_replace(w.t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(l.n_lines, 0) AS n_lines, coalesce(l.n_dup_lines, 0) AS n_dup_lines, coalesce(rep.n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN l USING (r) LEFT JOIN rep USING (r)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR n_symbols > 0.5 * n_words OR n_dup_lines > 0.5 * n_lines AS failed FROM m),
+h AS (SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (failed) AS DOUBLE) AS k FROM f WHERE source IS NOT NULL GROUP BY source),
+p AS (SELECT least(greatest(sum(k) / sum(n), 1e-6), 1 - 1e-6) AS mean FROM h),
+s AS (SELECT any_value(mean) AS mean, avg(power(k / n - mean, 2) - mean * (1 - mean) / n) AS spread FROM h, p),
+z AS (SELECT mean, CASE WHEN spread > 0 THEN least(greatest(mean * (1 - mean) / spread - 1, 1), 10000) ELSE 10000 END AS size FROM s),
+v AS (SELECT source, (k + mean * size) / (n + size) <= 0.5 AS ok FROM h, z)
+SELECT f.doc_id, f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words, f.base_failed, NOT f.base_failed AND coalesce(v.ok, TRUE) AS kept FROM f LEFT JOIN v ON f.source = v.source"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_host_rules": _HOST_RULES}

@@ -577,3 +577,50 @@ def test_components(spark):
     got = {r.node: r.root for r in components(Shelf(spark, "test"), spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {x: find(x) for p in links if p[0] != p[1] for x in p}
     assert components(Shelf(spark, "test"), spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+# --- SQL and the pipeline ------------------------------------------------------------------------------------------
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_host_rules_match_sql(spark):
+    import duckdb
+
+    from promolake.llm.queries import oracle_sql, queries
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for name, sql in oracle_sql().items():
+        df = queries()[name](spark, SF)
+        want = con.execute(sql)
+        names = [d[0] for d in want.description]
+        assert names == df.columns
+        assert Counter(map(tuple, df.collect())) == Counter(want.fetchall())
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names, rows = docs.columns, docs.count()
+    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    shelf = Shelf(spark, "test")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = shelf.put(stage(spark, docs, SF), name)
+        assert after.columns == names
+        assert {r.doc_id for r in after.select("doc_id").collect()} <= ids
+        assert after.count() <= rows
+        docs, rows = after, after.count()
+    kept = {r.doc_id: r.text for r in docs.collect()}
+    assert len(kept) > 0.5 * len(ids)
+    # what the stages promise, by plain code: one of each class of near copies, no item of the benchmark, no repeated line
+    left = [(i, t) for i, t in kept.items()]
+    assert all(i == c for (i, n, c) in _plain_components(left))
+    bench = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert not any(b in (t or "") for b in bench for t in kept.values())
+    seen = Counter(s for t in kept.values() for _, s in line_dedup.lines_of(t))
+    assert max(seen.values()) == 1
+    out = corpus_pipeline.run(spark, SF).collect()
+    assert {r.doc_id for r in out} == set(kept)
+    assert all(r.text == (kept[r.doc_id] or "") and r.n_tokens == len(r.ids) for r in out)
