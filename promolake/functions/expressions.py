@@ -119,9 +119,10 @@ def normalize_money(c: Text) -> Column:
 
 
 def clean_ad_text(c: Text) -> Column:
-    """No-break spaces as spaces, runs of blanks as one, at most one empty line between others."""
-    out = F.regexp_replace(F.replace(text(c), F.lit(" "), F.lit(" ")), "\n{3,}", "\n\n")
-    return strip(F.regexp_replace(out, " {2,}", " "))
+    """Without calls to fill in forms and lone labels; runs of blanks as one, at most one empty line between others."""
+    out = F.regexp_replace(F.replace(text(c), F.lit("\u00a0"), F.lit(" ")), r"(?im)get\s+coupon|Fill in your information below[^.]*\.|^\s*Coupon\s+|^\s*Offer\s*\n", "")
+    out = F.regexp_replace(out, r"(?im)^(Shop|Online|Choose|Offer|Coupon|Print)\s*$", "")
+    return strip(F.regexp_replace(F.regexp_replace(out, "\n{3,}", "\n\n"), "[ \t]{2,}", " "))
 
 
 def first_sentence(c: Text) -> Column:
@@ -129,7 +130,7 @@ def first_sentence(c: Text) -> Column:
 
 
 def sentences(c: Text) -> Column:
-    return F.filter(F.transform(F.split(text(c), r"(?<=[.!?])\s+|\s\?\s|\n+"), strip), lambda s: s != "")
+    return F.filter(F.transform(F.split(text(c), r"[.!?]\s+|\s\?\s|\n+"), strip), lambda s: s != "")
 
 
 def shortened(c: Column, most: int = 150, least: int = 50) -> Column:

@@ -101,7 +101,7 @@ def review_lookup(rows: DataFrame, reviews: DataFrame, name: str = "business_nam
 
 def not_covered(legacy: DataFrame, current: DataFrame, name: str = "business_name") -> DataFrame:
     """Legacy rows whose plain name neither contains nor is part of a current one; distinct names meet, not rows."""
-    a = legacy.select(E.plain_name(name).alias("_a")).distinct()
+    a = legacy.select(E.plain_name(name).alias("_a")).distinct().filter("_a <> ''")  # a row without a name is not covered
     b = current.select(E.plain_name(name).alias("_b")).distinct()
     covered = a.join(b, F.col("_a").contains(F.col("_b")) | F.col("_b").contains(F.col("_a")), "left_semi")
     return legacy.withColumn("_a", E.plain_name(name)).join(covered, "_a", "left_anti").drop("_a")
