@@ -23,8 +23,8 @@ from .common import BROADCAST_ROWS, Shelf, small_enough
 WINDOW, LEAST_WINDOW, LEAST_LITERALS, SHARE = 8, 5, 4, 0.5
 # Units that count as such after a number.
 UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "lb", "lbs", "oz", "l", "ml", "s", "sec", "min", "h", "hr", "hrs", "hours", "minutes", "seconds", "days", "weeks", "years", "miles", "mile", "feet", "ft", "inches", "inch", "meters", "metres", "km/h", "mph", "dollars", "euros", "cents", "usd", "eur", "percent", "%")
-_NUMBER = r"(?<![^\s(\[$€£+\-])[$€£]?[+\-]?[0-9]+(?:[.,:/][0-9]+)*%?"
-_NAME = r"(?<=[\p{Ll},;] )\p{Lu}\p{Ll}+"
+_NUMBER = r"(?=[$€£+\-0-9])(?<![^\s(\[$€£+\-])[$€£]?[+\-]?[0-9]+(?:[.,:/][0-9]+)*%?"
+_NAME = r"\p{Lu}(?<=[\p{Ll},;] \p{Lu})\p{Ll}+"  # the capital first, as few characters are one
 _SPACE = r"[\x20\x09-\x0D]+"
 NUM, UNIT, NAME = "⟨num⟩", "⟨unit⟩", "⟨name⟩"
 _UNIT = f"(?<={NUM} )(?:" + "|".join(u.replace("/", r"\/") for u in sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{N}])"
@@ -42,10 +42,20 @@ def template(text: Column) -> Column:
     return F.filter(F.split(F.lower(marked), " "), lambda w: w != "")
 
 
-def window_hashes(words: Column, size: int) -> Column:
-    """Hash of each window of `size` words, from hashes of the words."""
-    h = F.transform(words, lambda w: F.xxhash64(w))
-    return F.when(F.size(words) >= size, F.transform(F.sequence(F.lit(1), F.size(words) - size + 1), lambda i: F.xxhash64(F.slice(h, i, size)))).otherwise(F.array().cast("array<bigint>"))
+def word_hashes(docs: DataFrame, text: str = "text") -> DataFrame:
+    """All columns but the text, with h: hashes of the template's words.
+
+    They go through a generator of one row, so that they are computed once and not again for every window."""
+    names = [c for c in docs.columns if c not in (text, "h")]
+    return docs.select(*names, F.explode(F.array(F.transform(template(F.col(text)), lambda w: F.xxhash64(w)))).alias("h"))
+
+
+def window_hashes(h: Column, size: int) -> Column:
+    """Hash of each window of `size` words, from a column with the hashes of the words.
+
+    The words are read one by one, as a slice would copy the whole array for each window."""
+    n = F.size(h)
+    return F.when(n >= size, F.transform(F.sequence(F.lit(0), n - size), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)]))).otherwise(F.array().cast("array<bigint>"))
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
@@ -66,8 +76,8 @@ def found_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     side = windows.select("h", "item", "at", "of_item")
     side = F.broadcast(side) if small_enough(side, BROADCAST_ROWS) else side
     sizes = [r[0] for r in windows.select("size").distinct().collect()]  # WINDOW - LEAST_WINDOW + 1 numbers at most
-    words = docs.withColumn("words", template(F.col("text")))
-    parts = [words.select("doc_id", "th", F.posexplode(window_hashes(F.col("words"), n)).alias("place", "h")) for n in sorted(sizes)]
+    words = word_hashes(docs.filter("text is not null"))
+    parts = [words.select("doc_id", "th", F.posexplode(window_hashes(F.col("h"), n)).alias("place", "h")) for n in sorted(sizes)]
     out = None
     for p in parts:
         p = p.join(side, "h").select("doc_id", "th", "item", "at", "place", "of_item")
