@@ -57,8 +57,8 @@ def kpis(offers: DataFrame, ads: DataFrame) -> DataFrame:
     names = offers.select("business_name").unionByName(ads.select("business_name")).distinct().agg(F.count("*").alias("competitors"))
     o = offers.agg(F.count("*").alias("promotions"), count_if(E.filled("discount_value")).alias("with_discount"))
     a = ads.agg(F.count("*").alias("ads"))
-    one = [x.withColumn("_one", F.lit(1)) for x in (o, a, names)]
-    out = one[0].join(F.broadcast(one[1]), "_one").join(F.broadcast(one[2]), "_one")
+    parts = o.unionByName(a, allowMissingColumns=True).unionByName(names, allowMissingColumns=True)
+    out = parts.agg(*[F.max(c).alias(c) for c in ("promotions", "with_discount", "ads", "competitors")])
     share = F.when(F.col("promotions") > 0, F.round(F.col("with_discount") / F.col("promotions") * 100).cast("bigint"))
     return out.select("promotions", "ads", "competitors", F.lit(len(R.TARGET_CITIES)).alias("cities"), "with_discount", share.alias("discount_percent"))
 
@@ -71,12 +71,11 @@ def spotlight(offers: DataFrame, order: list[str], n: int = 3) -> DataFrame:
 
 def gap_matrix(offers: DataFrame) -> DataFrame:
     """Competitors by category and target city, class and first three names; only categories with any."""
-    cats, cities = dimension(offers, "category", R.GAP_CATEGORIES), dimension(offers, "city", R.TARGET_CITIES).withColumnRenamed("ord", "city_ord")
     city = F.trim(E.text("city"))
     seen = offers.filter(E.truthy("category") & (city != "")).groupBy("category", city.alias("city")).agg(F.array_sort(F.collect_set("business_name")).alias("names"))
     names = F.coalesce("names", F.array().cast("array<string>"))
-    # twenty-one cells, so the two dimensions may meet row by row
-    cells = F.broadcast(cats.withColumn("_one", F.lit(1)).join(cities.withColumn("_one", F.lit(1)), "_one").drop("_one"))
+    grid_ = [(i, c, j, t) for i, c in enumerate(R.GAP_CATEGORIES) for j, t in enumerate(R.TARGET_CITIES)]
+    cells = F.broadcast(offers.sparkSession.createDataFrame(grid_, "ord int, category string, city_ord int, city string"))
     out = cells.join(seen, ["category", "city"], "left").withColumn("n", F.size(names).cast("bigint"))
     out = out.withColumn("in_category", F.max("n").over(Window.partitionBy("category"))).filter("in_category > 0")
     heads = F.transform(F.slice(names, 1, 3), lambda s: F.split_part(s, F.lit(" "), F.lit(1)))
