@@ -9,7 +9,7 @@ the inverted lists of its n - ceil(0.9 n) + 1 rarest shingles, of which linked s
 scanned for pairs.  The boundary is where enumerating gets dearer than scanning and verifying (`boundary_of`).
 
 Rarity is by a sketch of fixed size that counts every shingle of every document, so passages that many documents share
-do not make long lists.  Pairs in a list must be of fitting size, and the parity of their shingles in 256 groups, which
+do not make long lists; among shingles that the sketch does not tell apart, longer ones come first.  Pairs in a list must be of fitting size, and the parity of their shingles in 256 groups, which
 bounds their difference from below, must allow a link; that test is exact in what it drops.  First each list's pairs
 with one member (and lists of two) are verified and components built; then all other pairs of different components, in
 long lists each pair at its first shared shingle only.  What is left is tested by parity in more groups than shingles, and then set by set.  No list
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, Shelf, arrow_schema, chunks, signed, small_enough, utf8
 from .components import components
-from .words import Words, mix, shingles
+from .words import Words, mix, shingle_sizes, shingles
 
 SHINGLE, PERCENT = 3, 90
 SLOTS, BLOCK = 1 << 18, 1 << 12
@@ -43,12 +43,14 @@ class Sets:
     """Distinct shingles of some texts, in order of text and hash."""
 
     def __init__(self, texts: list[bytes], k: int):
-        doc, h = shingles(Words(texts), k)
+        words = Words(texts)
+        doc, h = shingles(words, k)
         order = np.lexsort((h, doc))
+        self.length = shingle_sizes(words, k)[order]
         doc, h = doc[order], h[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-        self.doc, self.hash = doc[new], h[new]
+        self.doc, self.hash, self.length = doc[new], h[new], self.length[new]
         self.size = np.bincount(self.doc, minlength=len(texts))
         self.first = np.concatenate([[0], np.cumsum(self.size)])
         self.mixed = mix(self.hash ^ _SALT)
@@ -61,7 +63,6 @@ class Sets:
         odd = np.bincount(self.doc * 256 + group, minlength=len(self.size) * 256).reshape(-1, 4, 64) & 1
         return [(odd[:, k].astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64) for k in range(4)]
 
-
     def fine_parity(self) -> list[bytes]:
         """The same in the least power of two of groups that is twice the size; halves of groups add up to coarser ones."""
         out = []
@@ -157,7 +158,7 @@ def keyed(docs: DataFrame, k: int, sketch, boundary: int) -> DataFrame:
             texts = utf8(b.column(0))
             for i, j in chunks([len(t) for t in texts]):
                 s = Sets(texts[i:j], k)
-                order = np.lexsort((s.hash, freq[slot(s.hash)], s.doc))
+                order = np.lexsort((s.hash, -s.length, freq[slot(s.hash)], s.doc))
                 rank = np.arange(len(order)) - s.first[:-1][s.doc]
                 take = (rank < prefix_size(s.size)[s.doc]) & (s.size[s.doc] >= boundary)
                 keys, owner = signed(s.hash[order][take]), s.doc[take]
@@ -224,7 +225,9 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFr
     shelf = Shelf(spark, "jaccard_join")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = shelf.put(measured(docs, k), "rows")
-    sketch = spark.sparkContext.broadcast(add_up(shelf, rows.filter("block is not null")))
+    counts = add_up(shelf, rows.filter("block is not null"))
+    # slots near the mean tell nothing about a single shingle; there the longer one counts as the rarer
+    sketch = spark.sparkContext.broadcast(np.where(counts > 2 * counts.mean(), counts, 0))
     rows = rows.filter("block is null")
     classes = shelf.put(rows.filter("n > 0").groupBy("id", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), *[F.first(f"p{x}").alias(f"p{x}") for x in range(4)], F.first("fine").alias("fine")), "classes")
     mean = classes.agg(F.avg("copies")).first()[0]

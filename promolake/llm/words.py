@@ -100,3 +100,13 @@ def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
         d = doc[i]
         out[i] = combine([h[j : j + 1] for j in range(first[d], first[d] + n[d])])[0] ^ np.uint64(n[d])
     return doc, out
+
+
+def shingle_sizes(words: Words, k: int) -> np.ndarray:
+    """Bytes of the words of each run, in the order of shingles()."""
+    n, first = words.counts, words.first
+    ends = np.concatenate([[0], np.cumsum(words.ends - words.starts)])
+    each = np.where(n >= k, n - k + 1, (n > 0).astype(np.int64))
+    doc = np.repeat(np.arange(len(n)), each)
+    at = np.arange(len(doc)) - np.repeat(np.cumsum(each) - each, each) + first[:-1][doc]
+    return ends[at + np.minimum(k, n[doc])] - ends[at]
