@@ -190,15 +190,19 @@ def amount(c: Text) -> Column:
     return F.when(v.startswith("free") | (v == ""), F.lit(None).cast("double")).otherwise(n)
 
 
-def discount_bucket(c: Text) -> Column:
-    """The bar of the histogram; null for no discount."""
-    v, n = F.trim(F.lower(text(c))), amount(c)
+def bucket_of(v: Column, n: Column) -> Column:
+    """The bar of a trimmed, lower-cased discount and its amount; null for no discount."""
     return (
         F.when(v == "", F.lit(None)).when(v.startswith("free"), "Free").when(v.contains("%"), "%").when(n.isNull(), "Other")
         .when(n <= 10, "≤$10").when(n <= 25, "$11–25").when(n <= 50, "$26–50").otherwise("$50+")
     )
 
 
+def discount_bucket(c: Text) -> Column:
+    """The bar of the histogram; null for no discount."""
+    return bucket_of(F.trim(F.lower(text(c))), amount(c))
+
+
 def discount_score(c: Text) -> Column:
     """Order of the spotlight."""
     v = F.trim(F.lower(text(c)))

@@ -42,7 +42,10 @@ def count_by_city(offers: DataFrame) -> DataFrame:
 
 def discount_buckets(offers: DataFrame) -> DataFrame:
     """Bars in their order, zeros included; amounts that are no numbers are not shown."""
-    n = offers.groupBy(E.discount_bucket("discount_value").alias("bucket")).agg(F.count("*").alias("n"))
+    # equal discounts meet first, so that each is read once
+    each = offers.groupBy("discount_value").agg(F.count("*").alias("times"))
+    each = each.select(F.trim(F.lower(E.text("discount_value"))).alias("v"), E.amount("discount_value").alias("a"), "times")
+    n = each.groupBy(E.bucket_of(F.col("v"), F.col("a")).alias("bucket")).agg(F.sum("times").alias("n"))
     dim = dimension(offers, "bucket", R.DISCOUNT_BUCKETS)
     return F.broadcast(dim).join(n, "bucket", "left").select("ord", "bucket", F.coalesce("n", F.lit(0)).alias("n"))
 
