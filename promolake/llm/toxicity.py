@@ -250,18 +250,19 @@ def train(rows: list[tuple[str | None, int]], rounds: int = 600, seed: int = 1)
         half[labels == y] = np.arange((labels == y).sum()) % 2
     found, parts = [], []
     for t, y in rows:
-        i = Inputs([t])
-        found.append((np.unique(i.word), np.unique(i.gram), bool(y)))
+        i = Inputs([t])  # one text at a time, as only its distinct buckets are kept
+        found.append((np.unique(i.word).astype(np.int32), np.unique(i.gram).astype(np.int32), bool(y)))
     tables = {k: tuple(log_odds([f for f, h in zip(found, half, strict=True) if h != k], w, s) for w, s in ((0, WORD_BUCKETS), (1, CHAR_BUCKETS))) for k in (0, 1, -1)}
     r = np.random.default_rng(seed)
     vectors, index, wanted, base, per_doc = [], [], [], 0, []
     for k in (0, 1):
         mine = np.flatnonzero(half == k)
-        for a, b in chunks([len(rows[i][0]) for i in mine], 4_000_000):
+        for a, b in chunks([len(rows[i][0]) for i in mine], 500_000):
             some = mine[a:b]
             inputs = Inputs([rows[i][0] for i in some])
             v = inputs.vectors(*tables[k])
             doc, win = inputs.windows()
+            del inputs  # many times the size of what is kept
             evidence = np.maximum(v[win, 0], v[win, 1]).max(1) + r.random(len(win)) * 1e-3
             order = np.lexsort((-evidence, doc))
             rank = np.arange(len(order)) - np.searchsorted(doc[order], doc[order])
@@ -271,15 +272,14 @@ def train(rows: list[tuple[str | None, int]], rounds: int = 600, seed: int = 1)
             vectors.append(v)
             index.append(win[take] + base)
             wanted.append(labels[some][doc[take]])
-            per_doc.append((some, inputs, v))
+            per_doc.append((some, doc, win, v))
             base += len(v)
     x, i, y = np.concatenate(vectors), np.concatenate(index), np.concatenate(wanted).astype(np.float32)
     network = Network()
     network.fit(x, i, y, rounds)
     tops, ys = [], []
-    for some, inputs, v in per_doc:
-        doc, win = inputs.windows()
-        logit = np.concatenate([network.forward(v, win[k : k + 16_384]) for k in range(0, len(win), 16_384)])
+    for some, doc, win, v in per_doc:
+        logit = np.concatenate([network.forward(v, win[k : k + 4096]) for k in range(0, len(win), 4096)])
         tops.append(top_two(doc, logit, len(some)))
         ys.append(labels[some])
     top = _logistic(np.concatenate(tops), np.concatenate(ys))
