@@ -391,3 +391,37 @@ def resolve_url(base, src) -> Column:
         F.when(s == "", F.lit(None)).when(s.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), s).when(s.startswith("//"), F.concat(F.split_part(root, F.lit("//"), F.lit(1)), s))
         .when(s.startswith("/"), F.concat(root, s)).otherwise(F.concat(F.regexp_replace(folder, "/+$", ""), F.lit("/"), s))
     )
+
+# Phrases that say nothing about an offer, and products in the order in which they are looked for.
+SUMMARY_NOISE = [
+    r"GET\s+COUPON", r"FILL\s+IN\s+YOUR\s+INFORMATION.*", r"Fill\s+in\s+(?:the\s+)?form.*", r"Sign\s+up.*", r"Download\s+the\s+Shell\s+App.*", r"Not\s+a\s+Shell\s+Go\+\s+member\s+yet\??",
+    r"Click\s+here.*", r"Print\s+coupon.*", r"Cannot\s+be\s+combined\s+with.*", r"One\s+coupon\s+per\s+visit\.?", r"Valid\s+at\s+participating\s+locations.*",
+    r"\*?Expires?:?\s*[A-Za-z]+\s+\d{1,2}(?:st|nd|rd|th)?,?\s*\d{4}",
+]
+PRODUCTS = [
+    r"Pennzoil\s+(?:Full\s+)?Synthetic(?:\s+Motor\s+Oil)?", r"Pennzoil[^.\n]{0,40}", r"Jiffy\s+Lube\s+Signature\s+Service\s+oil\s+change", r"Jiffy\s+Lube\s+Signature\s+Service", r"oil\s+change", r"tire\s+rotation",
+    r"battery", r"brake", r"transmission\s+fluid", r"radiator\s+flush", r"fuel\s+system\s+flush",
+]
+
+
+def brand_summary(title, body, discount, code, service, brand: str = "Jiffy Lube") -> Column:
+    """One sentence of 25 words at most: the discount, the product or service, the brand and the code."""
+    both = F.concat_ws(" ", E.text(body), E.text(title))
+    coded = F.coalesce(F.concat(F.lit(" (code "), E.first_of(code), F.lit(").")), F.lit("."))
+    miles = F.coalesce(E.found(both, r"(?i)(\d+)\s+bonus\s+(?:AIR\s*MILES|Miles)"), E.found(discount, r"(?i)(\d+)\s+bonus\s+(?:AIR\s*MILES|Miles)"))
+    oil = F.coalesce(_or_null(F.trim(F.regexp_replace(E.found(both, r"(?i)(Pennzoil\s+(?:Full\s+)?Synthetic(?:\s+Motor\s+Oil)?)"), r"(?i)\s*Motor\s*Oil\s*$", ""))), F.lit("Pennzoil Full Synthetic"))
+    member = F.when(miles.isNotNull(), F.concat(F.lit("Shell Go+ members get "), miles, F.lit(" bonus AIR MILES with "), oil, F.lit(" oil change")))
+    member = member.when(both.rlike(r"(?i)shell\s+go\+"), F.concat(F.lit("Shell Go+ member offer on "), oil, F.lit(f" oil change at {brand}")))
+    clean = E.text(body)
+    for p in SUMMARY_NOISE:
+        clean = F.regexp_replace(clean, f"(?i){p}", " ")
+    clean = E.squeeze(clean)
+    hint = F.coalesce(*[_or_null(F.regexp_extract(clean, f"(?i){p}", 0)) for p in PRODUCTS])
+    hint = F.when(clean.rlike(r"(?i)\boil\s+change\b") & ~F.lower(hint).contains("oil change"), F.concat(F.trim(hint), F.lit(" oil change"))).otherwise(F.trim(hint))
+    bonus = E.text(discount).rlike(r"(?i)\bbonus\b|\bAIR\s*MILES\b|\bmiles\b|\brewards?\b|\bearn\b")
+    off = F.when(E.truthy(discount), F.when(bonus, E.text(discount)).otherwise(F.concat(E.text(discount), F.lit(" off"))))
+    named = F.when(~E.text(service).isin("", "Other"), F.lower(E.text(service)))
+    words = E.words(F.concat_ws(" ", off, F.coalesce(hint, named), F.lit(f"at {brand}"), F.when(E.truthy(code), F.concat(F.lit("(code "), E.text(code), F.lit(")")))))
+    line = F.array_join(F.slice(words, 1, 25), " ")
+    line = F.when(F.size(words) > 25, F.concat(F.regexp_replace(line, "[,;:-]+$", ""), F.lit("…"))).when(line.rlike(r"[.…)]$"), line).otherwise(F.concat(line, F.lit(".")))
+    return F.coalesce(F.concat(member, coded), F.concat(F.upper(F.substring(line, 1, 1)), F.substring(line, 2, 1000)))

@@ -35,6 +35,7 @@ CASES = {
     "quick": (lambda c: S.quick_summary(c, F.lit(""), F.lit("$5"), F.lit("Battery"), F.lit("May 1")), [("Up to $70 mail-in rebate", "Up to $70 rebate on battery at Quick Lane (expires May 1)."), ("Buy 3, get the 4th free", "Buy 3, get the 4th free on battery at Quick Lane (expires May 1)."), ("x", "$5 off battery at Quick Lane (expires May 1).")]),
     "rebate_summary": (lambda c: S.rebate_summary(F.lit("s"), c, F.lit(None)), [("Michelin rebate up to $ 70", "Up to $70 mail-in rebate on Michelin tires at Mr. Lube."), ("financing for 6 months", "Tire financing — no payments for 6 months at Mr. Lube."), ("x", "s")]),
     "free_with": (lambda c: S.free_with_summary(c, F.lit("free"), F.lit("Oil Change"), F.lit("")), [("Free Tire Changeover With Your Oil Change", "Free tire changeover with any oil change at Econo Lube."), ("x", "Free oil change at Econo Lube.")]),
+    "brand": (lambda c: S.brand_summary(F.lit("t"), c, F.lit("$10"), F.lit("AB1"), F.lit("Battery")), [("Get coupon Pennzoil Synthetic Motor Oil, for any oil change. Click here to print", "$10 off Pennzoil Synthetic Motor Oil oil change at Jiffy Lube (code AB1)"), ("50 bonus AIR MILES today", "Shell Go+ members get 50 bonus AIR MILES with Pennzoil Full Synthetic oil change (code AB1)."), ("x", "$10 off battery at Jiffy Lube (code AB1)")]),
     "titled": (lambda c: S.titled_summary(c, F.lit(""), F.lit("15OFF"), F.lit("Oil Change")), [("$15 OFF FULL SYNTHETIC*", "$15 off Full Synthetic at Lube Town (code 15OFF)."), ("WASH", "Wash at Lube Town (code 15OFF).")]),
 }
 
