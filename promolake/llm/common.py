@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 
@@ -89,6 +90,15 @@ def chunks(sizes: list[int], most: int = CHUNK_BYTES):
         total += n
     if at < len(sizes):
         yield at, len(sizes)
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, as Python workers live through many tasks of different operators."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
 
 
 def arrow_schema(ddl: str) -> T.StructType:

@@ -16,7 +16,6 @@ from __future__ import annotations
 import math
 import re
 import struct
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_schema
+from .common import arrow_schema, bounded_batches, give_back
 
 MARKER = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -32,7 +31,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: What an unknown character costs beyond the least score.
 UNKNOWN_PENALTY = 10.0
 #: Units kept with their ids by each Python worker; more only means computing them again.
-CACHE_UNITS, CACHE_CHARS = 400_000, 48
+CACHE_UNITS, CACHE_CHARS = 200_000, 48
 
 
 def _fields(data: bytes):
@@ -153,7 +152,8 @@ class Pieces:
         # Where no piece crosses from a word to a following space or holds a line feed, such units part exactly.
         apart = all(MARKER not in t.lstrip(MARKER) and "\n" not in t for t in texts)
         self.units = re.compile(r"\n| *[^ \n]+| +") if apart else re.compile(r"[\s\S]+")
-        self.known: dict[str, tuple[int, ...]] = {}
+        #: Units and their ids as 32-bit numbers in bytes, which are smaller than tuples and quick to join.
+        self.known: dict[str, bytes] = {}
 
     def viterbi(self, unit: str) -> tuple[int, ...]:
         """Ids of the best path; of paths with equal scores, the one whose last piece starts first, and so on backwards."""
@@ -197,22 +197,23 @@ class Pieces:
             end = at
         return tuple(reversed(out))
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
+        """Ids as 32-bit numbers."""
         if not text:
-            return []
+            return np.empty(0, np.int32)
         units = self.units.findall(" " + text)
         known = self.known
         if new := set(units).difference(known):
             if len(known) > CACHE_UNITS:
                 known.clear()
                 new = set(units)
-            own = {u: self.viterbi(u) for u in new}
+            own = {u: np.array(self.viterbi(u), np.int32).tobytes() for u in new}
             known.update((u, ids) for u, ids in own.items() if len(u) <= CACHE_CHARS)
-            return list(chain.from_iterable([known[u] if u in known else own[u] for u in units]))
-        return list(chain.from_iterable(map(known.__getitem__, units)))
+            return np.frombuffer(b"".join([known[u] if u in known else own[u] for u in units]), np.int32)
+        return np.frombuffer(b"".join(map(known.__getitem__, units)), np.int32)
 
     def decode(self, ids) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
+        return b"".join(map(self.bytes_of.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids)).decode("utf-8", "surrogatepass")[1:]
 
 
 def load(spark: SparkSession, path: str = DEFAULT_MODEL) -> Pieces:
@@ -227,14 +228,16 @@ def load(spark: SparkSession, path: str = DEFAULT_MODEL) -> Pieces:
 
 def encode(spark: SparkSession, docs: DataFrame, model: str = DEFAULT_MODEL, text: str = "text") -> DataFrame:
     """All columns of docs with ids (array of int) and n_byte_pieces."""
+    bounded_batches(spark)
     pieces = spark.sparkContext.broadcast(load(spark, model))
     keep = [c for c in docs.columns if c not in ("ids", "n_byte_pieces")]
     schema = docs.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType())).add("n_byte_pieces", T.LongType())
 
     def run(batches):
         p = pieces.value
+        give_back()
         for b in batches:
-            found = [np.array(p.encode(t or ""), np.int32) for t in b.column(b.schema.get_field_index(text)).to_pylist()]
+            found = [p.encode(t or "") for t in b.column(b.schema.get_field_index(text)).to_pylist()]
             sizes = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
             by_byte = pa.array([int(p.is_byte[x].sum()) for x in found], pa.int64())
@@ -245,12 +248,14 @@ def encode(spark: SparkSession, docs: DataFrame, model: str = DEFAULT_MODEL, tex
 
 def decode(spark: SparkSession, encoded: DataFrame, model: str = DEFAULT_MODEL, into: str = "decoded") -> DataFrame:
     """All columns of encoded with the text of its ids."""
+    bounded_batches(spark)
     pieces = spark.sparkContext.broadcast(load(spark, model))
     keep = [c for c in encoded.columns if c != into]
     schema = encoded.select(*keep).schema.add(into, "string")
 
     def run(batches):
         p = pieces.value
+        give_back()
         for b in batches:
             texts = pa.array([p.decode(x) if x else "" for x in b.column(b.schema.get_field_index("ids")).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns, texts], names=[*b.schema.names, into])
@@ -262,17 +267,18 @@ def digest(spark: SparkSession, docs: DataFrame, model: str = DEFAULT_MODEL) ->
     """doc_id, n_tokens, n_byte_pieces, ids_sha256 (of the ids as little-endian 32-bit numbers), round_trip."""
     import hashlib
 
+    bounded_batches(spark)
     pieces = spark.sparkContext.broadcast(load(spark, model))
 
     def run(batches):
         p = pieces.value
+        give_back()
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             rows = []
             for t in texts:
                 ids = p.encode(t)
-                a = np.array(ids, "<i4")
-                rows.append((len(ids), int(p.is_byte[a].sum()), hashlib.sha256(a.tobytes()).hexdigest(), p.decode(ids) == t))
+                rows.append((len(ids), int(p.is_byte[ids].sum()), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), p.decode(ids) == t))
             cols = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "n_tokens", "n_byte_pieces", "ids_sha256", "round_trip"])
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, chunks, utf8
+from .common import arrow_schema, bounded_batches, chunks, utf8
 from .words import IS_SPACE, Words, combine, mix
 
 WINDOW, STRIDE, MOST = 32, 16, 2000
@@ -222,11 +222,11 @@ class Model:
         self.words, self.chars = self.words.astype(np.float32), self.chars.astype(np.float32)
         return self
 
-    def score(self, texts: list[bytes], most: int = 16_384) -> np.ndarray:
+    def score(self, texts: list[bytes], most: int = 4096) -> np.ndarray:
         if self.network is None:
             return np.full(len(texts), self.share)
         out = np.zeros(len(texts))
-        for a, b in chunks([len(t) for t in texts], 1_000_000):
+        for a, b in chunks([len(t) for t in texts], 500_000):
             inputs = Inputs(texts[a:b])
             vectors = inputs.vectors(self.words, self.chars)
             doc, index = inputs.windows()
@@ -306,6 +306,7 @@ def held_out(doc_id) -> F.Column:
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
     """All columns of docs with the score."""
+    bounded_batches(spark)
     sent = spark.sparkContext.broadcast(model)
     keep = [c for c in docs.columns if c != into]
     schema = docs.select(*keep).schema.add(into, "double")
@@ -327,6 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
 
 def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted."""
+    bounded_batches(spark)
     model = fit(docs, labels)
     at = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # the text goes into the worker and stays there: only doc_id and the score come back

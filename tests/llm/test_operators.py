@@ -623,4 +623,4 @@ def test_pipeline(spark):
     assert max(seen.values()) == 1
     out = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in out} == set(kept)
-    assert all(r.text == (kept[r.doc_id] or "") and r.n_tokens == len(r.ids) for r in out)
+    assert all(r.text == (kept[r.doc_id] or "") and r.n_tokens == len(r.ids or ()) for r in out)
