@@ -1,15 +1,16 @@
 """Line deduplication by a segment-partition edit join.
 
-Lines (parts of a text between line feeds, without white space at their ends) of MIN_CHARS characters or more are
-compared over all documents; equal ones form one class.  Two classes link when their edit distance is at most EDITS.
-Every line is split into EDITS + 1 segments, and the index holds each segment by its content, number and the line's
-length: of EDITS edits one segment at least is spared, so a line within reach has an equal substring at a fitting
-place.  A line probes the index of its own and of up to EDITS smaller lengths with the substrings that the positions
-of the remaining edits allow on both sides.  Pairs whose characters or pairs of characters differ too much in number
-(parity in 24 and 64 groups, lower bounds) fall out in the join; the others are verified by banded bit-parallel edit distance.  Of all lines that
+Lines (parts of a text between line feeds, without white space at their ends) that are not empty are compared over all
+documents; equal ones form one class.  Two classes link when their edit distance is at most EDITS; lines of up to EDITS
+characters, which would all be within reach of each other, are compared for equality only.  Every longer line is split
+into EDITS + 1 segments, and the index holds each segment by its content, number and the line's length: of EDITS edits
+one segment at least is spared, so a line within reach has an equal substring at a fitting place.  A line probes the
+index of its own and of up to EDITS smaller lengths with the substrings that the positions of the remaining edits allow
+on both sides.  Pairs whose characters or pairs of characters differ too much in number (parity in 24 and 64 groups,
+lower bounds) fall out in the join; the others are verified by banded bit-parallel edit distance.  Of all lines that
 links connect, the first (by doc_id and line number) stays; the others go from their texts.
 
-Nulls and edges: null and blank texts have no lines and come back as they are; shorter lines stay; a null doc_id comes
+Nulls and edges: null and blank texts have no lines and come back as they are; blank lines stay; a null doc_id comes
 before all others; rows that repeat doc_id and text are one document that appears more than once; an empty table gives
 an empty result.  No number of partners is capped."""
 
@@ -27,7 +28,7 @@ from .common import BROADCAST_ROWS, Shelf, arrow_schema, chunks, signed, small_e
 from .components import components
 from .words import mix, running, span_hash
 
-MIN_CHARS, EDITS = 40, 2
+EDITS = 2
 _SPACE = " \t\n\x0b\x0c\r"
 _CODE = np.random.default_rng(41).integers(1, 1 << 63, 4096, dtype=np.uint64) | np.uint64(1)
 _GROUP = (_CODE >> np.uint64(20)).astype(np.int64) % 24
@@ -45,9 +46,7 @@ def _of_point(points: np.ndarray, table: np.ndarray, of_rare) -> np.ndarray:
 
 def lines_of(text: str | None) -> list[tuple[int, str]]:
     """Number and content of each line that is compared."""
-    if not text or len(text) < MIN_CHARS:
-        return []
-    return [(k, s) for k, x in enumerate(text.split("\n")) if len(s := x.strip(_SPACE)) >= MIN_CHARS]
+    return [(k, s) for k, x in enumerate(text.split("\n")) if (s := x.strip(_SPACE))] if text else []
 
 
 def segments(n: np.ndarray, edits: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -85,24 +84,25 @@ class Lines:
             h = mix(span_hash(sums, start, start + size) ^ (length.astype(np.uint64) * np.uint64(0x9E3779B1) + np.uint64(i)))
             return (h & ~np.uint64(0xFFFFFF)) | parity
 
+        # lines of up to `edits` characters have no keys (0): a segment would be empty
         starts, sizes = segments(n, edits)
-        self.index = np.stack([key(first[:-1] + s, m, n, i) for i, (s, m) in enumerate(zip(starts, sizes, strict=True))], 1)
+        self.index = np.stack([np.where(n > edits, key(first[:-1] + s, m, n, i), np.uint64(0)) for i, (s, m) in enumerate(zip(starts, sizes, strict=True))], 1)
         probes = []
         for less in range(edits + 1):
-            length = n - less
+            length = np.maximum(n - less, 0)
             starts, sizes = segments(length, edits)
             for i, (s, m) in enumerate(zip(starts, sizes, strict=True)):
                 low, high = max(-i, less - (edits - i)), min(i, less + (edits - i))
                 for shift in range(low, high + 1):
                     at = s + shift
                     k = key(first[:-1] + np.clip(at, 0, n - m), m, length, i)
-                    probes.append(np.where((at >= 0) & (at + m <= n), k, np.uint64(0)))
+                    probes.append(np.where((length > edits) & (at >= 0) & (at + m <= n), k, np.uint64(0)))
         self.probes = np.stack(probes, 1)
 
 
 def _batches_of_lines(texts: list[str | None]):
     """Document index, line number and content of the lines of some texts, in parts of bounded size."""
-    for i, j in chunks([4 * len(t or "") for t in texts]):
+    for i, j in chunks([max(4 * len(t), 160 * t.count("\n")) if t else 0 for t in texts]):
         yield [(d, k, s) for d in range(i, j) for k, s in lines_of(texts[d])]
 
 
@@ -215,7 +215,7 @@ def pairs_of(shelf: Shelf, docs: DataFrame, edits: int) -> DataFrame:
     """Candidate pairs (a < b) of line hashes."""
     keys = shelf.put(keyed(docs, edits), "keys")
     part = lambda c: keys.select("h", "pairs", F.explode(c).alias("k"))
-    index, probe = part("index").distinct(), part("probes").filter("k <> 0")
+    index, probe = part("index").filter("k <> 0").distinct(), part("probes").filter("k <> 0")
     differ = F.bit_count(F.col("l.k").bitwiseXOR(F.col("r.k")).bitwiseAND(F.lit(0xFFFFFF))) <= 2 * edits
     differ &= F.bit_count(F.col("l.pairs").bitwiseXOR(F.col("r.pairs"))) <= 4 * edits
     # the key is part of k and not a column of its own, as that would be shuffled too

@@ -408,6 +408,31 @@ def test_line_dedup(spark):
     assert line_dedup.deduplicated(spark, make(spark, [])).count() == 0
 
 
+def test_short_lines(spark):
+    """Lines of all lengths from one character: equal ones go, and those of over two characters within two edits."""
+    rng = random.Random(18)
+    line = lambda: "".join(rng.choice("abcdefgh XYZ") for _ in range(rng.choice((1, 2, 3, 4, 5, 6, 7, 9, 14, 24, 39)))).strip(" ") or "z"
+    rows = [(i, "\n".join(line() for _ in range(rng.randint(1, 4)))) for i in range(50)]
+    rows += [(i, f"All rights reserved.\n\n{'abc' * i}\nReleased under the MIT License{'.' * (i % 3)}") for i in range(50, 60)]
+    said = [(i, k, s) for i, t in rows for k, x in enumerate(t.split("\n")) if (s := x.strip(" "))]
+    group = {s: {s} for _, _, s in said}
+    for a, b in itertools.combinations(group, 2):
+        if min(len(a), len(b)) > 2 and abs(len(a) - len(b)) <= 2 and group[a] is not group[b] and _distance(a, b) <= 2:
+            group[a] |= group[b]
+            for x in group[b]:
+                group[x] = group[a]
+    seen, gone = set(), set()
+    for i, k, s in sorted(said):
+        if id(group[s]) in seen:
+            gone.add((i, k))
+        seen.add(id(group[s]))
+    want = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in rows}
+    got = line_dedup.deduplicated(spark, make(spark, rows)).collect()
+    assert {r.doc_id: r.text for r in got} == want
+    assert sum(r.n_removed for r in got) == len(gone) > 20 and sum(r.n_lines for r in got) == len(said)
+    assert want[51] == "\n" + "abc" * 51
+
+
 # --- 7: resampling ---------------------------------------------------------------------------------------------
 
 
