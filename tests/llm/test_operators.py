@@ -649,3 +649,19 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in out} == set(kept)
     assert all(r.text == (kept[r.doc_id] or "") and r.n_tokens == len(r.ids or ()) for r in out)
+
+
+def test_pipeline_drops_copies(spark):
+    """Of copies that hold short lines one whole document is left, and no stub of the others."""
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    words = lambda n: " ".join("".join(rng.choice("abdeinorst") for _ in range(7)) for _ in range(n))
+    groups = [[words(1), words(12), "", words(2), words(15), words(3)] for _ in range(8)]
+    rows = [(10 * g + k, "\n".join(lines)) for g, lines in enumerate(groups) for k in range(1 + g % 4)]
+    rng.shuffle(rows)
+    docs = make(spark, rows)
+    left = Shelf(spark, "test").put(corpus_pipeline.drop_lines(spark, docs, SF), "left")
+    kept = corpus_pipeline.keep_one(spark, left, SF).collect()
+    assert {r.doc_id: r.text for r in kept} == {10 * g: "\n".join(lines) for g, lines in enumerate(groups)}
+    assert len(kept) == len(groups)
