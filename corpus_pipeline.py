@@ -12,6 +12,9 @@ from promolake.llm.common import Shelf, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Near copies have this share of their distinct runs of SHINGLE words in common.
+SHINGLE, PERCENT = 5, 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score below 0.5 stay."""
@@ -30,7 +33,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the least doc_id stays."""
-    return jaccard_join.keep_one(spark, docs)
+    return jaccard_join.keep_one(spark, docs, SHINGLE, PERCENT)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,12 +1,12 @@
 """N-gram Jaccard join, size-aware: subsets for light sets, inverted lists for heavy ones.
 
 A document's set holds hashes of its distinct runs of SHINGLE words.  Documents with equal sets form one class, which
-stands for them from then on.  Two classes link when 100 * intersection >= 90 * union.
+stands for them from then on.  Two classes link when 100 * intersection >= percent * union (PERCENT unless given).
 
-Light sets (fewer than `boundary` shingles, 17 at most): such a set can only link with one that has one shingle more
-or less, so each enumerates its subsets of size n - 1 and itself, and equal subsets are links.  Heavy sets: each enters
-the inverted lists of its n - ceil(0.9 n) + 1 rarest shingles, of which linked sets share one at least; lists are
-scanned for pairs.  The boundary is where enumerating gets dearer than scanning and verifying (`boundary_of`).
+Light sets (fewer than `boundary` shingles, by `light_sizes` 17 at most at 90 percent and 7 at 80): such a set can only
+link with one that has one shingle more or less, so each enumerates its subsets of size n - 1 and itself, and equal
+subsets are links.  Heavy sets: each enters the inverted lists of its n - ceil(percent / 100 * n) + 1 rarest shingles, of
+which linked sets share one at least; lists are scanned for pairs.  The boundary is where enumerating gets dearer than scanning and verifying (`boundary_of`).
 
 Rarity is by a sketch of fixed size that counts every shingle of every document, so passages that many documents share
 do not make long lists; among shingles that the sketch does not tell apart, longer ones come first.  Pairs in a list must be of fitting size, and the parity of their shingles in 256 groups, which
@@ -33,7 +33,6 @@ from .words import Words, mix, shingle_sizes, shingles
 
 SHINGLE, PERCENT = 3, 90
 SLOTS, BLOCK = 1 << 18, 1 << 12
-LIGHT_FROM, MOST_LIGHT = 9, 18
 #: Members of a list from which on a pair is taken at its first long list only.
 LONG = 8
 _SALT, _SUBSET = np.uint64(0x632BE59BD9B4E019), np.uint64(0x2545F4914F6CDD1D)
@@ -86,8 +85,14 @@ def slot(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - 18)).astype(np.int64)
 
 
-def prefix_size(n: np.ndarray) -> np.ndarray:
-    return n + (-PERCENT * n) // 100 + 1
+def prefix_size(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    return n + (-percent * n) // 100 + 1
+
+
+def light_sizes(percent: int = PERCENT) -> tuple[int, int]:
+    """The least size that links with a set of one shingle more (n / (n + 1) allows it), and the least that links with a
+    set that differs otherwise (n / (n + 2) does, which it does before (n - 1) / (n + 1))."""
+    return -(-percent // (100 - percent)), -(-2 * percent // (100 - percent))
 
 
 _MEASURED = "doc_id bigint, n bigint, id bigint, p0 bigint, p1 bigint, p2 bigint, p3 bigint, fine binary, block int, part int, counts binary"
@@ -136,12 +141,12 @@ def add_up(shelf: Shelf, parts: DataFrame, fan: int = 64) -> np.ndarray:
     return out
 
 
-def boundary_of(copies: float, verify: float = 8.0) -> int:
+def boundary_of(copies: float, verify: float = 8.0, percent: int = PERCENT) -> int:
     """Sizes below it are light.  A light set costs n + 1 subsets; a heavy one its prefix, each entry with the members of
     its list that have to be verified, estimated by the copies a class has."""
-    out = LIGHT_FROM
-    for n in range(LIGHT_FROM, MOST_LIGHT):
-        if n + 1 <= int(prefix_size(np.array([n]))[0]) * (1 + verify * copies):
+    out, most = light_sizes(percent)
+    for n in range(out, most):
+        if n + 1 <= int(prefix_size(np.array([n]), percent)[0]) * (1 + verify * copies):
             out = n + 1
     return out
 
@@ -149,8 +154,9 @@ def boundary_of(copies: float, verify: float = 8.0) -> int:
 _KEYED = "id bigint, n bigint, keys array<bigint>, subsets array<bigint>"
 
 
-def keyed(docs: DataFrame, k: int, sketch, boundary: int) -> DataFrame:
-    """Of each document with LIGHT_FROM shingles: the keys of its inverted lists, or its subsets' hashes."""
+def keyed(docs: DataFrame, k: int, sketch, boundary: int, percent: int) -> DataFrame:
+    """Of each document with enough shingles to link: the keys of its inverted lists, or its subsets' hashes."""
+    least = light_sizes(percent)[0]
 
     def run(batches):
         freq = sketch.value
@@ -160,16 +166,16 @@ def keyed(docs: DataFrame, k: int, sketch, boundary: int) -> DataFrame:
                 s = Sets(texts[i:j], k)
                 order = np.lexsort((s.hash, -s.length, freq[slot(s.hash)], s.doc))
                 rank = np.arange(len(order)) - s.first[:-1][s.doc]
-                take = (rank < prefix_size(s.size)[s.doc]) & (s.size[s.doc] >= boundary)
+                take = (rank < prefix_size(s.size, percent)[s.doc]) & (s.size[s.doc] >= boundary)
                 keys, owner = signed(s.hash[order][take]), s.doc[take]
-                some = (s.size[s.doc] >= LIGHT_FROM + 1) & (s.size[s.doc] <= boundary)
-                whole = np.flatnonzero((s.size >= LIGHT_FROM) & (s.size < boundary))
+                some = (s.size[s.doc] >= least + 1) & (s.size[s.doc] <= boundary)
+                whole = np.flatnonzero((s.size >= least) & (s.size < boundary))
                 sub_doc = np.concatenate([s.doc[some], whole])
                 sub = signed(mix(np.concatenate([s.id[s.doc[some]] - s.mixed[some], s.id[whole]]) ^ _SUBSET))
                 by = np.argsort(sub_doc, kind="stable")
                 split = lambda values, own: pa.ListArray.from_arrays(pa.array(np.searchsorted(own, np.arange(j - i + 1)).astype(np.int32)), pa.array(values))
                 rows = pa.RecordBatch.from_arrays([pa.array(signed(s.id)), pa.array(s.size), split(keys, owner), split(sub[by], sub_doc[by])], names=["id", "n", "keys", "subsets"])
-                yield rows.filter(pa.array(s.size >= LIGHT_FROM))
+                yield rows.filter(pa.array(s.size >= least))
 
     return docs.mapInArrow(run, arrow_schema(_KEYED))
 
@@ -187,14 +193,14 @@ def with_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, arrow_schema("id bigint, items array<bigint>"))
 
 
-def _verified(shelf: Shelf, docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+def _verified(shelf: Shelf, docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
     side = lambda c: classes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("fine").alias(f"f{c}"))
     wide = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "fa", "fb")
 
     def near(batches):
         for b in batches:
-            ok = [differ_by(x, y) * (100 + PERCENT) <= (n + m) * (100 - PERCENT) for n, m, x, y in zip(*(b.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True)]
+            ok = [differ_by(x, y) * (100 + percent) <= (n + m) * (100 - percent) for n, m, x, y in zip(*(b.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     pairs = shelf.put(wide.mapInArrow(near, arrow_schema("a bigint, b bigint")), "near")
@@ -207,20 +213,20 @@ def _verified(shelf: Shelf, docs: DataFrame, classes: DataFrame, pairs: DataFram
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - common
-    out = shelf.put(both.filter(common * 100 >= union * PERCENT).select("a", "b"), "verified")
+    out = shelf.put(both.filter(common * 100 >= union * percent).select("a", "b"), "verified")
     shelf.drop(sets, ids)
     return out
 
 
-def _fits(l: str, r: str) -> F.Column:
+def _fits(l: str, r: str, percent: int) -> F.Column:
     """Sizes allow a link, and so does the parity of the groups."""
     n, m = F.col(f"{l}.n"), F.col(f"{r}.n")
     differ = sum((F.bit_count(F.col(f"{l}.p{k}").bitwiseXOR(F.col(f"{r}.p{k}"))) for k in range(4)), F.lit(0))
-    # a link has intersection >= 90 % of union, so difference <= (n + m) * 10 / 190
-    return (n * 100 >= m * PERCENT) & (m * 100 >= n * PERCENT) & (differ * (100 + PERCENT) <= (n + m) * (100 - PERCENT))
+    # a link has intersection >= percent of union, so difference <= (n + m) * (100 - percent) / (100 + percent)
+    return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (differ * (100 + percent) <= (n + m) * (100 - percent))
 
 
-def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (of its class with other classes)."""
     shelf = Shelf(spark, "jaccard_join")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -231,28 +237,28 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFr
     rows = rows.filter("block is null")
     classes = shelf.put(rows.filter("n > 0").groupBy("id", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), *[F.first(f"p{x}").alias(f"p{x}") for x in range(4)], F.first("fine").alias("fine")), "classes")
     mean = classes.agg(F.avg("copies")).first()[0]
-    lists = shelf.put(keyed(docs.select("text"), k, sketch, boundary_of(mean or 1.0)), "keyed")
+    lists = shelf.put(keyed(docs.select("text"), k, sketch, boundary_of(mean or 1.0, percent=percent), percent), "keyed")
     # light: a set and a subset of a larger one, or two equal ones, have equal hashes; sizes must differ by one
     subset = lists.select("id", "n", F.explode("subsets").alias("key")).distinct()
     both = subset.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x <> y").select("key")
     few = subset.join(both, "key", "left_semi")
-    own = few.filter("n < 18").alias("l").join(few.alias("r"), F.expr("l.key = r.key and r.n = l.n + 1 and 100 * l.n >= 90 * r.n"))
+    own = few.filter(F.col("n") < light_sizes(percent)[1]).alias("l").join(few.alias("r"), F.expr(f"l.key = r.key and r.n = l.n + 1 and 100 * l.n >= {percent} * r.n"))
     light = own.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
     # heavy: keys that two classes share; a list of two entries is one pair, without scanning
     listed = lists.select("id", "n", F.explode("keys").alias("key"))
     shared = listed.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("times"), F.min("n").alias("low"), F.max("n").alias("high"))
     shared = shelf.put(shared.filter("x <> y"), "shared")
-    twos = shared.filter(f"times = 2 and 100 * low >= {PERCENT} * high").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    twos = shared.filter(f"times = 2 and 100 * low >= {percent} * high").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     entries = listed.select("id", "key").join(shared.filter("times > 2").select("key"), "key", "left_semi").distinct()
     attributes = classes.select("id", "n", "p0", "p1", "p2", "p3")
     side = lambda c: attributes.select(*[F.col(x).alias(c if x == "id" else x) for x in attributes.columns])
-    twos = twos.join(side("a").alias("l"), "a").join(side("b").alias("r"), "b").filter(_fits("l", "r")).select("a", "b")
+    twos = twos.join(side("a").alias("l"), "a").join(side("b").alias("r"), "b").filter(_fits("l", "r", percent)).select("a", "b")
     entries_n = shelf.put(entries.join(attributes, "id"), "entries")
     centre = entries_n.groupBy("key").agg(F.min_by(F.struct("id", "n", "p0", "p1", "p2", "p3"), F.xxhash64("id")).alias("c")).select("key", "c.*")
-    star = entries_n.alias("l").join(centre.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.id") != F.col("r.id")) & _fits("l", "r"))
+    star = entries_n.alias("l").join(centre.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.id") != F.col("r.id")) & _fits("l", "r", percent))
     star = star.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
     pairs = shelf.put(star.unionByName(twos).distinct(), "pairs")
-    links = shelf.put(light.unionByName(_verified(shelf, docs, classes, pairs, k)).distinct(), "links")
+    links = shelf.put(light.unionByName(_verified(shelf, docs, classes, pairs, k, percent)).distinct(), "links")
     first = shelf.put(components(shelf, links), "components")
     # all pairs of different components that fit, at their first shared key; pairs that the stars have tried are known
     rest = entries_n.join(first, F.col("id") == F.col("node"), "left").select("id", "n", "p0", "p1", "p2", "p3", "key", F.coalesce("root", "id").alias("root"))
@@ -260,12 +266,12 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFr
     rest = shelf.put(rest.join(shelf.put(mixed, "mixed"), "key"), "rest")
     keys = rest.filter("long").groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
     rest = rest.join(keys, "id", "left")
-    apart = (F.col("l.key") == F.col("r.key")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.root") != F.col("r.root")) & _fits("l", "r")
+    apart = (F.col("l.key") == F.col("r.key")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.root") != F.col("r.root")) & _fits("l", "r", percent)
     once = ~F.col("l.long") | (F.element_at(F.array_intersect("l.keys", "r.keys"), 1) == F.col("l.key"))
     more = rest.alias("l").join(rest.alias("r"), apart & once).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
     more = shelf.put(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
     shelf.drop(lists)
-    links = shelf.put(links.unionByName(_verified(shelf, docs, classes, more, k)), "links")
+    links = shelf.put(links.unionByName(_verified(shelf, docs, classes, more, k, percent)), "links")
     roots = components(shelf, links)
     named = classes.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
     named = named.select("id", "n", "doc_id", "root")
@@ -275,9 +281,9 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFr
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+def keep_one(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Of each component the rows with the least doc_id; rows with an empty set or without doc_id all stay."""
-    found = classes_of(spark, docs, k)
+    found = classes_of(spark, docs, k, percent)
     keep = found.filter("n_shingles = 0 or doc_id = component_id or doc_id is null").select("doc_id").distinct()
     kept = docs.join(keep, docs.doc_id.cast("bigint").eqNullSafe(keep.doc_id), "left_semi")
     return kept

@@ -586,6 +586,38 @@ def test_jaccard_join_of_near_copies(spark):
     assert sorted(r.doc_id for r in kept) == sorted({r.component_id for r in got})
 
 
+def test_jaccard_join_of_five_words(spark):
+    """Sets of 5-word runs that are equal to 80 % of their union, of all sizes around the light ones; the pipeline's stage."""
+    import corpus_pipeline
+
+    assert jaccard_join.light_sizes(90) == (9, 18) and jaccard_join.light_sizes(80) == (4, 8)
+    rng = random.Random(13)
+    vocab = vocabulary(rng)
+    rows = []
+    for n in (3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 20, 60, 150):
+        base = [rng.choice(vocab) for _ in range(n + 4)]
+        for k in range(14):
+            w = list(base)
+            for _ in range(rng.randint(0, 1 + n // 40)):
+                j = rng.choice((0, 1, len(w) - 2, len(w) - 1, rng.randrange(len(w))))
+                w[j : j + rng.randint(0, 1)] = [rng.choice(vocab)] if rng.random() < 0.6 else []
+            if k % 3 == 0:
+                w = w[: len(w) - k % 2 - 1]
+            rows.append((len(rows), " ".join(w)))
+    runs = lambda t: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := t.lower().split(" ")) else set()
+    sets = [runs(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            low, high = sorted((root[a], root[b]))
+            root = [low if x == high else x for x in root]
+    got = jaccard_join.classes_of(spark, make(spark, rows), 5, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(sets[i]), root[i]) for i, _ in rows}
+    kept = corpus_pipeline.keep_one(spark, make(spark, rows), SF).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(root))
+    assert len(kept) < jaccard_join.keep_one(spark, make(spark, rows)).count()
+
+
 def test_components(spark):
     rng = random.Random(7)
     links = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(170)] + [(k, k + 1) for k in range(1000, 1080)] + [(5, 5)]
