@@ -227,7 +227,7 @@ def _fits(l: str, r: str, percent: int) -> F.Column:
 
 
 def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (of its class with other classes)."""
+    """doc_id, n_shingles, component_id of each row.  Only components are given: links within a component are not all sought."""
     shelf = Shelf(spark, "jaccard_join")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = shelf.put(measured(docs, k), "rows")
