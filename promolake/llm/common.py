@@ -10,13 +10,14 @@ import uuid
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 #: Bytes of text that a Python worker holds as numpy arrays at once.
 CHUNK_BYTES = 2_000_000
-#: Rows of an Arrow batch, unless the session has its own number: whole texts make wide rows.
-BATCH_ROWS = 1_000
+#: Bytes of an Arrow batch: Spark's own bound of 64 MB would be held several times by each worker and its executor.
+BATCH_BYTES = 4_000_000
 #: Rows of a small side that may be broadcast; beyond it a shuffle join is used.
 BROADCAST_ROWS = 200_000
 
@@ -39,10 +40,14 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lowers the default number of rows of an Arrow batch, so that workers hold a few MB of text at a time."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == "10000":
-        spark.conf.set(name, str(BATCH_ROWS))
+    """Sets spark.sql.execution.arrow.maxBytesPerBatch of the session to BATCH_BYTES where it is larger.
+
+    Batches then hold a few MB of text whatever the length of the texts; a row of more bytes makes a batch by itself.
+    All operators do this, as the bound can only be set for a session; it changes no result."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
 
 
 class Shelf:
@@ -80,6 +85,13 @@ def utf8(column) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
 
 
+def parts(texts, most: int = CHUNK_BYTES):
+    """Start, end and UTF-8 bytes of consecutive rows of an Arrow string column, about `most` bytes together."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for i, j in chunks(sizes.tolist(), most):
+        yield i, j, utf8(texts.slice(i, j - i))
+
+
 def chunks(sizes: list[int], most: int = CHUNK_BYTES):
     """Ranges of consecutive rows with about `most` bytes together, one row at least."""
     at, total = 0, 0
@@ -101,6 +113,30 @@ def give_back() -> None:
         pass
 
 
+class Rows:
+    """The columns of a table under inner names, so that nothing in them can clash with an operator's own columns.
+
+    `df` has columns c0, c1, ...; `names` are the given ones without those that a result of the operator replaces (names
+    that differ in case only are the same)."""
+
+    def __init__(self, df: DataFrame, *results: str):
+        taken = {r.lower() for r in results}
+        self.all = df.columns
+        self.names = [c for c in df.columns if c.lower() not in taken]
+        self.df = df.toDF(*[f"c{k}" for k in range(len(self.all))]).select(*[f"c{k}" for k, c in enumerate(self.all) if c.lower() not in taken])
+
+    def at(self, name: str) -> str:
+        """The inner name of a column."""
+        same = [k for k, c in enumerate(self.all) if c == name] or [k for k, c in enumerate(self.all) if c.lower() == name.lower()]
+        if not same or f"c{same[0]}" not in self.df.columns:
+            raise ValueError(f"no column {name} in {self.all}")
+        return f"c{same[0]}"
+
+    def back(self, df: DataFrame, *more: str) -> DataFrame:
+        """df (inner columns in order, then others) under the given names."""
+        return df.select(*self.df.columns, *more).toDF(*self.names, *more)
+
+
 def arrow_schema(ddl: str) -> T.StructType:
     return T._parse_datatype_string(ddl)
 

@@ -112,60 +112,69 @@ def test_decontamination(spark):
 # --- 2: SentencePiece ------------------------------------------------------------------------------------------
 
 
-def _slow_best(pieces, text):
-    """Score of the best segmentation, by a dictionary."""
-    known = {t: pieces.score[i] for i, t in enumerate(_texts) if _kinds[i] == 1}
-    s = "▁" + text.replace("▁", "\x00").replace(" ", "▁")
-    best = [0.0] + [-math.inf] * len(s)
-    for e in range(1, len(s) + 1):
-        for b in range(max(0, e - 20), e):
-            part = s[b:e]
-            v = known.get(part)
-            if v is None and e - b == 1:
-                v = pieces.unknown
-            if v is not None:
-                best[e] = max(best[e], best[b] + v)
-    return best[-1]
-
-
-def test_sentencepiece(spark, corpus):
-    global _texts, _kinds
+def _slow_ids(rows, pieces, text):
+    """ids of the best path by a dictionary over characters; of equal ones the piece that starts first wins."""
+    known = {t.replace("▁", " "): i for i, (t, _, k) in enumerate(rows) if k == 1}
+    longest, said = max(map(len, known)), " " + text if text else ""
+    best, back = [0] + [None] * len(said), [None] * (len(said) + 1)
+    for a in range(len(said)):
+        if best[a] is None:
+            continue
+        for b in range(a + 1, min(len(said), a + longest) + 1):
+            i = known.get(said[a:b], len(rows) if b == a + 1 else None)
+            if i is not None and (best[b] is None or best[a] + int(pieces.score[i]) > best[b]):
+                best[b], back[b] = best[a] + int(pieces.score[i]), (a, i)
+    out, end = [], len(said)
+    while end:
+        a, i = back[end]
+        out[:0] = [i] if i < len(rows) else [int(pieces.byte[c]) for c in said[a:end].encode()] if pieces.has_bytes else [pieces.unk]
+        end = a
+    return out
+
+
+def test_sentencepiece(spark, corpus, monkeypatch):
     with open(sentencepieces.DEFAULT_MODEL, "rb") as f:
         rows, unigram = sentencepieces.read_model(f.read())
     assert len(rows) == 32000 and not unigram
-    _texts, _kinds = [r[0] for r in rows], [r[2] for r in rows]
     p = sentencepieces.Pieces(rows, unigram)
     for i in range(0, 32000, 37):  # the trie finds every piece and nothing else
-        if _kinds[i] == 1:
+        if rows[i][2] == 1:
             node = 0
-            for c in _texts[i].encode():
-                child = p.trie.base[node] + c
-                assert p.trie.check[child] == node
+            for c in rows[i][0].replace("▁", " ").encode():
+                child = p.base[node] + c
+                assert p.check[child] == node
                 node = child
-            assert p.trie.value[node] == i
+            assert p.value[node] == i
     rng = random.Random(3)
-    samples = ["Hello world", "the   the", "naïve ▁ x", "漢字 \U0001f600!", "a\nb", " ", *[prose(rng, vocabulary(rng), 12) for _ in range(15)]]
-    for s in samples:
-        ids = p.encode(s)
-        got, run = 0.0, []
-        for i in ids:  # bytes of one unknown character count once
-            if p.is_byte[i]:
-                run.append(p.bytes_of[i])
-                try:
-                    b"".join(run).decode()
-                except UnicodeDecodeError:
-                    continue
-                got, run = got + p.unknown, []
-            else:
-                got += p.score[i]
-        assert math.isclose(got, _slow_best(p, s), rel_tol=1e-9), s
-    docs = make(spark, corpus).withColumn("ids", words_col("clash"))
-    out = sentencepieces.decode(spark, sentencepieces.encode(spark, docs)).collect()
-    assert len(out) == len(corpus)
-    assert Counter((r.doc_id, r.decoded) for r in out) == Counter((i, t or "") for i, t in corpus)
+    junk = ["$", "%", "&&&", "%%%", "***", "é", "漢", "▁", "\n", " ", "a", "😀"]
+    samples = ["Hello world", "the   the", "naïve ▁ x", "漢字 😀!", "a\nb", " ", "", " \n ", "a" * 1500, "é漢" * 600, "ab%%%" * 300]
+    samples += [prose(rng, vocabulary(rng), 12) for _ in range(15)] + ["".join(rng.choices(junk, k=rng.randint(1, 40))) for _ in range(300)]
+    found = p.encode_all([s.encode() for s in samples])
+    for k, s in enumerate(samples):
+        own = found.ids[found.first[k] : found.first[k + 1]]
+        assert own.tolist() == _slow_ids(rows, p, s) == p.encode(s).tolist(), s
+        assert found.by_byte[k] == p.is_byte[own].sum()
+    monkeypatch.setattr(sentencepieces, "LONG_UNIT", 2)  # unit by unit
+    assert p.encode_all([s.encode() for s in samples]).ids.tolist() == found.ids.tolist()
+    monkeypatch.undo()
+    small = [("<unk>", 0.0, 2), ("▁a", -1.0, 1), ("b", -2.0, 1), ("▁ab", -3.0, 1), ("ab", -1.5, 1), ("▁", -1.5, 1), ("c▁", -0.5, 1)]
+    q = sentencepieces.Pieces(small, True)  # log probabilities of its own, no byte pieces, a piece that ends a word
+    assert not q.apart and q.encode("abc ab").tolist() == _slow_ids(small, q, "abc ab") == [3, 6, 4]
+    assert q.encode("ab").tolist() == [3] and q.encode("a?").tolist() == [1, 0]
+    docs = make(spark, corpus).withColumn("IDS", words_col("clash")).withColumn("a.b", words_col("dots")).withColumn("decoded", words_col("x"))
+    encoded = sentencepieces.encode(spark, docs)
+    assert encoded.columns == ["doc_id", "text", "lang", "source", "n_chars", "a.b", "decoded", "ids", "n_tokens", "n_byte_pieces"]
+    out = sentencepieces.decode(spark, encoded).collect()
+    assert Counter((r.doc_id, r.text, r.decoded, r.n_tokens) for r in out) == Counter((i, t, t or "", len(p.encode(t or ""))) for i, t in corpus)
+    again = sentencepieces.encode(spark, docs, back=True).collect()
+    assert Counter((r.doc_id, r.text, tuple(r.ids)) for r in again) == Counter((r.doc_id, r.decoded, tuple(r.ids)) for r in out)
+    ids = spark.createDataFrame([([5, None, 99_999, -3],), (None,), ([],), ([p.byte[0xFF].item()],)], "ids array<int>")
+    assert [r.decoded for r in sentencepieces.decode(spark, ids).collect()] == [p.decode([5]), "", "", "\ufffd"]
     dig = sentencepieces.digest(spark, docs).collect()
     assert all(r.round_trip for r in dig)
-    assert sentencepieces.digest(spark, make(spark, [])).count() == 0
+    sha = lambda t: hashlib.sha256(np.array(p.encode(t or ""), "<i4").tobytes()).hexdigest()
+    assert Counter((r.doc_id, r.ids_sha256) for r in dig) == Counter((i, sha(t)) for i, t in corpus)
+    assert sentencepieces.digest(spark, make(spark, [])).count() == sentencepieces.encode(spark, make(spark, [])).count() == 0
 
 
 def words_col(name):
