@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 
 from promolake.llm import decontamination, host_rules, jaccard_join, line_dedup, pii, resampling, sentencepieces, suffix_runs, suffix_tree, toxicity, words
 from promolake.llm.components import components
@@ -81,34 +82,108 @@ def test_words_and_shingles(corpus):
 # --- 1: decontamination ----------------------------------------------------------------------------------------
 
 
+_JAVA_SPACE, _LOWER_RUN = re.compile(r"[ \t-\r]+"), regex.compile(r"(?<![\p{L}\p{N}])(\p{Lu}\p{Ll}+) (?=\p{Lu}\p{Ll})")
+
+
+def _plain_template(text, names=True, tie=True):
+    """(typed words, words) by plain code: a loop over words."""
+    spaced = _JAVA_SPACE.sub(" ", text)
+    words = (_LOWER_RUN.sub("\\1⁀", spaced) if tie else spaced).split(" ")
+    words = [w for w in words if w]
+    out = []
+    for k, w in enumerate(words):
+        if names:
+            w = regex.sub(r"(?<![\p{L}\p{N}⁀])\p{Lu}\p{Ll}+(⁀\p{Lu}\p{Ll}+)*", "⟨name⟩", w)
+        w = regex.sub(r"(?<![^\s(\[$€£+\-])[$€£]?[+\-]?[0-9]+([.,:/][0-9]+)*%?", "⟨num⟩", w)
+        if k and out[-1].endswith("⟨num⟩"):
+            unit = next((u for u in sorted(decontamination.UNITS, key=len, reverse=True) if w.lower().startswith(u) and not regex.match(r"[\p{L}\p{N}]", w[len(u) : len(u) + 1] or " ")), None)
+            w = "⟨unit⟩" + w[len(unit) :] if unit else w
+        out.append(w)
+    return [w.lower() for w in out], [w.lower() for w in words]
+
+
+def _plain_held(text, item, share=0.5, slack=3, size=8, least=4):
+    """Whether a document holds an item: all windows against all windows."""
+    if text is None or not _plain_template(item)[1]:
+        return False
+    forms, telling = [], lambda win: sum(regex.sub(r"[^\p{L}\p{N}⟨⟩]", "", w) not in ("⟨num⟩", "⟨unit⟩", "⟨name⟩") for w in win) >= least
+    for names in (True, False):
+        form, words = _plain_template(item if names else item.lower(), names)
+        forms.append((form, words, *_plain_template(text), [a for a in range(len(form) - size + 1) if telling(form[a : a + size])], size))
+    if not any(f[4] for f in forms):
+        w, said = ([x.lower() for x in _JAVA_SPACE.sub(" ", t).split(" ") if x] for t in (item, text))
+        n = min(size, len(w))
+        forms = [(w, w, said, said, list(range(len(w) - n + 1)), n)]
+    for form, asked, doc_form, doc_words, ats, n in forms:
+        at = defaultdict(set)
+        for p in range(len(doc_form) - n + 1):
+            for a in ats:
+                if doc_form[p : p + n] == form[a : a + n]:
+                    at[p - a].add(a)
+        for shift in at:
+            pairs = {(a, s) for s in at if abs(s - shift) <= slack for a in at[s]}
+            if not ats or len({a for a, _ in pairs}) < share * len(ats):
+                continue
+            filled = set()
+            for a, s in pairs:
+                for p in range(a, a + n):
+                    if m := re.search("⟨(num|unit|name)⟩", form[p]):
+                        filled.add((m[1], asked[p], doc_words[p + s]))
+            named = [f for f in filled if f[0] == "name"]
+            if len({f[:2] for f in filled}) == len(filled) and len({f[1] for f in named}) == len({f[2] for f in named}):
+                return True
+    return False
+
+
 def test_decontamination(spark):
     rng = random.Random(9)
     vocab = vocabulary(rng)
     items = [(k, prose(rng, vocab, 25).replace("\n", " ")) for k in range(5)]
     items.append((5, "Maria bought 12 red apples and 7 green pears, then gave 12 apples to Jonas for 3 kg of rice today"))
-    items += [(6, None), (7, ""), (8, "1 2 3 4 5 6 7 8 9 10 11 12"), (9, "two plus two is four"), (9, "two plus two is four")]
-    bench = spark.createDataFrame(items, "item_id bigint, text string").selectExpr("*", "1 as h", "2 as words")
+    items += [(6, None), (7, ""), (8, "1 2 3 4 5 6 7 8 9 10 11 12"), (9, "two plus two is four"), (9, "two plus two is four"), (10, " \n")]
+    items.append((11, "Tom has 5 red apples in a box. Tom gives 2 apples to Ann. Tom then buys 4 more apples at 3 dollars each. How many apples does Tom have now?"))
+    items.append((None, "who wrote it"))
+    bench = spark.createDataFrame(items, "item_id bigint, text string").selectExpr("*", "1 as h", "2 as words", "3 as form")
     filler = lambda n: prose(rng, vocab, n)
-    asked = items[5][1]
+    asked, story = items[5][1], items[12][1]
     other = "maria bought 31 red apples and 9 green pears, then gave 31 apples to Petra for 5 kg of rice today"
     torn = "maria bought 31 red apples and 9 green pears, then gave 40 apples to Petra for 5 kg of rice today"
+    mark = story.replace("Tom", "Mark").replace("5", "17").replace("Ann", "Mary Ann")
     docs = [
         (0, filler(80)), (1, filler(30) + " " + items[0][1] + " " + filler(20)), (2, items[1][1]), (2, items[1][1]), (3, None), (4, ""),
         (5, "so " + asked + " end"), (6, "now " + other + " end"), (7, "now " + torn + " end"), (8, "1 2 3 4 5 6 7 8 9 10 11 12 13"),
         (9, "and two plus two is four then"), (None, items[2][1]), (10, " ".join(items[3][1].split(" ")[:9]) + " " + filler(40)),
+        (11, filler(300) + " " + mark + " " + filler(5)), (12, story.lower()), (13, "X " + story.upper()), (14, mark.replace("Mark gives", "Jane gives")), (15, "So who wrote it all?"),
+        (16, "1 2 3 4 5 6 7 8 9 10 x 12"), (17, story.replace("then buys", "then very soon buys")), (18, (items[0][1] + " ") * 40), (19, filler(6000) + " " + asked),
     ]
     found = decontamination.contaminated(spark, make(spark, docs), bench)
     pairs = {(r.doc_id, r.item_id) for r in found.collect()}
-    assert pairs == {(1, 0), (2, 1), (5, 5), (6, 5), (9, 9), (None, 2)}
+    assert pairs == {(1, 0), (2, 1), (5, 5), (6, 5), (8, 8), (9, 9), (None, 2), (11, 11), (12, 11), (13, 11), (15, None), (16, 8), (17, 11), (18, 0), (19, 5)}
+    assert pairs == {(d, i) for d, t in docs for i, x in items if x is not None and _plain_held(t, x)}
     assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
-    left = decontamination.clean(spark, make(spark, docs), bench)
-    assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    assert sorted(r.doc_id for r in left.collect()) == [0, 3, 4, 7, 8, 10]
+    clash = make(spark, docs).selectExpr("*", "1 as __th", "2 as _th", "3 as _id", "4 as held_id", "5 as c0", "6 as `a.b`", "7 as h")
+    left = decontamination.clean(spark, clash, bench)
+    assert left.columns == clash.columns
+    assert sorted(tuple(r)[0] for r in left.collect()) == [0, 3, 4, 7, 10, 14] and {tuple(r)[5:] for r in left.collect()} == {(1, 2, 3, 4, 5, 6, 7)}
     empty = make(spark, [])
     assert decontamination.contaminated(spark, empty, bench).count() == 0
     assert decontamination.contaminated(spark, make(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_templates(spark):
+    """Words and placeholders against a loop over words."""
+    rng = random.Random(31)
+    bits = ["Tom", "Mary", "5", "kg", "$3.50", "12%", "3", "dollars", "apples", "Élan", "McX", "a", "(4)", "x9", "Tom,", "9.", "KG", "\n", "  ", "U.S.", "-7", "mm,", "8-9"]
+    texts = [(k, " ".join(rng.choices(bits, k=rng.randint(0, 14)))) for k in range(200)]
+    from pyspark.sql import functions as F
+
+    t = F.col("text")
+    rows = make(spark, texts).select("doc_id", "text", decontamination.template(t).alias("x"), decontamination.plain(t).alias("y"), decontamination.template(F.lower(t), names=False).alias("z")).collect()
+    for r in rows:
+        assert (r.x, r.y) == _plain_template(r.text), r.text
+        assert r.z == _plain_template(r.text.lower(), False)[0], r.text
+
+
 # --- 2: SentencePiece ------------------------------------------------------------------------------------------
 
 
@@ -307,37 +382,105 @@ def test_toxicity(spark):
 # --- 5: suffix tree --------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("head", [1 << 20, 150])
-def test_suffix_tree(spark, corpus, head):
-    out = suffix_tree.score(spark, make(spark, corpus).selectExpr("*", "1 as h", "2 as symbol"), head).collect()
+def _tokens(t):
+    return WORD.findall((t or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+class _PlainTree:
+    """The tree by dictionaries over tuples of symbols."""
+
+    def __init__(self, texts, head, least, often, gain, strength, alpha=0.1):
+        count = Counter(w for t in texts for w in _tokens(t))
+        self.count, self.alpha, self.strength, self.ends = count, alpha, strength, len(texts)
+        floor = next((n for n in sorted(set(count.values())) if sum(c >= n for c in count.values()) <= head), 1 << 60)
+        self.own = {w for w, c in count.items() if c >= floor}
+        self.total = sum(count.values()) + self.ends
+        lines = [["<s>", *[self.symbol(w) for w in _tokens(t)], "</s>"] for t in texts]
+        mass = Counter(s for line in lines for s in line[1:])
+        size = len(self.own) + suffix_tree.CLASSES + 1
+        self.root = lambda s: (mass[s] + alpha) / (self.total + alpha * size)
+        self.shared = Counter()
+        for w, c in count.items():
+            if w not in self.own:
+                self.shared[self.symbol(w)] += c + alpha
+        self.states = {}
+        k, tried = 1, {(s,) for line in lines for s in line[:-1] if sum(x.count(s) for x in lines) >= least}
+        while tried:
+            after = defaultdict(Counter)
+            for line in lines:
+                for at in range(max(1, k), len(line)):
+                    if (c := tuple(line[at - k : at])) in tried:
+                        after[c][line[at]] += 1
+            kept = {}
+            for c, n in after.items():
+                times = sum(n.values())
+                spare = strength + sum(x for x in n.values() if x < often)
+                won = 0.0
+                for s, x in n.items():
+                    p = self.symbol_p(c[1:], s)
+                    less = (x - 1 if x > often else 0) + (spare - 1 if x < often else spare + often - 1 if x == often else spare) * p
+                    won += x * math.log(less / (times - 1 + strength) / p)
+                if times >= least and won > gain:
+                    kept[c] = ({s: x for s, x in n.items() if x >= often}, times, spare)
+            tried = {(*c, s) for c, n in after.items() for s, x in n.items() if x >= least and s != "</s>" and (*c[1:], s) in kept}
+            self.states |= kept
+            k += 1
+
+    def symbol(self, w):
+        return w if w in self.own else int(suffix_tree.Tokens([w.encode()]).of_class[0])
+
+    def symbol_p(self, c, s):
+        """Of the longest state that c ends with."""
+        while c and c not in self.states:
+            c = c[1:]
+        if not c:
+            return self.root(s)
+        n, times, spare = self.states[c]
+        return (n.get(s, 0) + spare * self.symbol_p(c[1:], s)) / (times + self.strength)
+
+    def score(self, text):
+        before, out = ("<s>",), 0.0
+        for w in [*_tokens(text), None]:
+            s = "</s>" if w is None else self.symbol(w)
+            p = self.symbol_p(before, s)
+            if isinstance(s, int):
+                p *= (self.count[w] + self.alpha) / (self.shared[s] + self.alpha)
+            out, before = out + math.log10(p), (*before, s)
+        return out
+
+
+@pytest.mark.parametrize(("head", "known", "followers"), [(1 << 20, 1 << 20, 1 << 20), (150, 1 << 20, 40), (1 << 20, 1 << 20, 0), (150, 12, 60), (1 << 20, 0, 1 << 20)])
+def test_suffix_tree(spark, corpus, head, known, followers):
+    """Against dictionaries; the same whether words, states and followers are held or joined."""
+    rng = random.Random(11)
+    rows = list(corpus)
+    chain = "the red fox saw the red dog and the old fox ran".split(" ")
+    for k in range(60):
+        w = [x for _ in range(12) for x in (chain if rng.random() < 0.7 else rng.sample(chain, 5))]
+        rows.append((1000 + k, " ".join(w)))
+    own = {"least": 12, "often": 2, "gain": 2.0, "strength": 5.0}
+    docs = make(spark, rows).selectExpr("*", "1 as h", "2 as uid")
+    out = suffix_tree.score(spark, docs, head, known, followers, **own).collect()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
-    tokens = lambda t: [*WORD.findall((t or "").translate({c: c + 32 for c in range(65, 91)})), None]
-    count = Counter(w for i, t in corpus if not held(i) for w in tokens(t))
-    n, v = sum(count.values()), len(count)
+    tree = _PlainTree([t for i, t in rows if not held(i)], head, **own)
+    assert {len(c) for c in tree.states} >= {1, 2, 3, 4}
+    n, v = tree.total, len(tree.count) + 1
+    count = tree.count | {None: tree.ends}
     expected = Counter()
-    for i, t in corpus:
-        w = tokens(t)
-        base = sum(math.log10((count[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
-        expected[(i, held(i), len(w), sum(count[x] > 0 for x in w), n, round(base, 6))] += 1
-    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in out) == expected
-    assert all(r.score <= 0 and math.isfinite(r.score) for r in out)
-    global _scores
-    if head == 150:  # the same whether words are in the head or in the join
-        assert sorted(round(r.score, 4) for r in out) == _scores
-    _scores = sorted(round(r.score, 4) for r in out)
-
-
-def test_tree_states():
-    rng = np.random.default_rng(0)
-    s = suffix_tree.SYMBOLS
-    counts = np.zeros((s + 1, s + 1, s), np.int64)
-    counts[1, 2, 3], counts[4, 2, 5] = 5000, 5000  # what follows 2 depends on what is before it
-    counts[:s, 6] = rng.integers(20, 30, (s, s))  # what follows 6 does not
-    tree = suffix_tree.Tree(counts)
-    assert np.allclose((10.0**tree.log).sum(1), 1, atol=1e-3)
-    assert tree.state[1, 2] != tree.state[4, 2] != tree.state[7, 2]
-    assert len(set(tree.state[:, 6].tolist())) == 1
-    assert tree.log[tree.state[1, 2], 3] > -0.05 and tree.log[tree.state[4, 2], 3] < -2
+    for i, t in rows:
+        w = [*_tokens(t), None]
+        base = sum(math.log10((count.get(x, 0) + 0.1) / (n + 0.1 * (v + 1))) for x in w)
+        expected[(i, held(i), len(w), sum(x in count for x in w), n, round(base, 6), round(tree.score(t), 5))] += 1
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 5)) for r in out) == expected
+
+
+def test_suffix_tree_edges(spark, corpus):
+    out = suffix_tree.score(spark, make(spark, corpus)).collect()
+    assert len(out) == len(corpus) and all(r.score <= 0 and math.isfinite(r.score) for r in out)
+    assert suffix_tree.score(spark, make(spark, [])).count() == 0
+    lone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+    only = suffix_tree.score(spark, make(spark, [(lone, "a b"), (lone, None)])).collect()  # no training text
+    assert {(r.train_tokens, r.n_known, r.held_out) for r in only} == {(0, 0, True)} and all(math.isfinite(r.score) for r in only)
 
 
 # --- 6: line dedup ---------------------------------------------------------------------------------------------
