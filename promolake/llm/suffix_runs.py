@@ -12,34 +12,39 @@ with samples at run heads and run ends.  The samples hold suffix positions and t
 neighbouring suffixes; matching statistics of all positions are streamed from the nearest sample before them, and
 positions with LENGTH or more are marked.
 
-Anchors with more than GROUP fragments (a passage before ever new text) would make one task large; their windows are
-counted instead, by hash, with partial sums before the shuffle, which is exact in the same sense.
+A group of more than GROUP fragments (a passage before ever new text) would make one task large, so it is dealt on.
+Each fragment is split by where its anchor stands in the window, into two halves of these offsets; the bytes that all
+windows of a half have in common, which are more than the anchor, tell the new groups apart.  Equal halves repeat as a
+whole, groups that are small enough go to the index, others are split again; at a single offset the group is the window.
 
-Nulls and edges: a null text counts as empty; texts shorter than LENGTH lose nothing; periodic text repeats within its
-own document and goes; rows that repeat are further occurrences, also with one doc_id; null ids are allowed."""
+Nulls and edges: a null text counts as empty; texts shorter than LENGTH lose nothing; texts of any length are read in
+parts of bounded size; periodic text repeats within its own document and goes; rows that repeat are further occurrences,
+also with one doc_id; null ids are allowed; an empty table gives an empty result; only doc_id and text are read, so
+other columns cannot clash."""
 
 from __future__ import annotations
 
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Shelf, arrow_schema, chunks, signed, utf8
+from .common import BROADCAST_ROWS, Shelf, arrow_schema, chunks, signed, small_enough, utf8
 from .words import byte_sums, mix, span_hash
 
 LENGTH, GRAM, GROUP = 200, 100, 2000
-#: Bytes of fragments that one index is built over.
-INDEX_BYTES = 1_000_000
+#: Bytes of fragments that one index is built over, and of a text that are looked at together.
+INDEX_BYTES, PART_BYTES = 1_000_000, 4_000_000
+#: Occurrences of one key that are taken out of a join; such keys are few.
+HOT = 20_000
 _PLACE = np.uint64((1 << 28) - 1)
 
 
 class Anchors:
-    """Of some texts: text, hash, fragment hash, first window start and fragment end (in the text) of each anchor."""
+    """Of some texts: text, hash, fragment hash, fragment start and end (in the text) and place in it of each anchor."""
 
     def __init__(self, texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -47,7 +52,7 @@ class Anchors:
         buf = np.frombuffer(b"".join(texts), np.uint8)
         windows = np.maximum(sizes - length + 1, 0)
         empty = np.empty(0, np.int64)
-        self.doc, self.hash, self.fragment, self.start, self.end = empty, empty.view(np.uint64), empty.view(np.uint64), empty, empty
+        self.doc, self.hash, self.fragment, self.start, self.end, self.place = empty, empty.view(np.uint64), empty.view(np.uint64), empty, empty, empty
         if not windows.sum():
             return
         sums = byte_sums(buf)
@@ -68,7 +73,7 @@ class Anchors:
         start, end, anchor = w[heads], w[last] + length, place[heads]
         self.doc, self.hash = doc[heads], h[anchor]
         self.fragment = mix(span_hash(sums, start, end) ^ (anchor - start).astype(np.uint64))
-        self.start, self.end = start - offsets[:-1][self.doc], end - offsets[:-1][self.doc]
+        self.start, self.end, self.place = start - offsets[:-1][self.doc], end - offsets[:-1][self.doc], anchor - start
 
 
 class RunIndex:
@@ -137,11 +142,22 @@ class RunIndex:
         return [hit[a:b] - f for a, b, f in zip(cut[:-1].tolist(), cut[1:].tolist(), self.first.tolist(), strict=False)]
 
 
-_MEASURED = "uid bigint, doc_id bigint, th bigint, n_bytes bigint, sha string, a array<bigint>, f array<bigint>, s array<int>, e array<int>"
+def anchors_of(texts: list[bytes]) -> list[np.ndarray]:
+    """text, hash, fragment hash, start, end, place of all anchors; a long text part by part, each window in one part."""
+    out = []
+    for first in range(0, max(1, max(map(len, texts), default=0) - LENGTH + 1), PART_BYTES):
+        x = Anchors([t[first : first + PART_BYTES + LENGTH - 1] for t in texts] if first or len(texts) == 1 else texts)
+        out.append([x.doc, x.hash, x.fragment, x.start + first, x.end + first, x.place])
+        if len(texts) > 1:  # texts are together only if they are short
+            break
+    return [np.concatenate([o[k] for o in out]) for k in range(6)]
+
+
+_MEASURED = "uid bigint, k bigint, doc_id bigint, n_bytes bigint, sha string, a array<bigint>, f array<bigint>, s array<int>, e array<int>, p array<int>"
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """A row for each document, with its anchors."""
+    """A row for each document, with its anchors; docs: doc_id, text, k."""
 
     def run(batches):
         names = [x.split()[0] for x in _MEASURED.split(", ")]
@@ -149,31 +165,68 @@ def measured(docs: DataFrame) -> DataFrame:
         for b in batches:
             texts = utf8(b.column(1))
             for i, j in chunks([len(t) for t in texts]):
-                x, n = Anchors(texts[i:j]), j - i
-                cut = pa.array(np.searchsorted(x.doc, np.arange(n + 1)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(cut, pa.array(v)) for v in (signed(x.hash), signed(x.fragment), x.start.astype(np.int32), x.end.astype(np.int32))]
+                n = j - i
+                doc, a, f, start, end, place = anchors_of(texts[i:j])
+                cut = pa.array(np.searchsorted(doc, np.arange(n + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cut, pa.array(v)) for v in (signed(a), signed(f), start.astype(np.int32), end.astype(np.int32), place.astype(np.int32))]
                 sha = pa.array([hashlib.sha256(t).hexdigest() for t in texts[i:j]])
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(uid, uid + n)), b.column(0).slice(i, n), b.column(2).slice(i, n), pa.array([len(t) for t in texts[i:j]], pa.int64()), sha, *lists], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(uid, uid + n)), b.column(2).slice(i, n), b.column(0).slice(i, n), pa.array([len(t) for t in texts[i:j]], pa.int64()), sha, *lists], names=names)
                 uid += n
 
-    return docs.mapInArrow(run, arrow_schema(_MEASURED))
+    return docs.select("doc_id", "text", "k").mapInArrow(run, arrow_schema(_MEASURED))
+
+
+_PIECES = "g bigint, f bigint, uid bigint, s int, p int, lo int, hi int, body binary"
+_PIECE_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+
+
+def _pieces(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) or [[]] * 8
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, _PIECE_KINDS, strict=True)], names=[x.split()[0] for x in _PIECES.split(", ")])
 
 
 def fragments(texts: DataFrame) -> DataFrame:
-    """a, f, uid, s, body of the pieces that `want` (array of a, f, uid, s, e) names; texts: text, want."""
+    """The pieces that `want` (array of a, f, uid, s, e, p) names; texts: text, want."""
+    last = LENGTH - GRAM
 
     def run(batches):
         for b in batches:
-            rows = [(w["a"], w["f"], w["uid"], w["s"], t[w["s"] : w["e"]]) for t, ws in zip(utf8(b.column(0)), b.column(1).to_pylist(), strict=True) for w in ws]
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["a", "f", "uid", "s", "body"])
+            for t, ws in zip(utf8(b.column(0)), b.column(1).to_pylist(), strict=True):
+                yield _pieces([(w["a"], w["f"], w["uid"], w["s"], w["p"], 0, last, t[w["s"] : w["e"]]) for w in ws])
 
-    return texts.mapInArrow(run, arrow_schema("a bigint, f bigint, uid bigint, s int, body binary"))
+    return texts.mapInArrow(run, arrow_schema(_PIECES))
+
+
+def halves(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Each piece as two: the windows with their anchor in the lower and in the upper half of the offsets lo to hi."""
+
+    def of(g: int, uid: int, s: int, p: int, lo: int, hi: int, body: bytes):
+        first, last = max(0, p - hi), min(len(body) - length, p - lo)
+        if first > last:
+            return
+        sums = byte_sums(np.frombuffer(body, np.uint8))
+        # all windows of the half have the bytes from p - lo on, up to where the earliest one may end
+        at = np.array([p - lo, first])
+        common, whole = span_hash(sums, at, np.array([p + length - hi, last + length]))
+        with np.errstate(over="ignore"):
+            new = mix(np.array([np.uint64(g & (1 << 64) - 1) * np.uint64(0x9E3779B97F4A7C15) + common + np.uint64(lo), whole ^ np.uint64(p - first)]))
+        yield (*signed(new).tolist(), uid, s + first, p - first, lo, hi, body[first : last + length])
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for g, uid, s, p, lo, hi, body in zip(*(b.column(k).to_pylist() for k in range(7)), strict=True):
+                mid = (lo + hi) // 2
+                rows += of(g, uid, s, p, lo, mid, body)
+                if hi > mid:
+                    rows += of(g, uid, s, p, mid + 1, hi, body)
+            yield _pieces(rows)
+
+    return pieces.select("g", "uid", "s", "p", "lo", "hi", "body").mapInArrow(run, arrow_schema(_PIECES))
 
 
 def indexed(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
-    """uid, s, e of the byte ranges that an index marks; pieces: sorted by a within partitions."""
+    """uid, s, e of the byte ranges that an index marks; pieces: sorted by g within partitions."""
 
     def resolve(rows: list[tuple]) -> pa.RecordBatch:
         index = RunIndex([r[3] for r in rows])
@@ -199,22 +252,20 @@ def indexed(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
         if held:
             yield resolve(held)
 
-    return pieces.select("a", "uid", "s", "body").mapInArrow(run, arrow_schema("uid bigint, s int, e int"))
-
+    return pieces.select("g", "uid", "s", "body").mapInArrow(run, arrow_schema("uid bigint, s int, e int"))
 
-def counted(shelf: Shelf, pieces: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The same ranges for anchors with too many fragments: windows are counted by hash."""
 
-    def run(batches):
-        for b in batches:
-            for uid, s, body in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                at = np.arange(len(body) - length + 1)
-                h = span_hash(byte_sums(np.frombuffer(body, np.uint8)), at, at + length)
-                yield pa.RecordBatch.from_pydict({"uid": np.full(len(at), uid, np.int64), "s": (at + s).astype(np.int32), "h": signed(h)})
+def those_with(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows whose key is among keys (with `times`, its number of rows).
 
-    windows = shelf.put(pieces.select("uid", "s", "body").mapInArrow(run, arrow_schema("uid bigint, s int, h bigint")), "windows")
-    often = windows.groupBy("h").count().filter("count > 1").select("h")
-    return windows.join(often, "h", "left_semi").select("uid", "s", (F.col("s") + length).alias("e"))
+    Keys with very many rows are looked up in a broadcast, if they are few, so that no task gets all rows of one key."""
+    if small_enough(keys, BROADCAST_ROWS):
+        return rows.join(F.broadcast(keys.select(*on)), on, "left_semi")
+    hot = keys.filter(F.col("times") > HOT).select(*on)
+    if not small_enough(hot, BROADCAST_ROWS):
+        return rows.join(keys.select(*on), on, "left_semi")
+    hot = F.broadcast(hot)
+    return rows.join(hot, on, "left_semi").unionByName(rows.join(hot, on, "left_anti").join(keys.filter(F.col("times") <= HOT).select(*on), on, "left_semi"))
 
 
 def union_of(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -227,37 +278,41 @@ def union_of(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _open_groups(kinds: DataFrame, g: str) -> DataFrame:
+    """Groups that something is to be found in: several kinds of pieces, of which one at least is alone."""
+    return kinds.groupBy(g).agg(F.count("*").alias("pieces"), F.min("times").alias("least")).filter("pieces > 1 and least = 1").select(g, "pieces")
+
+
 def spans_of(spark: SparkSession, docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents (doc_id, th, text), their measures, and the removed byte ranges (uid, s, e)."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
+    """Documents (doc_id, text, k), their measures, and the removed byte ranges (uid, s, e); k stands for id and text."""
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("k", F.xxhash64("doc_id", F.xxhash64("text"), F.col("doc_id").isNull()))
     rows = shelf.put(measured(docs), "rows")
-    all_ = rows.select("uid", F.explode(F.arrays_zip("a", "f", "s", "e")).alias("x")).select("x.a", "x.f", "uid", "x.s", "x.e")
+    all_ = rows.select("uid", F.explode(F.arrays_zip("a", "f", "s", "e", "p")).alias("x")).select("x.a", "x.f", "uid", "x.s", "x.e", "x.p")
     # anchors that occur more than once, then their occurrences
-    repeated = shelf.put(all_.groupBy("a").agg(F.count("*").alias("times")).filter("times > 1").select("a"), "repeated")
-    found = shelf.put(all_.join(repeated, "a", "left_semi"), "found")
-    kinds = found.groupBy("a", "f").agg(F.count("*").alias("times"), F.min(F.struct("uid", "s", "e")).alias("one"))
-    kinds = shelf.put(kinds, "kinds")
-    sure = found.join(kinds.filter("times > 1").select("a", "f"), ["a", "f"], "left_semi").select("uid", "s", "e")
+    repeated = shelf.put(all_.groupBy("a").agg(F.count("*").alias("times")).filter("times > 1"), "repeated")
+    found = shelf.put(those_with(all_, repeated, ["a"]), "found")
+    kinds = shelf.put(found.groupBy("a", "f").agg(F.count("*").alias("times"), F.min(F.struct("uid", "s", "e", "p")).alias("one")), "kinds")
+    spans = those_with(found.select("a", "f", "uid", "s", "e"), kinds.filter("times > 1").select("a", "f", "times"), ["a", "f"]).select("uid", "s", "e")
     # anchors with a lone fragment: one copy of each of their fragments
-    groups = kinds.groupBy("a").agg(F.count("*").alias("fragments"), F.min("times").alias("least")).filter("fragments > 1 and least = 1")
-    wanted = kinds.join(groups, "a").select("a", "f", "one.uid", "one.s", "one.e", (F.col("fragments") > GROUP).alias("large"))
-    wanted = shelf.put(wanted, "wanted")
-    per = wanted.groupBy("uid").agg(F.collect_list(F.struct("a", "f", "uid", "s", "e")).alias("want")).join(rows.select("uid", "doc_id", "th"), "uid")
-    per = shelf.put(per.drop("uid"), "per")
-    pieces = shelf.put(fragments(_joined(docs, per).select("text", "want")), "pieces")
-    large = wanted.filter("large").select("a").distinct()
-    small = pieces.join(large, "a", "left_anti")
-    big = pieces.join(large, "a", "left_semi")
+    wanted = kinds.join(_open_groups(kinds, "a"), "a").select("a", "f", "one.*", F.col("pieces") > GROUP)
+    wanted = shelf.put(wanted.toDF("a", "f", "uid", "s", "e", "p", "large"), "wanted")
+    per = wanted.groupBy("uid").agg(F.collect_list(F.struct("a", "f", "uid", "s", "e", "p")).alias("want")).join(rows.select("uid", "k"), "uid")
+    per = shelf.put(per.select("k", "want"), "per")
+    pieces = shelf.put(fragments(docs.join(per, "k").select("text", "want")).dropDuplicates(["g", "f"]), "pieces")
+    large = wanted.filter("large").select(F.col("a").alias("g")).distinct()
+    while not large.isEmpty():
+        some = F.broadcast(large) if small_enough(large, BROADCAST_ROWS) else large
+        small = pieces.join(some, "g", "left_anti")
+        split = shelf.put(halves(pieces.join(some, "g", "left_semi")), "halves")
+        kinds = shelf.put(split.groupBy("g", "f").agg(F.count("*").alias("times")), "kinds")
+        spans = spans.unionByName(those_with(split.select("g", "f", "uid", "s", (F.col("s") + F.length("body")).alias("e")), kinds.filter("times > 1"), ["g", "f"]).select("uid", "s", "e"))
+        groups = shelf.put(_open_groups(kinds, "g"), "groups")
+        some = F.broadcast(groups) if small_enough(groups, BROADCAST_ROWS) else groups
+        pieces = shelf.put(small.unionByName(split.join(some.select("g"), "g", "left_semi").dropDuplicates(["g", "f"])), "pieces")
+        large = groups.filter(F.col("pieces") > GROUP).select("g")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    marked = shelf.put(indexed(small.repartition(parts, "a").sortWithinPartitions("a", "f")), "marked")
-    spans = sure.unionByName(marked).unionByName(counted(shelf, big))
-    return docs, rows, spans
-
-
-def _joined(docs: DataFrame, per: DataFrame) -> DataFrame:
-    """docs with the columns of per, by doc_id and th; of rows that repeat, each one gets every row of per."""
-    right = per.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
-    return docs.join(right, (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id", "_th")
+    marked = shelf.put(indexed(pieces.select("g", "f", "uid", "s", "body").repartition(parts, "g").sortWithinPartitions("g", "f")), "marked")
+    return docs, rows, spans.unionByName(marked)
 
 
 def removed(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -272,8 +327,8 @@ def removed(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataF
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([[{"s": s, "e": e} for s, e in m] for m in merged], runs)], names=["uid", "spans"])
 
     kind = "array<struct<s:int,e:int>>"
-    per = spans.groupBy("uid").agg(F.collect_list(F.struct("s", "e")).alias("all")).mapInArrow(merge, arrow_schema(f"uid bigint, spans {kind}"))
-    per = shelf.put(per.join(rows.select("uid", "doc_id", "th", "n_bytes"), "uid"), "spans")
+    per = spans.groupBy("uid").agg(F.collect_list(F.struct("s", "e")).alias("all")).mapInArrow(merge, arrow_schema("uid bigint, spans array<struct<s:int,e:int>>"))
+    per = shelf.put(per.join(rows.select("uid", "k"), "uid"), "spans")
 
     def cut(batches):
         for b in batches:
@@ -285,13 +340,11 @@ def removed(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataF
                     at = x["e"]
                 kept.update(t[at:])
                 out.append(kept.hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out)], names=["uid", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["k", "kept_sha256"])
 
-    # rows that repeat have the same ranges, so any one of them gives a uid's bytes
-    kept = _joined(docs, per.select("uid", "doc_id", "th", "spans")).select("uid", "text", "spans").mapInArrow(cut, arrow_schema("uid bigint, kept_sha256 string")).dropDuplicates(["uid"])
-    out = rows.select("uid", "doc_id", "n_bytes", "sha").join(per.select("uid", "spans"), "uid", "left").join(kept, "uid", "left")
+    # rows that repeat have the same ranges, so one of them speaks for all
+    one = per.groupBy("k").agg(F.first("spans").alias("spans"))
+    kept = docs.join(one, "k").select("k", "text", "spans").mapInArrow(cut, arrow_schema("k bigint, kept_sha256 string")).dropDuplicates(["k"])
+    out = rows.select("uid", "k", "doc_id", "n_bytes", "sha").join(per.select("uid", "spans"), "uid", "left").join(kept, "k", "left")
     n_removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda acc, x: acc + x["e"] - x["s"])
     return out.select("doc_id", "n_bytes", F.coalesce(n_removed, F.lit(0)).alias("n_removed"), F.coalesce(F.size("spans"), F.lit(0)).cast("bigint").alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"), "spans")
-
-
-__all__ = ["Anchors", "RunIndex", "pd", "removed", "union_of"]

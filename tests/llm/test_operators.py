@@ -626,16 +626,46 @@ def _plain_removed(texts, n=200):
     return out
 
 
-@pytest.mark.parametrize("group", [2000, 1])
-def test_suffix_runs(spark, corpus, group, monkeypatch):
+@pytest.mark.parametrize(("group", "hot", "part"), [(2000, 20_000, 4_000_000), (1, 1, 1000), (5, 0, 333)])
+def test_suffix_runs(spark, corpus, group, hot, part, monkeypatch):
     monkeypatch.setattr(suffix_runs, "GROUP", group)
-    expected = Counter((i, *r) for (i, _), r in zip(corpus, _plain_removed([(t or "").encode() for _, t in corpus]), strict=True))
-    got = suffix_runs.removed(spark, make(spark, corpus).selectExpr("*", "1 as a", "2 as uid")).collect()
+    monkeypatch.setattr(suffix_runs, "PART_BYTES", part)
+    if hot < 20_000:  # every key by a join, or by the broadcast of the frequent ones
+        monkeypatch.setattr(suffix_runs, "HOT", hot)
+        monkeypatch.setattr(suffix_runs, "small_enough", lambda df, most: df.count() < 3 or "times" not in df.columns)
+    rng = random.Random(77)
+    vocab = vocabulary(rng)
+    passage = prose(rng, vocab, 60)
+    rows = [*corpus, *[(3000 + k, prose(rng, vocab, k) + passage + prose(rng, vocab, 30)) for k in range(25)]]
+    expected = Counter((i, *r) for (i, _), r in zip(rows, _plain_removed([(t or "").encode() for _, t in rows]), strict=True))
+    got = suffix_runs.removed(spark, make(spark, rows).selectExpr("*", "1 as a", "2 as uid", "3 as k")).collect()
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == expected
     if group == 1:
         assert suffix_runs.removed(spark, make(spark, [])).count() == 0
 
 
+def test_anchors_of_long_texts(monkeypatch):
+    """Part by part, each window is in one fragment, and equal windows have equal anchors."""
+    rng = random.Random(4)
+    text = "".join(rng.choice("ab ") for _ in range(2500)).encode() + b"x" * 700
+    text += text[300:1400]
+    whole = suffix_runs.anchors_of([text])
+    monkeypatch.setattr(suffix_runs, "PART_BYTES", 431)
+    split = suffix_runs.anchors_of([text])
+    assert len(split[0]) > len(whole[0])
+    for _, h, _, start, end, place in (whole, split):
+        of_window = {}
+        for a, s, e, p in zip(h.tolist(), start.tolist(), end.tolist(), place.tolist(), strict=True):
+            for w in range(s, e - suffix_runs.LENGTH + 1):
+                assert w not in of_window and w <= s + p <= w + suffix_runs.LENGTH - suffix_runs.GRAM
+                of_window[w] = (a, text[s + p : s + p + suffix_runs.GRAM])
+        assert sorted(of_window) == list(range(len(text) - suffix_runs.LENGTH + 1))
+        by_text = defaultdict(set)
+        for w, a in of_window.items():
+            by_text[text[w : w + suffix_runs.LENGTH]].add(a)
+        assert all(len(x) == 1 for x in by_text.values())
+
+
 def test_run_index():
     rng = random.Random(3)
     parts = [bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 60))) for _ in range(12)]
