@@ -10,15 +10,10 @@ on both sides.  Pairs whose characters or pairs of characters differ too much in
 lower bounds) fall out in the join; the others are verified by banded bit-parallel edit distance.  Of all lines that
 links connect, the first (by doc_id and line number) stays; the others go from their texts.
 
-Only which lines are connected matters, so a group of m like lines is not spelled out as m * m pairs: first every entry
-of the index is compared with one line of its segment, its centre, and the lines that this connects are components.  In
-segments of many lines this is done again with other centres, for entries of other components than the centre's, as long
-as it connects any.  Then the index is probed for pairs of different components.
-
 Nulls and edges: null and blank texts have no lines and come back as they are; blank lines stay; a null doc_id comes
-before all others; rows that repeat doc_id and text are one document that appears more than once; an empty table gives
-an empty result; all columns are kept under their names, but for n_lines and n_removed, which give way to the result's.
-No number of partners is capped."""
+before all others; rows that repeat doc_id and text are one document that appears more than once; texts are read whole;
+an empty table gives an empty result; all columns are kept under their names, but for n_lines and n_removed, which give
+way to the result's.  No number of partners is capped: a group of m like lines is joined pair by pair."""
 
 from __future__ import annotations
 
@@ -26,7 +21,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +30,6 @@ from .components import components
 from .words import mix, running, span_hash
 
 EDITS = 2
-#: Lines of a segment from which on it gets further centres.
-MANY = 8
 _SPACE = " \t\n\x0b\x0c\r"
 _CODE = np.random.default_rng(41).integers(1, 1 << 63, 4096, dtype=np.uint64) | np.uint64(1)
 _GROUP = (_CODE >> np.uint64(20)).astype(np.int64) % 24
@@ -127,19 +120,18 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, arrow_schema("doc_id bigint, th bigint, line int, h bigint"))
 
 
-def keyed(docs: DataFrame, edits: int, probes: bool) -> DataFrame:
-    """h, parity of pairs, and the index or probe keys of the lines, each line once in a part."""
+def keyed(docs: DataFrame, edits: int) -> DataFrame:
+    """h, parity of pairs, index and probe keys of the lines, each line once in a batch."""
 
     def run(batches):
         for b in batches:
             for rows in _batches_of_lines(b.column(0).to_pylist()):
                 distinct = list(dict.fromkeys(r[2] for r in rows))
                 x = Lines(distinct, edits)
-                k = x.probes if probes else x.index
-                lists = pa.FixedSizeListArray.from_arrays(pa.array(signed(k.ravel())), k.shape[1]).cast(pa.list_(pa.int64())) if len(distinct) else pa.array([], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(signed(x.hash)), pa.array(signed(x.pairs)), lists], names=["h", "pairs", "keys"])
+                lists = [pa.FixedSizeListArray.from_arrays(pa.array(signed(k.ravel())), k.shape[1]).cast(pa.list_(pa.int64())) if len(distinct) else pa.array([], pa.list_(pa.int64())) for k in (x.index, x.probes)]
+                yield pa.RecordBatch.from_arrays([pa.array(signed(x.hash)), pa.array(signed(x.pairs)), *lists], names=["h", "pairs", "index", "probes"])
 
-    return docs.select("text").mapInArrow(run, arrow_schema("h bigint, pairs bigint, keys array<bigint>"))
+    return docs.select("text").mapInArrow(run, arrow_schema("h bigint, pairs bigint, index array<bigint>, probes array<bigint>"))
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -194,9 +186,10 @@ def within(a: str, b: str, edits: int) -> bool:
     return here <= edits
 
 
-def contents(shelf: Shelf, docs: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFrame:
-    """h and content of the lines with the wanted hashes (h, distinct)."""
-    where = found.join(wanted, "h", "left_semi").groupBy("h").agg(F.min(F.struct("doc_id", "th")).alias("at")).select("at.*").distinct()
+def _verified(shelf: Shelf, docs: DataFrame, found: DataFrame, pairs: DataFrame, edits: int) -> DataFrame:
+    """The pairs (a, b) of line hashes whose lines are within `edits`."""
+    needed = shelf.put(pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct(), "needed")
+    where = found.join(needed, "h", "left_semi").groupBy("h").agg(F.min(F.struct("doc_id", "th")).alias("at")).select("at.*").distinct()
     where = shelf.put(where.withColumnsRenamed({"doc_id": "_id", "th": "_th"}), "where")
     side = F.broadcast(where) if small_enough(where, BROADCAST_ROWS) else where
     texts = docs.join(side, (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
@@ -207,12 +200,8 @@ def contents(shelf: Shelf, docs: DataFrame, found: DataFrame, wanted: DataFrame)
                 distinct = list(dict.fromkeys(r[2] for r in rows))
                 yield pa.RecordBatch.from_arrays([pa.array(signed(Lines(distinct, keys=False).hash)), pa.array(distinct, pa.string())], names=["h", "content"])
 
-    side = F.broadcast(wanted) if small_enough(wanted, BROADCAST_ROWS) else wanted
-    return shelf.put(texts.mapInArrow(run, arrow_schema("h bigint, content string")).join(side, "h", "left_semi").dropDuplicates(["h"]), "content")
-
-
-def checked(pairs: DataFrame, content: DataFrame, edits: int) -> DataFrame:
-    """The pairs (a, b) of line hashes whose lines are within `edits`."""
+    content = texts.mapInArrow(run, arrow_schema("h bigint, content string")).join(needed, "h", "left_semi").dropDuplicates(["h"])
+    content = shelf.put(content, "content")
     both = pairs.join(content.select(F.col("h").alias("a"), F.col("content").alias("x")), "a").join(content.select(F.col("h").alias("b"), F.col("content").alias("y")), "b")
 
     def check(batches):
@@ -223,93 +212,28 @@ def checked(pairs: DataFrame, content: DataFrame, edits: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(check, arrow_schema("a bigint, b bigint"))
 
 
-def _verified(shelf: Shelf, docs: DataFrame, found: DataFrame, pairs: DataFrame, edits: int) -> DataFrame:
-    needed = shelf.put(pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct(), "needed")
-    return checked(pairs, contents(shelf, docs, found, needed), edits)
-
-
-def _near(k: str, pairs: str, k2: str, pairs2: str, edits: int) -> F.Column:
-    """Whether the parities of two lines allow a link."""
-    low = F.bit_count(F.col(k).bitwiseXOR(F.col(k2)).bitwiseAND(F.lit(0xFFFFFF))) <= 2 * edits
-    return low & (F.bit_count(F.col(pairs).bitwiseXOR(F.col(pairs2))) <= 4 * edits)
-
-
-def _as_pairs(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
-
-
-def index_of(docs: DataFrame, edits: int) -> DataFrame:
-    """segment, k, h, pairs of every line, each once, and centre: the segment's centre if the parities allow a link."""
-    entries = keyed(docs, edits, False).select("h", "pairs", F.explode("keys").alias("k")).filter("k <> 0")
-    entries = entries.select(F.shiftrightunsigned("k", 24).alias("segment"), "k", "h", "pairs").repartition("segment").distinct()
-    w = Window.partitionBy("segment").orderBy(F.xxhash64("h"), "h")
-    with_centre = entries.withColumn("c", F.first(F.struct("h", "k", "pairs")).over(w))
-    linked = (F.col("c.h") != F.col("h")) & _near("k", "pairs", "c.k", "c.pairs", edits)
-    return with_centre.select("segment", "k", "h", "pairs", F.when(linked, F.col("c.h")).alias("centre"))
-
-
-def with_roots(lines: DataFrame, roots: DataFrame) -> DataFrame:
-    """Lines (h, ...) with their component, null for lines that are alone."""
-    side = roots.select(F.col("node").alias("h"), "root")
-    return lines.join(F.broadcast(side) if small_enough(side, BROADCAST_ROWS) else side, "h", "left")
-
-
-def further_centres(shelf: Shelf, docs: DataFrame, found: DataFrame, index: DataFrame, links: DataFrame, tried: DataFrame, edits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """links, components and tried pairs after more rounds in segments of many lines, which end when two make no link."""
-    roots = shelf.put(components(shelf, links), "components")
-    often = index.groupBy("segment").agg(F.count("*").alias("lines")).filter(F.col("lines") > MANY).select("segment")
-    busy = shelf.put(index.join(often, "segment", "left_semi").select("segment", "k", "h", "pairs"), "busy")
-    content = None
-    rounds = idle = 0
-    while idle < 2:
-        rounds += 1
-        now = with_roots(busy, roots).withColumn("root", F.coalesce("root", "h"))
-        mixed = now.groupBy("segment").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("segment")
-        # what is of one component stays so
-        busy = shelf.put(now.join(mixed, "segment", "left_semi").select("segment", "k", "h", "pairs"), "busy")
-        if busy.isEmpty():
-            break
-        if content is None:
-            content = contents(shelf, docs, found, shelf.put(busy.select("h").distinct(), "needed"))
-        w = Window.partitionBy("segment").orderBy(F.xxhash64("h", F.lit(rounds)), "h")
-        now = with_roots(busy, roots).withColumn("root", F.coalesce("root", "h")).withColumn("c", F.first(F.struct("h", "k", "pairs", "root")).over(w))
-        other = now.filter((F.col("root") != F.col("c.root")) & _near("k", "pairs", "c.k", "c.pairs", edits))
-        # a component needs one of its lines near the centre; all of them are tried, as any may be the one
-        pairs = shelf.put(_as_pairs(other.select("h", F.col("c.h").alias("centre")), "h", "centre").join(tried, ["a", "b"], "left_anti"), "pairs")
-        new = shelf.put(checked(pairs, content, edits), "links")
-        if new.isEmpty():
-            idle += 1
-        else:
-            idle = 0
-            links = shelf.put(links.unionByName(new), "links")
-            roots = shelf.put(components(shelf, links), "components")
-        tried = shelf.put(tried.unionByName(pairs), "tried")
-    return links, roots, tried
-
-
-def pairs_between(shelf: Shelf, docs: DataFrame, index: DataFrame, roots: DataFrame, edits: int) -> DataFrame:
-    """Candidate pairs (a < b) of line hashes of different components."""
-    left = with_roots(index.select("segment", "k", "h", "pairs"), roots)
-    right = with_roots(keyed(docs, edits, True), roots).select("h", "pairs", "root", F.explode("keys").alias("k")).filter("k <> 0")
-    # the segment is part of k and not a column of its own here, as that would be shuffled too
+def pairs_of(shelf: Shelf, docs: DataFrame, edits: int) -> DataFrame:
+    """Candidate pairs (a < b) of line hashes."""
+    keys = shelf.put(keyed(docs, edits), "keys")
+    part = lambda c: keys.select("h", "pairs", F.explode(c).alias("k"))
+    index, probe = part("index").filter("k <> 0").distinct(), part("probes").filter("k <> 0")
+    differ = F.bit_count(F.col("l.k").bitwiseXOR(F.col("r.k")).bitwiseAND(F.lit(0xFFFFFF))) <= 2 * edits
+    differ &= F.bit_count(F.col("l.pairs").bitwiseXOR(F.col("r.pairs"))) <= 4 * edits
+    # the key is part of k and not a column of its own, as that would be shuffled too
     same = F.shiftrightunsigned("l.k", 24) == F.shiftrightunsigned("r.k", 24)
-    apart = (F.col("l.h") != F.col("r.h")) & F.coalesce(F.col("l.root") != F.col("r.root"), F.lit(True))
-    found = left.drop("segment").alias("l").join(right.alias("r"), same & apart & _near("l.k", "l.pairs", "r.k", "r.pairs", edits))
-    return shelf.put(_as_pairs(found, "l.h", "r.h"), "pairs")
+    found = index.alias("l").join(probe.alias("r"), same & (F.col("l.h") != F.col("r.h")) & differ)
+    out = shelf.put(found.select(F.least("l.h", "r.h").alias("a"), F.greatest("l.h", "r.h").alias("b")).distinct(), "pairs")
+    shelf.drop(keys)
+    return out
 
 
 def removals(spark: SparkSession, docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """docs: doc_id (long), text, th (hash of the text).  For each (doc_id, th) the numbers of the lines that go."""
     shelf = Shelf(spark, "line_dedup")
     found = shelf.put(occurrences(docs.select("doc_id", "text", "th")), "lines")
-    index = shelf.put(index_of(docs, edits), "index")
-    stars = shelf.put(_as_pairs(index.filter("centre is not null"), "h", "centre"), "stars")
-    links = shelf.put(_verified(shelf, docs, found, stars, edits), "links")
-    links, roots, tried = further_centres(shelf, docs, found, index, links, stars, edits)
-    pairs = pairs_between(shelf, docs, index, roots, edits)
-    shelf.drop(index)
-    more = _verified(shelf, docs, found, pairs.join(tried, ["a", "b"], "left_anti"), edits)
-    roots = components(shelf, shelf.put(links.unionByName(more), "links")).withColumnRenamed("node", "h")
+    pairs = pairs_of(shelf, docs, edits)
+    links = shelf.put(_verified(shelf, docs, found, pairs, edits), "links")
+    roots = components(shelf, links).withColumnRenamed("node", "h")
     # equal lines are one class; only classes with more than one occurrence or a link matter from here on
     classes = found.groupBy("h").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("times")).join(roots, "h", "left")
     classes = shelf.put(classes.filter("times > 1 or root is not null").withColumn("root", F.coalesce("root", "h")), "classes")
