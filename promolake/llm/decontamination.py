@@ -139,11 +139,15 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, sha
     items = windows.groupBy("item", "form").agg(F.first("text").alias("item_text"), F.first("item_id").alias("item_id"), F.first("size").alias("size"))
     both = hits.join(items, ["item", "form"]).withColumnsRenamed({"doc_id": "_id", "th": "_th"}).join(texts, (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     item_text = F.when(F.col("form") == TYPED, F.col("item_text")).otherwise(F.lower("item_text"))
-    both = both.select(
-        "doc_id", "th", "item", "item_id", "of_item", "size", F.flatten(F.transform("parts", lambda x: F.transform(x["ats"], lambda a: F.struct(a.alias("at"), x["shift"].alias("shift"))))).alias("pairs"),
-        F.when(F.col("form") == SAID, said(F.col("text"))).otherwise(plain(F.col("text"))).alias("said"), F.when(F.col("form") == SAID, said(F.col("item_text"))).otherwise(plain(item_text)).alias("asked"),
-        F.when(F.col("form") == TYPED, template(F.col("item_text"))).when(F.col("form") == NAMED, template(F.lower("item_text"), names=False)).otherwise(F.array().cast("array<string>")).alias("words"),
+    pairs = F.flatten(F.transform("parts", lambda x: F.transform(x["ats"], lambda a: F.struct(a.alias("at"), x["shift"].alias("shift")))))
+    both = both.select("doc_id", "th", "item", "item_id", "of_item", "size", "form", "text", "item_text", pairs.alias("pairs"))
+    as_said = F.col("form") == SAID
+    words = F.named_struct(
+        F.lit("said"), F.when(as_said, said(F.col("text"))).otherwise(plain(F.col("text"))), F.lit("asked"), F.when(as_said, said(F.col("item_text"))).otherwise(plain(item_text)),
+        F.lit("words"), F.when(F.col("form") == TYPED, template(F.col("item_text"))).when(F.col("form") == NAMED, template(F.lower("item_text"), names=False)).otherwise(F.array().cast("array<string>")),
     )
+    # in a row of their own, so that they are split once and not again for every slot
+    both = both.select("doc_id", "th", "item", "item_id", "of_item", "size", "pairs", F.explode(F.array(words)).alias("w")).select("doc_id", "th", "item", "item_id", "of_item", "size", "pairs", "w.*")
     places = F.flatten(F.transform("pairs", lambda x: F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda k: F.struct((x["at"] + k).alias("p"), (x["at"] + k + x["shift"]).alias("q")))))
     kind = lambda w: F.regexp_extract(F.coalesce(w, F.lit("")), f"({NUM}|{UNIT}|{NAME})", 1)
     slots = F.filter(F.array_distinct(places), lambda x: kind(F.get("words", x["p"])) != "")
