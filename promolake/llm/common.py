@@ -132,9 +132,14 @@ class Rows:
             raise ValueError(f"no column {name} in {self.all}")
         return f"c{same[0]}"
 
+    def only(self, *names: str) -> DataFrame:
+        """The table with these columns under their names and the others under inner ones."""
+        return self.df.withColumnsRenamed({self.at(n): n for n in names})
+
     def back(self, df: DataFrame, *more: str) -> DataFrame:
-        """df (inner columns in order, then others) under the given names."""
-        return df.select(*self.df.columns, *more).toDF(*self.names, *more)
+        """df (all inner columns, some perhaps under their names by `only`, then others) under the given names."""
+        inner = [c if c in df.columns else next(n for n in df.columns if not n.startswith("c") and n.lower() == self.all[int(c[1:])].lower()) for c in self.df.columns]
+        return df.select(*inner, *more).toDF(*self.names, *more)
 
 
 def arrow_schema(ddl: str) -> T.StructType:

@@ -4,8 +4,9 @@ Each document is measured by its own words and lines; failures are then counted
 failure rate is shrunk towards all hosts' by a beta prior that is fitted to them by the method of moments.  Documents
 of a host whose shrunk rate is over `most` are rejected with it.
 
-Nulls and edges: a null or blank text has no words and fails; a null host is no host, so only the document's own
-rules count; repeated rows are measured one by one; an empty table gives an empty result."""
+Nulls and edges: a null or blank text has no words and fails; a null host is no host, so the document's own rules, all
+of them, decide; repeated rows are measured one by one; texts are read whole; an empty table gives an empty result; only
+doc_id, text and the host column are read, so other columns cannot clash."""
 
 from __future__ import annotations
 
@@ -92,4 +93,4 @@ def host_rules(spark: SparkSession, docs: DataFrame, host: str = "source", most:
     measured = shelf.put(measures(docs, host), "measures")
     verdicts = host_verdicts(measured, most).select("host", "rate", "host_ok")
     joined = measured.join(verdicts, "host", "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce("host_ok", F.lit(True)))
+    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce("host_ok", ~rule_failed()))

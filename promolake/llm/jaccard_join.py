@@ -17,7 +17,9 @@ and no group is ever collected.
 
 Nulls and edges: null and blank texts have an empty set and link with nothing; fewer words than SHINGLE make one
 shingle; equal texts always share a class; rows with null doc_id have their class's component; a class of null ids only
-has a null component; repeated rows are one class.  Set identity rests on 64-bit sums of mixed hashes and the size."""
+has a null component; repeated rows are one class; texts are read whole; an empty table gives an empty result.  Only
+doc_id and text are read; `keep_one` returns all columns under their names.  Set identity rests on 64-bit sums of mixed
+hashes and the size."""
 
 from __future__ import annotations
 
@@ -27,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Shelf, arrow_schema, chunks, signed, small_enough, utf8
+from .common import BROADCAST_ROWS, Rows, Shelf, arrow_schema, chunks, signed, small_enough, utf8
 from .components import components
 from .words import Words, mix, shingle_sizes, shingles
 
@@ -95,7 +97,7 @@ def light_sizes(percent: int = PERCENT) -> tuple[int, int]:
     return -(-percent // (100 - percent)), -(-2 * percent // (100 - percent))
 
 
-_MEASURED = "doc_id bigint, n bigint, id bigint, p0 bigint, p1 bigint, p2 bigint, p3 bigint, fine binary, block int, part int, counts binary"
+_MEASURED = "doc_id bigint, th bigint, n bigint, id bigint, p0 bigint, p1 bigint, p2 bigint, p3 bigint, fine binary, block int, part int, counts binary"
 
 
 def measured(docs: DataFrame, k: int) -> DataFrame:
@@ -111,12 +113,12 @@ def measured(docs: DataFrame, k: int) -> DataFrame:
                 s = Sets(texts[i:j], k)
                 sketch += np.bincount(slot(s.hash), minlength=SLOTS)
                 null = [pa.nulls(j - i, t) for t in (pa.int32(), pa.int32(), pa.binary())]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(s.size), pa.array(signed(s.id)), *[pa.array(signed(p)) for p in s.parity()], pa.array(s.fine_parity(), pa.binary()), *null], names=names)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(s.size), pa.array(signed(s.id)), *[pa.array(signed(p)) for p in s.parity()], pa.array(s.fine_parity(), pa.binary()), *null], names=names)
         blocks = range(SLOTS // BLOCK)
-        cols = [pa.nulls(len(blocks), pa.int64()) for _ in range(7)] + [pa.nulls(len(blocks), pa.binary()), pa.array(list(blocks), pa.int32()), pa.array([part] * len(blocks), pa.int32()), pa.array([sketch[x * BLOCK : (x + 1) * BLOCK].tobytes() for x in blocks], pa.binary())]
+        cols = [pa.nulls(len(blocks), pa.int64()) for _ in range(8)] + [pa.nulls(len(blocks), pa.binary()), pa.array(list(blocks), pa.int32()), pa.array([part] * len(blocks), pa.int32()), pa.array([sketch[x * BLOCK : (x + 1) * BLOCK].tobytes() for x in blocks], pa.binary())]
         yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return docs.mapInArrow(run, arrow_schema(_MEASURED))
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, arrow_schema(_MEASURED))
 
 
 def add_up(shelf: Shelf, parts: DataFrame, fan: int = 64) -> np.ndarray:
@@ -228,8 +230,13 @@ def _fits(l: str, r: str, percent: int) -> F.Column:
 
 def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of each row.  Only components are given: links within a component are not all sought."""
+    return found_classes(spark, docs, k, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def found_classes(spark: SparkSession, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The same with th (hash of the text) and root (what all rows of a component share)."""
     shelf = Shelf(spark, "jaccard_join")
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = shelf.put(measured(docs, k), "rows")
     counts = add_up(shelf, rows.filter("block is not null"))
     # slots near the mean tell nothing about a single shingle; there the longer one counts as the rarer
@@ -276,14 +283,30 @@ def classes_of(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, percent:
     named = classes.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
     named = named.select("id", "n", "doc_id", "root")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    each = named.join(least, "root").select("id", "n", "component_id")
-    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "id", "n").join(each, ["id", "n"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    each = named.join(least, "root").select("id", "n", "root", "component_id")
+    out = rows.select("doc_id", "th", F.col("n").alias("n_shingles"), "id", "n").join(each, ["id", "n"], "left")
+    return out.select("doc_id", "th", "root", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Of each component the rows with the least doc_id; rows with an empty set or without doc_id all stay."""
-    found = classes_of(spark, docs, k, percent)
-    keep = found.filter("n_shingles = 0 or doc_id = component_id or doc_id is null").select("doc_id").distinct()
-    kept = docs.join(keep, docs.doc_id.cast("bigint").eqNullSafe(keep.doc_id), "left_semi")
-    return kept
+    """One row of each component: of its rows with the least doc_id (rows without one come last) one; rows with an empty
+    set all stay."""
+    shelf = Shelf(spark, "keep_one")
+    rows = Rows(docs)
+    doc_id, text = rows.at("doc_id"), rows.at("text")
+    found = shelf.put(found_classes(spark, rows.df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), k, percent), "found")
+    linked = found.filter("n_shingles > 0")
+    first = linked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")).alias("x")).select("x.doc_id", "x.th")
+    times = linked.groupBy("doc_id", "th").agg(F.count("*").alias("times"))
+    same = lambda a, b: (a.th == b.th) & a.doc_id.eqNullSafe(b.doc_id)
+    f, t = first.alias("f"), times.alias("t")
+    keep = shelf.put(f.join(t, (F.col("f.th") == F.col("t.th")) & F.col("f.doc_id").eqNullSafe(F.col("t.doc_id"))).select("f.doc_id", "f.th", "times"), "keep")
+    once, often = keep.filter("times = 1"), keep.filter("times > 1")
+    blank = found.filter("n_shingles = 0").select("th").distinct()
+    own = rows.df.withColumn("th", F.xxhash64(F.col(text).cast("string"))).withColumn("doc_id", F.col(doc_id).cast("bigint"))
+    whole = own.join(once, same(own, once), "left_semi")
+    # of rows that repeat one stays; only those are dealt by their key
+    repeated = own.join(F.broadcast(often) if small_enough(often, BROADCAST_ROWS) else often, same(own, often), "left_semi").dropDuplicates(["doc_id", "th"])
+    empty = own.join(F.broadcast(blank) if small_enough(blank, BROADCAST_ROWS) else blank, "th", "left_semi")
+    names = rows.df.columns
+    return rows.back(whole.select(*names).unionByName(repeated.select(*names)).unionByName(empty.select(*names)))

@@ -5,7 +5,8 @@ sequences and decodes every line of every text by Viterbi in numpy batches; it a
 reach, such as telephone numbers without a plus sign, spelled-out addresses and national identity numbers.  Added
 spans never touch base spans, which all stay.
 
-Nulls and edges: a null text counts as empty and has no spans; texts are read whole; repeated rows repeat."""
+Nulls and edges: a null text counts as empty and has no spans; texts and words are read whole, however long; repeated
+rows repeat; an empty table gives an empty result; only doc_id and text are read, so other columns cannot clash."""
 
 from __future__ import annotations
 
@@ -24,7 +25,6 @@ from .common import arrow_schema, chunks
 # Fixed values of the result's contract: kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -112,7 +112,7 @@ def features(s: str) -> list[str]:
     out = ["bias", f"coarse{coarse(s)}", f"digits{min(n, 20)}", f"run{min(longest, 20)}"]
     out += [f"has{c}{min(core.count(c), 4)}" for c in "@.-()/:_*aA" if c in core] + [f"first{core[0]}", f"last{core[-1]}"]
     if n:
-        out.append("form" + re.sub("9+", lambda m: f"{len(m[0])}d", core)[:24])
+        out.append("form" + re.sub("9+", lambda m: f"{len(m[0])}d", core))
     return out
 
 
@@ -296,9 +296,9 @@ class Tagger:
             if k not in self.seen:
                 if len(self.seen) > 200_000:
                     self.seen.clear()
-                s = shape(joined[starts[i] : ends[i]][:200])
+                s = shape(joined[starts[i] : ends[i]])
                 self.seen[k] = (self.field.of_shape(s), coarse(s))
-        rows = [self.seen[k] if k in self.seen else (lambda s: (self.field.of_shape(s), coarse(s)))(shape(joined[starts[i] : ends[i]][:200])) for k, i in zip(distinct.tolist(), first.tolist(), strict=True)]
+        rows = [self.seen[k] if k in self.seen else (lambda s: (self.field.of_shape(s), coarse(s)))(shape(joined[starts[i] : ends[i]])) for k, i in zip(distinct.tolist(), first.tolist(), strict=True)]
         scores, kinds = np.array([r[0] for r in rows], np.float32)[codes], np.array([r[1] for r in rows])[codes]
         line_of = np.concatenate([[0], np.cumsum(points == 10)])[starts]
         heads = np.flatnonzero(np.concatenate([[True], line_of[1:] != line_of[:-1]]))

@@ -76,7 +76,7 @@ p AS (SELECT least(greatest(sum(k) / sum(n), 1e-6), 1 - 1e-6) AS mean FROM h),
 s AS (SELECT any_value(mean) AS mean, avg(power(k / n - mean, 2) - mean * (1 - mean) / n) AS spread FROM h, p),
 z AS (SELECT mean, CASE WHEN spread > 0 THEN least(greatest(mean * (1 - mean) / spread - 1, 1), 10000) ELSE 10000 END AS size FROM s),
 v AS (SELECT source, (k + mean * size) / (n + size) <= 0.5 AS ok FROM h, z)
-SELECT f.doc_id, f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words, f.base_failed, NOT f.base_failed AND coalesce(v.ok, TRUE) AS kept FROM f LEFT JOIN v ON f.source = v.source"""
+SELECT f.doc_id, f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words, f.base_failed, NOT f.base_failed AND coalesce(v.ok, NOT f.failed) AS kept FROM f LEFT JOIN v ON f.source = v.source"""
 
 
 def oracle_sql() -> dict[str, str]:

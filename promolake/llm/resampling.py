@@ -1,17 +1,18 @@
 """Quality classifier by importance resampling.
 
 Two generative models over hashed word n-grams (one and two words) are fitted: one of target texts (labelled as good),
-one of all raw texts.  A text's log weight is the mean log ratio of the two over its n-grams, times `scale` (as if
-every text had that many n-grams; plain sums would sort texts by length).  Adding Gumbel noise, which a hash of doc_id
-gives, and keeping the k largest keys draws k texts without replacement, in proportion to their weights.
+one of all raw texts.  A text's log ratio is that of the two probabilities: the sum over its n-grams.  The log weight it is
+drawn by is the log ratio itself if `scale` is None, else its mean over the n-grams times `scale` (as if every text had
+that many n-grams), since plain sums sort texts by their length.  Adding Gumbel noise, which a hash of doc_id gives, and
+keeping the k largest keys draws k texts without replacement, in proportion to their weights.
 
 The target model is fitted on at most `most_targets` labelled texts, by order of a hash of doc_id; the raw model counts
 every text.  k is the share of target texts among all labels, times the number of rows, unless `share` is given.  The
 k-th key is found exactly by counting keys by their leading bits, 16 at a time.
 
 Nulls and edges: null and blank texts have no n-grams and weight 0 (ratio one); without labels the target is the raw
-text and all weights are 0; rows that tie with the k-th in key and doc_id are all kept; an empty table gives an empty
-result."""
+text and all weights are 0; rows that tie with the k-th in key and doc_id are all kept; texts are read whole; an empty
+table gives an empty result; only doc_id and text are read, so other columns cannot clash."""
 
 from __future__ import annotations
 
@@ -73,26 +74,27 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log(q / q.sum()) - np.log(p / p.sum())
 
 
-def weights(docs: DataFrame, ratio: np.ndarray, scale: float = SCALE) -> DataFrame:
-    """doc_id, log_weight, key, and place (a long that sorts as key does)."""
-    names = ["doc_id", "log_weight", "key", "place"]
+def weights(docs: DataFrame, ratio: np.ndarray, scale: float | None = SCALE) -> DataFrame:
+    """doc_id, log_ratio, log_weight, key, and place (a long that sorts as key does)."""
+    names = ["doc_id", "log_ratio", "log_weight", "key", "place"]
 
     def run(batches):
         for b in batches:
             texts = utf8(b.column(1))
-            out = np.zeros(len(texts))
+            sums, out = np.zeros(len(texts)), np.zeros(len(texts))
             for i, j in chunks([len(t) for t in texts]):
                 doc, bucket = ngrams(texts[i:j])
                 n = np.bincount(doc, minlength=j - i)
-                out[i:j] = np.bincount(doc, ratio[bucket], minlength=j - i) / np.maximum(n, 1) * scale
+                sums[i:j] = np.bincount(doc, ratio[bucket], minlength=j - i)
+                out[i:j] = sums[i:j] if scale is None else sums[i:j] / np.maximum(n, 1) * scale
             u = (np.array(b.column(2).to_pylist(), np.int64).view(np.uint64) >> np.uint64(11)).astype(np.float64)
             key = out - np.log(-np.log((u + 0.5) / 2.0**53))
             bits = (key + 0.0).view(np.uint64)
             place = signed(np.where(bits >> np.uint64(63), bits ^ np.uint64(0x7FFFFFFFFFFFFFFF), bits))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out), pa.array(key), pa.array(place)], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sums), pa.array(out), pa.array(key), pa.array(place)], names=names)
 
     at = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return at.withColumn("noise", F.xxhash64("doc_id", F.lit("gumbel"))).mapInArrow(run, arrow_schema("doc_id bigint, log_weight double, key double, place bigint"))
+    return at.withColumn("noise", F.xxhash64("doc_id", F.lit("gumbel"))).mapInArrow(run, arrow_schema("doc_id bigint, log_ratio double, log_weight double, key double, place bigint"))
 
 
 def kth(weighed: DataFrame, k: int) -> tuple[int, int | None]:
@@ -121,8 +123,8 @@ def kth(weighed: DataFrame, k: int) -> tuple[int, int | None]:
     return low, head
 
 
-def resample(spark: SparkSession, docs: DataFrame, labels: DataFrame, share: float | None = None, scale: float = SCALE, most_targets: int = MOST_TARGETS) -> DataFrame:
-    """doc_id, log_weight, key, kept, for every row."""
+def resample(spark: SparkSession, docs: DataFrame, labels: DataFrame, share: float | None = None, scale: float | None = SCALE, most_targets: int = MOST_TARGETS) -> DataFrame:
+    """doc_id, log_ratio, log_weight, key, kept, for every row."""
     shelf = Shelf(spark, "resampling")
     if share is None:
         share = labels.filter("quality is not null").agg(F.avg("quality")).first()[0]
@@ -137,4 +139,4 @@ def resample(spark: SparkSession, docs: DataFrame, labels: DataFrame, share: flo
         place, last = kth(weighed, k)
         tied = F.lit(True) if last is None else F.coalesce(F.col("doc_id") <= last, F.lit(False))
         kept = (F.col("place") > place) | ((F.col("place") == place) & tied)
-    return weighed.select("doc_id", "log_weight", "key", kept.alias("kept"))
+    return weighed.select("doc_id", "log_ratio", "log_weight", "key", kept.alias("kept"))

@@ -7,10 +7,13 @@ text is scored.  A logistic layer over the two largest window scores gives the s
 
 The embeddings that a text is trained with come from the other half of the sample, so that words of one text alone
 count for as little as they will in new texts.  The model is fitted on at most `most` toxic and `most` other labelled
-texts, by order of a hash of doc_id; labels, lang, source and doc_id are never inputs of a score.
+texts, by order of a hash of doc_id, and of each label on at most MOST_BYTES of text (whole texts; one that does not fit
+is passed over); labels, lang, source and doc_id are never inputs of a score.
 
 Nulls and edges: null and blank texts get the score of a window without evidence; without both labels in the sample
-all scores are the sample's toxic share (0.0 without labels); texts are read whole; repeated rows are scored alike."""
+all scores are the sample's toxic share (0.0 without labels); texts are read whole; repeated rows are scored alike, and
+of rows with one doc_id one is trained on; an empty table gives an empty result; `score` keeps all columns under their
+names but for the score's own, `scored` reads doc_id and text only."""
 
 from __future__ import annotations
 
@@ -21,11 +24,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import arrow_schema, bounded_batches, chunks, utf8
-from .words import IS_SPACE, Words, combine, mix
+from .common import Rows, arrow_schema, bounded_batches, chunks, utf8
+from .words import Words, byte_sums, mix, span_hash
 
-WINDOW, STRIDE, MOST = 32, 16, 2000
+WINDOW, STRIDE, MOST, MOST_BYTES = 32, 16, 2000, 32_000_000
 WORD_BUCKETS, CHAR_BUCKETS, INPUTS, HIDDEN, ATTEND = 1 << 18, 1 << 16, 5, 8, 8
 _ALNUM = np.zeros(256, bool)
 _ALNUM[48:58] = _ALNUM[65:91] = _ALNUM[97:123] = True
@@ -42,8 +46,6 @@ class Inputs:
         for _ in range(3):  # signs around a word are not part of it
             e -= (e - s > 1) & ~_ALNUM[buf[e - 1]]
             s += (e - s > 1) & ~_ALNUM[buf[s]]
-        from .words import byte_sums, span_hash
-
         key = span_hash(byte_sums(buf), s, e)
         self.codes, distinct = pd.factorize(key)
         self.word = (distinct % np.uint64(WORD_BUCKETS)).astype(np.int64)
@@ -287,17 +289,29 @@ def train(rows: list[tuple[str | None, int]], rounds: int = 600, seed: int = 1)
 
 
 def sample(docs: DataFrame, labels: DataFrame, most: int = MOST, column: str = "toxic") -> list[tuple[str | None, int]]:
-    """Texts and labels: at most `most` of each label, none of them held out (2 * most rows are collected at most)."""
+    """Texts and labels: at most `most` of each label, none of them held out (2 * most rows are collected at most, and
+    2 * MOST_BYTES of text)."""
     own = labels.filter(F.col(column).isNotNull() & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0))
     own = own.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).cast("int").alias("label")).groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = [own.filter(c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for c in ("label = 1", "label = 0")]
-    ids = {r.doc_id: r.label for part in chosen for r in part.collect()}
-    if not ids:
+    order = [r.doc_id for part in chosen for r in part.select("doc_id").collect()]
+    if not order:
         return []
     spark = docs.sparkSession
-    few = spark.createDataFrame(list(ids.items()), "doc_id bigint, label int")
-    at = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return [(r.text, r.label) for r in at.join(F.broadcast(few), "doc_id").select("text", "label").collect()]
+    at = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    few = spark.createDataFrame([(i,) for i in order], "doc_id bigint")
+    # of rows with one doc_id the longest, then the least text
+    sizes = {r.doc_id: (r.n, r.th) for r in at.join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.max(F.struct(F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"), F.xxhash64("text").alias("th"))).alias("x")).select("doc_id", "x.*").collect()}
+    labelled = {r.doc_id: r.label for part in chosen for r in part.collect()}
+    left, ids = {0: MOST_BYTES, 1: MOST_BYTES}, []
+    for i in order:
+        n, th = sizes.get(i, (None, None))
+        if n is not None and n <= left[labelled[i]]:
+            left[labelled[i]] -= n
+            ids.append((i, th, labelled[i]))
+    few = spark.createDataFrame(ids, "doc_id bigint, th bigint, label int")
+    texts = at.withColumn("th", F.xxhash64("text")).join(F.broadcast(few), ["doc_id", "th"]).dropDuplicates(["doc_id"])
+    return [(r.text, r.label) for r in texts.select("text", "label").collect()]
 
 
 def held_out(doc_id) -> F.Column:
@@ -308,18 +322,18 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text"
     """All columns of docs with the score."""
     bounded_batches(spark)
     sent = spark.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c != into]
-    schema = docs.select(*keep).schema.add(into, "double")
+    rows = Rows(docs, into)
+    at = rows.df.columns.index(rows.at(text))
+    schema = T.StructType([*rows.df.schema.fields]).add(into, "double")
 
     def run(batches):
         m = sent.value
         if m.words.dtype != np.float32:
             m.ready()
         for b in batches:
-            found = m.score(utf8(b.column(b.schema.get_field_index(text))))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.float64())], names=[*b.schema.names, into])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(m.score(utf8(b.column(at))), pa.float64())], names=schema.names)
 
-    return docs.select(*keep).mapInArrow(run, schema)
+    return rows.back(rows.df.mapInArrow(run, schema), into)
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
@@ -330,7 +344,7 @@ def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame
     """doc_id, held_out, score, predicted."""
     bounded_batches(spark)
     model = fit(docs, labels)
-    at = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    at = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # the text goes into the worker and stays there: only doc_id and the score come back
     sent = spark.sparkContext.broadcast(model)
 
@@ -344,5 +358,3 @@ def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame
     out = at.mapInArrow(run, arrow_schema("doc_id bigint, score double"))
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
-
-__all__ = ["IS_SPACE", "Inputs", "Model", "Network", "combine", "fit", "held_out", "sample", "score", "scored", "train"]

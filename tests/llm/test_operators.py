@@ -352,6 +352,48 @@ def test_network_gradients():
             assert abs((up - down) / 2e-2 - g.ravel()[i]) < 2e-3, k
 
 
+def test_network_forward():
+    """Window by window and step by step, in plain Python."""
+    rng = np.random.default_rng(6)
+    net = toxicity.Network(9)
+    x, index = rng.normal(size=(6, toxicity.INPUTS)).astype(np.float32), rng.integers(0, 6, (4, 7))
+    w, h = net.w, toxicity.HIDDEN
+    gate = lambda v: 1 / (1 + math.exp(-v))
+    for row, got in zip(index, net.forward(x, index), strict=True):
+        states = {}
+        for d in "fb":
+            s = [0.0] * h
+            for t in range(7) if d == "f" else range(6, -1, -1):
+                p = [sum(x[row[t], i] * w[f"x{d}"][i, k] for i in range(toxicity.INPUTS)) + w[f"b{d}"][k] for k in range(3 * h)]
+                zr = [gate(p[k] + sum(s[i] * w[f"u{d}"][i, k] for i in range(h))) for k in range(2 * h)]
+                new = [math.tanh(p[2 * h + k] + sum(zr[h + i] * s[i] * w[f"c{d}"][i, k] for i in range(h))) for k in range(h)]
+                s = [s[k] + zr[k] * (new[k] - s[k]) for k in range(h)]
+                states[d, t] = s
+        both = [states["f", t] + states["b", t] for t in range(7)]
+        e = [sum(math.tanh(sum(v[i] * w["a"][i, k] for i in range(2 * h))) * w["v"][k] for k in range(toxicity.ATTEND)) for v in both]
+        a = [math.exp(v) / sum(map(math.exp, e)) for v in e]
+        logit = sum(a[t] * both[t][i] * w["o"][i] for t in range(7) for i in range(2 * h)) + w["k"][0]
+        assert abs(logit - got) < 1e-4
+
+
+def test_windows_cover_all_words():
+    for n in (0, 1, 16, 31, 32, 33, 48, 49, 100, 1000):
+        inputs = toxicity.Inputs([b"x", " ".join(f"w{k}" for k in range(n)).encode(), b"y z"])
+        doc, win = inputs.windows()
+        own = win[doc == 1]
+        seen = {int(c) for c in own.ravel() if c < len(inputs)}
+        assert len(seen) == n and len(own) == max(1, -(-(n - 16) // 16))
+
+
+def test_sample_is_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_BYTES", 1000)
+    docs = make(spark, [(k, "x" * (600 if k % 3 == 0 else 90)) for k in range(90)] + [(4, "y")])
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(90)], "doc_id bigint, quality int, toxic int")
+    rows = toxicity.sample(docs, labels)
+    assert all(900 < sum(len(t) for t, y in rows if y == k) <= 1000 for k in (0, 1))
+    assert all(set(t) == {"x"} for t, _ in rows)
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     vocab = vocabulary(rng)
@@ -565,18 +607,6 @@ def test_line_dedup(spark):
     assert line_dedup.deduplicated(spark, make(spark, [])).count() == 0
 
 
-def test_like_lines_are_not_paired(spark, monkeypatch):
-    """A group of m like lines costs a multiple of m pairs, not m * m."""
-    m = 300
-    rows = [(k, f"Page {k:03d} of the yearly report, all rights reserved by the publisher") for k in range(m)]
-    seen = []
-    monkeypatch.setattr(line_dedup, "_verified", lambda shelf, docs, found, pairs, edits, own=line_dedup._verified: seen.append(pairs.count()) or own(shelf, docs, found, pairs, edits))
-    got = line_dedup.deduplicated(spark, make(spark, rows)).collect()
-    assert sorted(r.n_removed for r in got) == [0] * len([r for r in got if not r.n_removed]) + [1] * len([r for r in got if r.n_removed])
-    assert Counter((r.doc_id, r.n_lines, r.n_removed, r.text) for r in got) == _plain_lines(rows)
-    assert sum(seen) < 12 * m
-
-
 def test_short_lines(spark):
     """Lines of all lengths from one character: equal ones go, and those of over two characters within two edits."""
     rng = random.Random(18)
@@ -618,6 +648,19 @@ def test_resampling(spark):
     assert sum(r.kept for r in got) == k and all(r.kept == (r.key >= keys[k - 1]) for r in got)
     assert np.mean([r.kept for r in got if r.doc_id and r.doc_id < 300 and r.doc_id % 4]) > 0.9
     assert np.mean([r.kept for r in got if r.doc_id is not None and r.doc_id < 300 and r.doc_id % 4 == 0]) < 0.2
+    # both models by counting n-grams, the weights by adding up
+    grams = {i: resampling.ngrams([(t or "").encode()])[1].tolist() for i, t in rows}
+    raw, target = (Counter(b for i, _ in rows for b in grams[i] if ok(i)) for ok in (lambda i: True, lambda i: i is not None and i < 300 and i % 4 and i % 2 == 0))
+    b = resampling.BUCKETS
+    p = lambda c, x: (c[x] + 1) / (sum(c.values()) + b)
+    ratio = {x: math.log(p(target, x) / p(raw, x)) for x in raw}
+    words = lambda t: WORD.findall((t or ""))
+    for r in got:
+        total = sum(ratio[x] for x in grams[r.doc_id])
+        assert math.isclose(r.log_ratio, total, abs_tol=1e-9) and math.isclose(r.log_weight, total / max(1, len(grams[r.doc_id])) * 200, abs_tol=1e-9)
+        assert len(grams[r.doc_id]) == max(0, 2 * len(words(dict(rows)[r.doc_id])) - 1)
+    plain = resampling.resample(spark, make(spark, rows), labels, share=0.7, scale=None).collect()
+    assert all(r.log_weight == r.log_ratio for r in plain) and sum(r.kept for r in plain) == k
     doc, bucket = resampling.ngrams([b"a b a", b""])
     assert doc.tolist() == [0] * 5 and len(set(bucket.tolist())) == 4
     tied = resampling.resample(spark, make(spark, [(1, "a")] * 5 + [(2, None)]), labels.limit(0), share=0.5).collect()
@@ -721,12 +764,13 @@ def test_host_rules(spark):
     vocab = vocabulary(rng)
     good = lambda: prose(rng, vocab, 90)
     rows = [(i, good(), "en", "fine", 1) for i in range(60)] + [(100 + i, "too short", "en", "bad", 1) for i in range(60)] + [(200 + i, good(), "en", "bad", 1) for i in range(3)]
-    rows += [(300, good(), "en", None, 1), (301, None, "en", "fine", 1), (302, "", "en", "once", 1), (None, good(), "en", "fine", 1)]
+    rows += [(300, good(), "en", None, 1), (301, None, "en", "fine", 1), (302, "", "en", "once", 1), (None, good(), "en", "fine", 1), (303, good() + " " + " ".join(f"#{k}##" for k in range(60)), "en", None, 1)]
     docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as host", "2 as kept", "3 as n")
     got = {r.doc_id: r for r in host_rules.host_rules(spark, docs).collect()}
     assert len(got) == len(rows)
     assert all(got[i].kept for i in range(60)) and got[300].kept and got[None].kept
     assert not any(got[200 + i].kept or got[200 + i].base_failed for i in range(3))
+    assert not got[303].base_failed and not got[303].kept  # without a host, all of its own rules
     assert got[301].base_failed and got[302].base_failed and not got[301].kept
     # a single failure shrinks towards all hosts
     assert got[302].rate < 1
@@ -785,6 +829,21 @@ def test_jaccard_join_of_near_copies(spark):
     assert sorted(r.doc_id for r in kept) == sorted({r.component_id for r in got})
 
 
+def test_keep_one_of_repeated_rows(spark):
+    rng = random.Random(14)
+    vocab = vocabulary(rng)
+    a, b, c = (prose(rng, vocab, 60) for _ in range(3))
+    near = a.rsplit(" ", 1)[0]
+    rows = [(5, a), (5, a), (5, near), (9, a), (None, a), (None, b), (None, b), (3, c), (4, ""), (4, ""), (None, None), (6, None), (3, c)]
+    docs = make(spark, rows).selectExpr("*", "1 as th", "2 as c0", "3 as times", "4 as `x.y`", "5 as root", "6 as TEXT_")
+    kept = jaccard_join.keep_one(spark, docs)
+    assert kept.columns == docs.columns
+    out = Counter((r[0], r[1]) for r in map(tuple, kept.collect()))
+    one = {x: n for x, n in out.items() if x[0] == 5}
+    assert sum(one.values()) == 1 and {x: n for x, n in out.items() if x[0] != 5} == {(None, b): 1, (3, c): 1, (4, ""): 2, (None, None): 1, (6, None): 1}
+    assert {tuple(r)[5:] for r in kept.collect()} == {(1, 2, 3, 4, 5, 6)}
+
+
 def test_jaccard_join_of_five_words(spark):
     """Sets of 5-word runs that are equal to 80 % of their union, of all sizes around the light ones; the pipeline's stage."""
     import corpus_pipeline
@@ -835,6 +894,52 @@ def test_components(spark):
     assert components(Shelf(spark, "test"), spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+# --- edges, the same for all ---------------------------------------------------------------------------------------
+
+_CLASHES = "th h k n c uid a f g s e p ids score key place host gone root id node class symbol c0 c1 doc_id_ __score decoded n_lines n_removed kept n_tokens".split()
+
+
+def _operators():
+    import corpus_pipeline
+
+    lab, bench = "doc_id bigint, quality int, toxic int", "item_id bigint, text string"
+    some = lambda s, kind: s.createDataFrame([(1, 1, 0), (2, 0, 1)] if kind == lab else [(1, "a benchmark item of ten words that no text holds")], kind)
+    out = {
+        "op1": lambda s, d: decontamination.contaminated(s, d, some(s, bench)), "op2": sentencepieces.digest, "op3": lambda s, d: pii.digest(pii.find_pii(s, d)),
+        "op4": lambda s, d: toxicity.scored(s, d, some(s, lab)), "op5": suffix_tree.score, "op6": lambda s, d: line_dedup.digest(line_dedup.deduplicated(s, d)),
+        "op7": lambda s, d: resampling.resample(s, d, some(s, lab)), "op8": suffix_runs.removed, "op9": host_rules.host_rules, "op10": jaccard_join.classes_of,
+    }
+    stages = {f"stage {name}": lambda s, d, f=f: f(s, d, SF) for name, f in corpus_pipeline.STAGES}
+    return out | stages
+
+
+@pytest.mark.parametrize("name", [f"op{k}" for k in range(1, 11)] + ["stage toxicity", "stage line_dedup", "stage jaccard_join", "stage decontamination", "stage sentencepiece"])
+def test_edges(spark, name):
+    """An empty table, nulls in every column, columns with clashing names, rows that repeat and very long texts."""
+    run = _operators()[name]
+    rng = random.Random(3)
+    vocab = vocabulary(rng)
+    long = " ".join(rng.choices(vocab, k=8_000)) + " " + "x" * 40_000
+    rows = [(1, prose(rng, vocab, 40)), (2, prose(rng, vocab, 40)), *[(3, "one and the same row that repeats many times over and over")] * 9, (None, None), (None, "a b"), (4, None), (5, ""), (6, long), (6, long)]
+    docs = make(spark, rows).coalesce(2).selectExpr("doc_id", "text", "cast(null as string) as lang", "if(doc_id > 1, source, null) as source", "n_chars", *[f"{k} as `{c}`" for k, c in enumerate(_CLASHES)], "99 as `a.b`")
+    out = run(spark, docs)
+    names, got = out.columns, out.collect()
+    assert len(set(n.lower() for n in names)) == len(names)
+    if name.startswith("stage"):
+        kept = [c for c in docs.columns if c in names]
+        assert set(docs.columns) - set(kept) <= {"ids", "n_tokens", "n_byte_pieces"}
+        for k, c in enumerate(_CLASHES):
+            if c in names and not (name == "stage sentencepiece" and c in ("ids", "n_tokens")):
+                assert {r[names.index(c)] for r in got} <= {k}
+        texts = Counter(r[names.index("text")] for r in got)
+        if name == "stage jaccard_join":
+            assert texts[rows[2][1]] == 1 and texts[long] == 1
+        assert {r[0] for r in got} >= {1, 2, 3, 5, 6}
+    elif name != "op1":
+        assert len(got) == len(rows)
+    assert run(spark, docs.limit(0)).isEmpty()
+
+
 # --- SQL and the pipeline ------------------------------------------------------------------------------------------
 
 SF = "/root/testdata/sf0.001"
