@@ -197,7 +197,8 @@ def with_sets(docs: DataFrame, k: int) -> DataFrame:
 
 def _verified(shelf: Shelf, docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
-    side = lambda c: classes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("fine").alias(f"f{c}"))
+    # merge joins at every size: sent to all executors, the classes would grow with the documents
+    side = lambda c: classes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("fine").alias(f"f{c}")).hint("merge")
     wide = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "fa", "fb")
 
     def near(batches):
@@ -252,15 +253,15 @@ def found_classes(spark: SparkSession, docs: DataFrame, k: int, percent: int) ->
     own = few.filter(F.col("n") < light_sizes(percent)[1]).alias("l").join(few.alias("r"), F.expr(f"l.key = r.key and r.n = l.n + 1 and 100 * l.n >= {percent} * r.n"))
     light = own.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
     # heavy: keys that two classes share; a list of two entries is one pair, without scanning
-    listed = lists.select("id", "n", F.explode("keys").alias("key"))
-    shared = listed.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("times"), F.min("n").alias("low"), F.max("n").alias("high"))
+    listed = lists.select("id", F.explode("keys").alias("key"))
+    shared = listed.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("times"))
     shared = shelf.put(shared.filter("x <> y"), "shared")
-    twos = shared.filter(f"times = 2 and 100 * low >= {percent} * high").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    twos = shared.filter("times = 2").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     entries = listed.select("id", "key").join(shared.filter("times > 2").select("key"), "key", "left_semi").distinct()
     attributes = classes.select("id", "n", "p0", "p1", "p2", "p3")
-    side = lambda c: attributes.select(*[F.col(x).alias(c if x == "id" else x) for x in attributes.columns])
+    side = lambda c: attributes.select(*[F.col(x).alias(c if x == "id" else x) for x in attributes.columns]).hint("merge")
     twos = twos.join(side("a").alias("l"), "a").join(side("b").alias("r"), "b").filter(_fits("l", "r", percent)).select("a", "b")
-    entries_n = shelf.put(entries.join(attributes, "id"), "entries")
+    entries_n = shelf.put(entries.join(attributes.hint("merge"), "id"), "entries")
     centre = entries_n.groupBy("key").agg(F.min_by(F.struct("id", "n", "p0", "p1", "p2", "p3"), F.xxhash64("id")).alias("c")).select("key", "c.*")
     star = entries_n.alias("l").join(centre.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.id") != F.col("r.id")) & _fits("l", "r", percent))
     star = star.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
