@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 #: Bytes of text that a Python worker holds as numpy arrays at once.
 CHUNK_BYTES = 2_000_000
 #: Bytes of an Arrow batch: Spark's own bound of 64 MB would be held several times by each worker and its executor.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 #: Rows of a small side that may be broadcast; beyond it a shuffle join is used.
 BROADCAST_ROWS = 200_000
 

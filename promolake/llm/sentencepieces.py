@@ -42,6 +42,8 @@ UNKNOWN_PENALTY = 10.0
 #: Scores are kept as whole multiples of 1 / FIXED.
 FIXED = 1 << 24
 _NOT_REACHED = -(1 << 62)
+#: Bytes of text whose units are segmented together; the paths take some hundred times as much.
+PART_BYTES = 1_000_000
 #: Longer units (in bytes) are so few that each is segmented by itself.
 LONG_UNIT = 1024
 
@@ -379,7 +381,7 @@ def encode(spark: SparkSession, docs: DataFrame, model: str = DEFAULT_MODEL, tex
     def run(batches):
         p = pieces.value
         for b in batches:
-            for i, j, texts in parts(b.column(at)):
+            for i, j, texts in parts(b.column(at), PART_BYTES):
                 found = p.encode_all(texts)
                 cols = [c.slice(i, j - i) for c in b.columns]
                 if back:
@@ -420,7 +422,7 @@ def digest(spark: SparkSession, docs: DataFrame, model: str = DEFAULT_MODEL) ->
     def run(batches):
         p = pieces.value
         for b in batches:
-            for i, j, texts in parts(b.column(1)):
+            for i, j, texts in parts(b.column(1), PART_BYTES):
                 found = p.encode_all(texts)
                 ids, cuts = found.ids.astype("<i4", copy=False), found.first.tolist()
                 sha = [hashlib.sha256(ids[x:y]).hexdigest() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
