@@ -99,10 +99,13 @@ def signature_tokens(c: Text) -> Column:
 
 
 def keywords(c: Column) -> Column:
-    """Words of the keyword chart: letters only, more than three of them, no stop words."""
-    stop = literals(sorted(set(R.KEYWORD_STOPWORDS)))
-    plain = F.regexp_replace(F.lower(c), r"[^a-z\s]", " ")
-    return F.filter(F.split(plain, r"\s+"), lambda w: (F.length(w) > 3) & ~F.array_contains(stop, w))
+    """Words of letters only; which of them count is for is_keyword to say, once they are rows."""
+    return F.split(F.regexp_replace(F.lower(c), r"[^a-z\s]", " "), r"\s+")
+
+
+def is_keyword(word: Column) -> Column:
+    """More than three letters, no stop word."""
+    return (F.length(word) > 3) & ~word.isin(sorted(set(R.KEYWORD_STOPWORDS)))
 
 
 def overlap_percent(a: Column, b: Column) -> Column:
@@ -120,8 +123,8 @@ def normalize_money(c: Text) -> Column:
 
 def clean_ad_text(c: Text) -> Column:
     """Without calls to fill in forms and lone labels; runs of blanks as one, at most one empty line between others."""
-    out = F.regexp_replace(F.replace(text(c), F.lit("\u00a0"), F.lit(" ")), r"(?im)get\s+coupon|Fill in your information below[^.]*\.|^\s*Coupon\s+|^\s*Offer\s*\n", "")
-    out = F.regexp_replace(out, r"(?im)^(Shop|Online|Choose|Offer|Coupon|Print)\s*$", "")
+    out = F.regexp_replace(F.replace(text(c), F.lit("\u00a0"), F.lit(" ")), R.AD_TEXT_NOISE, "")
+    out = F.regexp_replace(out, R.AD_TEXT_LABELS, "")
     return strip(F.regexp_replace(F.regexp_replace(out, "\n{3,}", "\n\n"), "[ \t]{2,}", " "))
 
 
@@ -146,9 +149,8 @@ def shortened(c: Column, most: int = 150, least: int = 50) -> Column:
 def discount(c: Text) -> Column:
     """`$n off`, `save n`, `$n`, `n% off`, `n%` (three digits at most), else `free`; in this order."""
     c = text(c)
-    ends = r"(?=$|[\s,.)/]|off|%|\b)"
-    dollars = [found(c, p) for p in (r"(?i)\$(\d{1,3}(?:\.\d{1,2})?)\s*off\b", rf"(?i)save\s*\$?(\d{{1,3}}(?:\.\d{{1,2}})?){ends}", rf"(?i)\$(\d{{1,3}}(?:\.\d{{1,2}})?){ends}")]
-    percents = [found(c, p) for p in (r"(?i)(\d{1,2})\s*%\s*off", r"(\d{1,2})\s*%")]
+    dollars = [found(c, p) for p in R.DISCOUNT_DOLLARS]
+    percents = [found(c, p) for p in R.DISCOUNT_PERCENTS]
     money = [F.concat(F.lit("$"), d) for d in dollars]
     share = [F.concat(p.cast("int").cast("string"), F.lit("%")) for p in percents]
     return F.coalesce(*money, *share, F.when(c.rlike(r"(?i)\bfree\b"), F.lit("free")))
@@ -162,8 +164,7 @@ def loose_discount(c: Text) -> Column:
 
 def ad_discount(title: Text, description: Text) -> Column:
     """The first phrase in the title, else in the description."""
-    phrase = r"(?i)(\$\d+(?:\.\d{2})?(?:\s*off)?|\d+%\s*off|free\s+\w+|buy\s+\d+\s+get\s+\d+)"
-    return F.coalesce(F.trim(found(title, phrase)), F.trim(found(description, phrase)), F.lit(""))
+    return F.coalesce(F.trim(found(title, R.AD_DISCOUNT)), F.trim(found(description, R.AD_DISCOUNT)), F.lit(""))
 
 
 def discount_key(c: Text) -> Column:
@@ -236,11 +237,6 @@ def loose_code(c: Text) -> Column:
     return F.coalesce(*[F.upper(found(c, f"(?i){p}")) for p in R.LOOSE_CODE_CUES])
 
 
-def barcode_codes(c: Text) -> Column:
-    """Distinct tokens of image names that look like codes."""
-    return F.array_distinct(F.regexp_extract_all(F.upper(text(c)), F.lit(r"\b([A-Z]{2,}[0-9]{2,}[A-Z0-9]*)\b"), 1))
-
-
 # --- dates ----------------------------------------------------------------------------------------------------------
 
 
@@ -262,12 +258,14 @@ def parse_expiry(c: Text, today: Column | None = None) -> Column:
     """Date of an expiry: ISO, month first with / or -, or a month's name; a year left out is today's; else null."""
     s = F.regexp_replace(strip(text(c)), r"[.,]+$", "")
     year = F.year(today if today is not None else F.current_date())
-    iso = r"^(\d{4})-(\d{1,2})-(\d{1,2})$"
-    num = r"^(\d{1,2})([/-])(\d{1,2})\2(\d{4})$"
-    name = r"^([A-Za-z]+) (\d{1,2})(?:,? (\d{4}))?$"
-    n = lambda p, g: found(s, p, g).cast("int")
-    month = month_number(F.lower(F.coalesce(found(s, name, 1), F.lit(""))))
-    return F.coalesce(_day(n(iso, 1), n(iso, 2), n(iso, 3)), _day(n(num, 4), n(num, 1), n(num, 3)), _day(F.coalesce(n(name, 3), year), month, n(name, 2)))
+    # the form is seen from the parts between signs, which are found once
+    def read(p: Column) -> Column:
+        n = lambda k: F.get(p, F.lit(k)).try_cast("int")
+        month = month_number(F.lower(F.coalesce(F.get(p, F.lit(0)), F.lit(""))))
+        named = F.when(s.rlike(r"^[A-Za-z]+ [0-9]{1,2}(,? [0-9]{4})?$"), _day(F.coalesce(n(2), year), month, n(1)))
+        return F.when(s.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), _day(n(0), n(1), n(2))).when(s.rlike("^[0-9]{1,2}([/-])[0-9]{1,2}\\1[0-9]{4}$"), _day(n(2), n(0), n(1))).otherwise(named)
+
+    return F.get(F.transform(F.array(F.split(s, "[-/, ]+")), read), F.lit(0))
 
 
 def parse_offer_date(c: Text) -> Column:
@@ -308,7 +306,7 @@ def classify(c: Text, hint: Text | None = None) -> Column:
 
 
 def classify_site(c: Text, hint: Text) -> Column:
-    by_text = [F.when(F.lower(text(c)).rlike(p), F.lit(s)) for s, p in R.SITE_SERVICE_PATTERNS]
+    by_text = [F.when(F.lower(text(c)).rlike(p), F.lit(s)) for s, p in [("Tire Rotation", R.SITE_ROTATION), *R.SITE_SERVICE_PATTERNS]]
     own = F.nullif(classify(c), F.lit("Other"))
     return F.coalesce(*by_text, own, F.when(col(hint).isin(R.SERVICES), col(hint)), F.lit("Other"))
 
@@ -504,3 +502,12 @@ def cell(c: Text, kind: str) -> Column:
     if kind.startswith(("array", "map", "struct")):
         return F.coalesce(F.to_json(col(c)), F.lit(""))
     return F.coalesce(F.upper(col(c).cast("string")) if kind == "boolean" else col(c).cast("string"), F.lit(""))
+
+
+def column_letter(n: Text) -> Column:
+    """A, B, ..., Z, AA, ... ZZZ of a spreadsheet's column, counted from 1; null for other numbers."""
+    m = col(n) - 1
+    last = F.char((m % 26 + 65).cast("int"))
+    middle = F.when(m >= 26, F.char((F.floor((m - 26) / 26) % 26 + 65).cast("int"))).otherwise("")
+    first = F.when(m >= 702, F.char((F.floor((m - 702) / 676) + 65).cast("int"))).otherwise("")
+    return F.when(m.between(0, 18277), F.concat(first, middle, last))

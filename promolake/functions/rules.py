@@ -67,7 +67,7 @@ SERVICE_PATTERNS = [
     ("Transmission Fluid", r"\btransmission\b"),
     ("Radiator Flush", r"\b(radiator|coolant|antifreeze|cooling\s+system)\b"),
     ("Fuel System Flush", r"\bfuel\s+(system|injector|injection|cleaning|flush|service)\b"),
-    ("Battery", r"\b(batter(y|ies)|alternator)\b"),
+    ("Battery", r"\b(batter(?:y|ies)|alternator)\b"),
     ("Brake", r"\b(brake|brakes|brake\s+pad|rotor|caliper)\b"),
     ("Tire Rotation", r"\btire\s+rotation\b|\brotate\s+tire"),
     ("Tire Sales", r"\b(tire\s+sale|tire\s+purchase|new\s+tires|buy\s+tires|tires?\s+rebate)\b"),
@@ -75,24 +75,31 @@ SERVICE_PATTERNS = [
     ("Oil Change", r"\boil\s+change\b|\boil\s+filter\b|\bfull\s+service\s+oil\b|\bsynthetic\s+blend\b|\bpennzoil\b"),
     ("Oil Change", r"\boil\b|\blube\b"),
 ]
-# Of one site: what its text says before the patterns are asked.
+# Of one site: what its text says before the patterns are asked; a tire rotation goes before all of them.
+SITE_ROTATION = r"\btire\s+rotation\b"
 SITE_SERVICE_PATTERNS = [
-    ("Tire Rotation", r"\btire\s+rotation\b"),
     ("Battery", r"\bbatter"),
     ("Brake", r"\bbrakes?\b"),
-    ("Tire Rotation", r"\brotation\b"),
-    ("Tire Sales", r"\btires?\b"),
+    ("Tire Rotation", r"\btire\s+rotation\b|\brotation\b"),
+    ("Tire Sales", r"\btire(?:s)?\b"),
     ("Oil Change", r"\boil\s+change\b|\bsynthetic\b|\blube\s+and\s+filter\b"),
-    ("Transmission Fluid", r"\btransmission\s+fluid\b|\btransmission\s+(flush|service)\b"),
+    ("Transmission Fluid", r"\btransmission\s+fluid\b|\btransmission\s+(?:flush|service)\b"),
     ("Radiator Flush", r"\bcoolant\b|\bradiator\b"),
-    ("Fuel System Flush", r"\bfuel\s+(system|injection|injector)\b"),
+    ("Fuel System Flush", r"\bfuel\s+(?:system|injection|injector)\b"),
 ]
 
 # --- coupon codes (fixed values) ------------------------------------------------------------------------------
-CODE_BLOCKLIST = """LINK LINKS FILL PER VISIT THE AND FOR OFF GET GOT USE JIFFY LUBE PENNZOIL SHELL OIL FULL MILES BONUS ONLY NOW
-HERE NEAR STORE STORES OPEN CLOSE TODAY FREE FREEZE WARRANTY APPROVED NECESSARY DIRECTIONS APPOINTMENT EXPIRES EXPIRE VALID BARCODE
-BROWS COUPON COUPONS PROMO OFFER OFFERS TERMS SAVINGS REWARDS POINTS WITH FROM INTO OVER UNDER ABOUT""".split()
-CODE_SUFFIXES = "EXPIRES EXPIRE EXPIRY EXPIRED EXP ENDS ENDING VALID VALIDUNTIL OFF OFFER OFFERS USE USECODE CODE TERMS ANDCONDITIONS".split()
+CODE_BLOCKLIST = [
+    "LINK", "LINKS", "FILL", "PER", "VISIT", "THE", "AND", "FOR", "OFF", "GET", "GOT", "USE", "JIFFY", "LUBE",
+    "PENNZOIL", "SHELL", "OIL", "FULL", "MILES", "BONUS", "ONLY", "NOW", "HERE", "NEAR", "STORE", "STORES", "OPEN",
+    "CLOSE", "TODAY", "FREE", "FREEZE", "WARRANTY", "APPROVED", "NECESSARY", "DIRECTIONS", "APPOINTMENT", "EXPIRES",
+    "EXPIRE", "VALID", "BARCODE", "BROWS", "COUPON", "COUPONS", "PROMO", "OFFER", "OFFERS", "TERMS", "SAVINGS",
+    "REWARDS", "POINTS", "WITH", "FROM", "INTO", "OVER", "UNDER", "ABOUT",
+]
+CODE_SUFFIXES = [
+    "EXPIRES", "EXPIRE", "EXPIRY", "EXPIRED", "EXP", "ENDS", "ENDING", "VALID", "VALIDUNTIL", "OFF", "OFFER",
+    "OFFERS", "USE", "USECODE", "CODE", "TERMS", "ANDCONDITIONS",
+]
 CODE_CUES = [
     r"(?:promo\s*code|coupon\s*code|use\s*code|code)\s*[:\-]\s*([A-Z0-9]{3,30})",
     r"use\s*the\s*code\s*([A-Z0-9]{3,30})",
@@ -100,23 +107,51 @@ CODE_CUES = [
 ]
 LOOSE_CODE_CUES = [r"(?:code|coupon|promo)[:\s]+([A-Z0-9]{3,20})", r"use[:\s]+([A-Z0-9]{3,20})", r"code[:\s]*([A-Z0-9]{3,20})"]
 
+# --- discounts (fixed values) ---------------------------------------------------------------------------------
+DISCOUNT_DOLLARS = [
+    r"(?i)\$(\d{1,3}(?:\.\d{1,2})?)\s*off\b",
+    r"(?i)save\s*\$?(\d{1,3}(?:\.\d{1,2})?)(?=$|[\s,.)/]|off|%|\b)",
+    r"(?i)\$(\d{1,3}(?:\.\d{1,2})?)(?=$|[\s,.)/]|off|%|\b)",
+]
+DISCOUNT_PERCENTS = [r"(?i)(\d{1,2})\s*%\s*off", r"(\d{1,2})\s*%"]
+AD_DISCOUNT = r"(?i)(\$\s*\d+(?:\.\d+)?(?:\s*off)?|\d+\s*%\s*off|free\s+\w+|buy\s+\d+\s+get\s+\d+)"
+AD_TEXT_NOISE = r"(?im)get\s+coupon|Fill in your information below[^.]*\.|^\s*Coupon\s+|^\s*Offer\s*\n"
+AD_TEXT_LABELS = r"(?im)^(Shop|Online|Choose|Offer|Coupon|Print)\s*$"
+
 # --- dates (fixed values) -------------------------------------------------------------------------------------
 EXPIRY_CUE = r"(?:offer\s+ends?|expires?|valid\s+(?:until|through|thru)|ends?)\s*[:\-]?\s*((?:[A-Za-z]+\s+\d{1,2}(?:st|nd|rd|th)?,?\s*\d{4})|(?:\d{1,2}[/-]\d{1,2}[/-]\d{2,4}))"
 MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
 
 # --- titles, signatures, keywords (fixed values) --------------------------------------------------------------
-TITLE_GENERIC = "get coupon expires barcode valid offer save now limited time only click here see more details terms apply conditions".split()
-TITLE_STOPWORDS = "the a an and or of off on to for with any select each per your our in at by from is more than".split()
-SIGNATURE_STOPWORDS = """ave avenue st street rd road dr drive blvd way place pl trail trl circle cir lane ln nw ne sw se n s e w north
-south east west ab alberta calgary edmonton grande prairie highland beverly clareview downtown claires granville killarney manning
-northgate common ellerslie tamarack terra losa terwillegar whyte windermere warranty approved no appointment necessary
-necessarydirections directions store stores location locations service services near open hours today phone call browse browser support
-does your the and or of to in on with for a an at is as by get click here see more details view""".split()
-KEYWORD_STOPWORDS = """the and for are but not you all can her was one our out day get has him his how its may new now old see two who
-did let put say she too use your with this that have from they will been also what when from more than then there their plus just only
-over into very well even back come good here most some such take time want were able call open near find save shop book visit today
-service services oil change lube tire tires canada canadian local drive fast quick auto car vehicle vehicles appointment near store
-location hours available offer""".split()
+TITLE_GENERIC = [
+    "get", "coupon", "expires", "barcode", "valid", "offer", "save", "now", "limited", "time", "only", "click",
+    "here", "see", "more", "details", "terms", "apply", "conditions",
+]
+TITLE_STOPWORDS = [
+    "the", "a", "an", "and", "or", "of", "off", "on", "to", "for", "with", "any", "select", "each", "per", "your",
+    "our", "in", "at", "by", "from", "is", "more", "than",
+]
+SIGNATURE_STOPWORDS = [
+    "ave", "avenue", "st", "street", "rd", "road", "dr", "drive", "blvd", "way", "place", "pl", "trail", "trl",
+    "circle", "cir", "lane", "ln", "nw", "ne", "sw", "se", "n", "s", "e", "w", "north", "south", "east", "west", "ab",
+    "alberta", "calgary", "edmonton", "grande", "prairie", "highland", "beverly", "clareview", "downtown", "claires",
+    "granville", "killarney", "manning", "northgate", "common", "ellerslie", "tamarack", "terra", "losa",
+    "terwillegar", "whyte", "windermere", "warranty", "approved", "no", "appointment", "necessary",
+    "necessarydirections", "directions", "store", "stores", "location", "locations", "service", "services", "near",
+    "open", "hours", "today", "phone", "call", "browse", "browser", "support", "does", "your", "the", "and", "or",
+    "of", "to", "in", "on", "with", "for", "a", "an", "at", "is", "as", "by", "get", "click", "here", "see", "more",
+    "details", "view",
+]
+KEYWORD_STOPWORDS = [
+    "the", "and", "for", "are", "but", "not", "you", "all", "can", "her", "was", "one", "our", "out", "day", "get",
+    "has", "him", "his", "how", "its", "may", "new", "now", "old", "see", "two", "who", "did", "let", "put", "say",
+    "she", "too", "use", "your", "with", "this", "that", "have", "from", "they", "will", "been", "also", "what",
+    "when", "from", "more", "than", "then", "there", "their", "plus", "just", "only", "over", "into", "very", "well",
+    "even", "back", "come", "good", "here", "most", "some", "such", "take", "time", "want", "were", "able", "call",
+    "open", "near", "find", "save", "shop", "book", "visit", "today", "service", "services", "oil", "change", "lube",
+    "tire", "tires", "canada", "canadian", "local", "drive", "fast", "quick", "auto", "car", "vehicle", "vehicles",
+    "appointment", "near", "store", "location", "hours", "available", "offer",
+]
 GENERIC_HEADLINES = ["check", "promotion", "offer", "deal", "na", "n/a", "none", ""]
 SENTINELS = ["NA", "N/A", "NOT SPECIFIED", "NONE", ""]
 

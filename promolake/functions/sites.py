@@ -15,13 +15,13 @@ URL_SERVICES = {
 }
 OFFER_TITLE = r"(?i)(\$\s*\d+(?:\.\d{1,2})?\s*Off\*?\s+[A-Z][A-Za-z0-9 &/\-]{2,50}?)(?=\s*(?:Expires?\b|\*|\.|$|\n))"
 OFFER_LINE = r"(?i)(?:\$\s*\d+(?:\.\d{1,2})?\s*(?:off|/|=)?|\b\d+\s*%\s*off\b|\bup\s+to\b|\bsave\s+\$?\d|\bget\s+\$\d|\bbuy\s+\d+\s+get\s+\d+\s+free\b|\brebate|\bfinancing\b|\bfree\s+oil)"
-BARE_AMOUNT = r"(?i)^\s*(?:\$\s*\d+(?:\.\d{1,2})?\s*off|\d+\s*%\s*off)\s*$"
+BARE_AMOUNT = r"(?i)^\s*(\$\s*\d+(?:\.\d{1,2})?\s*(?:OFF|off)|\d+\s*%\s*off)\s*$"
 REGULAR_PRICE, INCLUDES, BRAND_LINE = r"(?i)^\s*reg\.?\s*\$", r"(?i)^includes?\s+up\s+to\b", r"(?i)^(?:mobil|lube\s+express)\b"
 REBATE_LINE = r"(?i)(?:\bup\s+to\b.*\$\s*\d|\$\s*\d.*\b(?:rebate|cash\s+back|off|in\b)|\d+\s*%\s*off|\bget\s+\$\d|\bsave\s+\$?\d)"
 TIRE_BRANDS = r"(?i)\b(bridgestone|michelin|firestone|goodyear|continental|pirelli|hankook|toyo|yokohama|cooper|kumho|nokian|nexen|falken|general|bf\s*goodrich|uniroyal)\b"
 BRAND_NOISE = r"(?i)(?:quick\s+lube\s*\+\s*tires?|keeping\s+you\s+moving\s+forward|car-?care\s+pros|enjoy\s+same-?day|same-?day\s+tire\s+service|no\s+appointment\s+needed|www\.lubefx\.com|lube\s+f[zx]?\+?\b|lube\s+fx\+?\b|do\s+more\s+save\s+more|get\s+rew(?:anded|arded))"
 OFF_TAXONOMY = r"(?i)(?:fog\s+lights?|head[-\s]?lights?|wiper\s+blade|window\s+tint|car\s+wash|detailing|accessor(?:y|ies)|gift\s+card|fleet\s+(?:info|service)|warranty|employment|career)"
-COMPONENT = r"(?i)((?:\$\s*\d+(?:\.\d{2})?|\d+\s*%)\s*off\s+[A-Za-z][A-Za-z0-9 /\-']*?)(?=\s*(?:&|\band\b|\(|\)|,|;|:|\.\s|\$\s*\d|\d+\s*%|\bname\b|\bemail\b|\bregister\b|\bprint\b|\bexpires?\b|\bvalid\b|\bsign\s+up\b|$))"
+COMPONENT = r"(?i)(\$\s*\d+(?:\.\d{2})?|\d+\s*%)\s*off\s+([A-Za-z][A-Za-z0-9 &/\-']*?)(?=\s*(?:&|\band\b|\(|\)|,|;|:|\.\s|\$\s*\d|\d+\s*%|\bname\b|\bemail\b|\bregister\b|\bprint\b|\bexpires?\b|\bvalid\b|\bsign\s+up\b|$))"
 FLUID_SERVICES = [
     ("Other", r"\bfluid\s+maintenance\b"), ("Tire Rotation", r"\btire\s+rotation\b|\brotate\s+tires?\b"),
     ("Fuel System Flush", r"\bfuel\s+(?:system|injector|injection|cleaning|flush)\b|\bdiesel\s+fuel\s+filter\b|\bfuel\s+filter\b"),
@@ -43,9 +43,19 @@ LEGACY_EXPIRY = [
     r"(?i)(?:expires?|valid until|until|ends?)[:\s]+([A-Za-z]+\s+\d{1,2}[,\s]+\d{4})", r"(?i)(?:expires?|valid until|until|ends?)[:\s]+(\d{1,2}[/-]\d{1,2}[/-]\d{2,4})",
     r"(?i)(?:expires?|valid)[:\s]*(\d{1,2}\s+[A-Za-z]+\s+\d{4})",
 ]
-VALID_RANGE = r"(?i)Offer\s+Valid[:\s]+([^–-]+?)\s+[–-]\s+(\d{1,2}[/-]\d{1,2}[/-]\d{2,4})"
+VALID_RANGE = r"(?i)Offer\s+Valid[:\s]+([^–-]+?)(?:\s+–\s+|\s+-\s+)(\d{1,2}[/-]\d{1,2}[/-]\d{2,4})"
 OVERVIEW_EXPIRY = [r"(?i)(?:expires?|expiry|valid until|until|ends?)[\s:]+(\d{1,2}[/-]\d{1,2}[/-]\d{2,4})", r"(?i)(?:expires?|expiry|valid until|until)[\s:]+(\w+\s+\d{1,2},?\s+\d{2,4})", r"(\d{1,2}[/-]\d{1,2}[/-]\d{2,4})"]
 PROMO_WORDS = [r"\$(\d+)", r"(\d+)\s*%", r"\b(off|save|discount|coupon|special|promo|offer|deal)\b", r"\b(winter|oil change|service)\b"]
+SUMMARY_NOISE = [
+    r"GET\s+COUPON", r"FILL\s+IN\s+YOUR\s+INFORMATION.*", r"Fill\s+in\s+(?:the\s+)?form.*", r"Sign\s+up.*", r"Download\s+the\s+Shell\s+App.*", r"Not\s+a\s+Shell\s+Go\+\s+member\s+yet\??",
+    r"Click\s+here.*", r"Print\s+coupon.*", r"Cannot\s+be\s+combined\s+with.*", r"One\s+coupon\s+per\s+visit\.?", r"Valid\s+at\s+participating\s+locations.*",
+    r"\*?Expires?:?\s*[A-Za-z]+\s+\d{1,2}(st|nd|rd|th)?,?\s*\d{4}",
+]
+PRODUCTS = [
+    r"Pennzoil\s+(?:Full\s+)?Synthetic(?:\s+Motor\s+Oil)?", r"Pennzoil[^\.\n]{0,40}", r"Jiffy\s+Lube\s+Signature\s+Service\s+oil\s+change", r"Jiffy\s+Lube\s+Signature\s+Service", r"oil\s+change", r"tire\s+rotation",
+    r"battery", r"brake", r"transmission\s+fluid", r"radiator\s+flush", r"fuel\s+system\s+flush",
+]
+CARD_TITLE_NOISE = [r"(?i)^get coupon$", r"(?i)^view (?:offer|coupon|details)$", r"(?i)^view all (?:offers|coupons)$", r"(?i)^print coupon$"]
 STREET_WORDS = ["nw", "ne", "sw", "se", "st", "ave", "blvd", "street", "road", "rd"]
 
 
@@ -98,7 +108,7 @@ def _or_null(c: Column) -> Column:
 def card_title(c) -> Column:
     """First line without bullets; nothing for calls to action."""
     line = F.regexp_replace(E.strip(F.split(E.strip(E.text(c)), "\n")[0]), "^[ •\\-—|]+|[ •\\-—|]+$", "")
-    return F.when(line.rlike(r"(?i)^(get coupon|view (?:offer|coupon|details)|view all (?:offers|coupons)|print coupon)$"), "").otherwise(F.substring(line, 1, 120))
+    return F.when(F.exists(E.literals(CARD_TITLE_NOISE), lambda p: F.regexp_like(line, p)), "").otherwise(F.substring(line, 1, 120))
 
 
 def from_offer_cue(c) -> Column:
@@ -137,8 +147,8 @@ def number_discount(c) -> Column:
 
 
 def inline_code(c) -> Column:
-    """A token before `$n Off`."""
-    return E.clean_code(E.found(c, r"\b([A-Z0-9]{3,12})\s+\$\s*\d+(?:\.\d{1,2})?\s*(?i:off)"))
+    """A token before `$n Off`, in upper case."""
+    return F.upper(E.found(c, r"(?i)\b([A-Z0-9]{4,12})\s+\$\s*\d+\s*Off"))
 
 
 def barcode_codes(html) -> Column:
@@ -392,17 +402,6 @@ def resolve_url(base, src) -> Column:
         .when(s.startswith("/"), F.concat(root, s)).otherwise(F.concat(F.regexp_replace(folder, "/+$", ""), F.lit("/"), s))
     )
 
-# Phrases that say nothing about an offer, and products in the order in which they are looked for.
-SUMMARY_NOISE = [
-    r"GET\s+COUPON", r"FILL\s+IN\s+YOUR\s+INFORMATION.*", r"Fill\s+in\s+(?:the\s+)?form.*", r"Sign\s+up.*", r"Download\s+the\s+Shell\s+App.*", r"Not\s+a\s+Shell\s+Go\+\s+member\s+yet\??",
-    r"Click\s+here.*", r"Print\s+coupon.*", r"Cannot\s+be\s+combined\s+with.*", r"One\s+coupon\s+per\s+visit\.?", r"Valid\s+at\s+participating\s+locations.*",
-    r"\*?Expires?:?\s*[A-Za-z]+\s+\d{1,2}(?:st|nd|rd|th)?,?\s*\d{4}",
-]
-PRODUCTS = [
-    r"Pennzoil\s+(?:Full\s+)?Synthetic(?:\s+Motor\s+Oil)?", r"Pennzoil[^.\n]{0,40}", r"Jiffy\s+Lube\s+Signature\s+Service\s+oil\s+change", r"Jiffy\s+Lube\s+Signature\s+Service", r"oil\s+change", r"tire\s+rotation",
-    r"battery", r"brake", r"transmission\s+fluid", r"radiator\s+flush", r"fuel\s+system\s+flush",
-]
-
 
 def brand_summary(title, body, discount, code, service, brand: str = "Jiffy Lube") -> Column:
     """One sentence of 25 words at most: the discount, the product or service, the brand and the code."""

@@ -45,7 +45,8 @@ def discount_buckets(offers: DataFrame) -> DataFrame:
     # equal discounts meet first, so that each is read once
     each = offers.groupBy("discount_value").agg(F.count("*").alias("times"))
     each = each.select(F.trim(F.lower(E.text("discount_value"))).alias("v"), E.amount("discount_value").alias("a"), "times")
-    n = each.groupBy(E.bucket_of(F.col("v"), F.col("a")).alias("bucket")).agg(F.sum("times").alias("n"))
+    # never null, or the join would ask for the bucket of every single offer before the first sum
+    n = each.groupBy(F.coalesce(E.bucket_of(F.col("v"), F.col("a")), F.lit("")).alias("bucket")).agg(F.sum("times").alias("n"))
     dim = dimension(offers, "bucket", R.DISCOUNT_BUCKETS)
     return F.broadcast(dim).join(n, "bucket", "left").select("ord", "bucket", F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -108,7 +109,7 @@ def intensity(offers: DataFrame) -> DataFrame:
 
 def keyword_counts(texts: DataFrame, column: str = "text") -> DataFrame:
     words = texts.select(F.explode(E.keywords(E.text(column))).alias("word"))
-    return words.groupBy("word").agg(F.count("*").alias("n"))
+    return words.filter(E.is_keyword(F.col("word"))).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def top_keywords(texts: DataFrame, column: str = "text", n: int = 15) -> DataFrame:
@@ -117,8 +118,11 @@ def top_keywords(texts: DataFrame, column: str = "text", n: int = 15) -> DataFra
 
 def benchmark(offers: DataFrame) -> DataFrame:
     """Mean, largest and number of numeric discounts of five categories; zeros where there is none."""
-    v = offers.select("category", E.amount("discount_value").alias("v")).filter("v > 0")
-    own = v.groupBy("category").agg(F.round(F.avg("v"), 1).alias("avg_discount"), F.max("v").alias("max_discount"), F.count("*").alias("n"))
+    # equal discounts of a category meet first, so that each is read once
+    each = offers.groupBy("category", "discount_value").agg(F.count("*").alias("times"))
+    positive = F.when(E.amount("discount_value") > 0, E.amount("discount_value"))
+    v = each.select("category", "times", positive.alias("v"))
+    own = v.groupBy("category").agg(F.round(F.sum(F.col("v") * F.col("times")) / F.sum(F.when(F.col("v").isNotNull(), F.col("times"))), 1).alias("avg_discount"), F.max("v").alias("max_discount"), F.sum(F.when(F.col("v").isNotNull(), F.col("times"))).alias("n"))
     out = F.broadcast(dimension(offers, "category", R.BENCHMARK_CATEGORIES)).join(own, "category", "left")
     return out.select("ord", "category", *[F.coalesce(c, F.lit(z)).alias(c) for c, z in (("avg_discount", 0.0), ("max_discount", 0.0), ("n", 0))])
 
@@ -189,3 +193,11 @@ def grid(offers: DataFrame, runs: DataFrame, changes: DataFrame, removed: dict[s
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def run_totals(runs: DataFrame) -> DataFrame:
+    """One row over all runs: how many, by outcome, the sums of their counters, and the last time (as text)."""
+    return runs.agg(
+        F.count("*").alias("runs"), count_if(F.col("status") == "success").alias("successful"), count_if(F.col("status").isin("failed", "parse_failed")).alias("failed"),
+        total(F.col("rows_generated")).alias("rows_generated"), total(F.col("needs_review_count")).alias("needs_review"), F.max("scraped_at").alias("last_scraped"),
+    )

@@ -24,7 +24,7 @@ def sentence_offers(texts: DataFrame, key: str, column: str = "text") -> DataFra
 
 def components(texts: DataFrame, key: str, column: str = "text") -> DataFrame:
     """Every `$n off <thing>` of a line that names several, with its discount and service."""
-    rows = texts.select(key, F.posexplode(F.regexp_extract_all(E.text(column), F.lit(S.COMPONENT), F.lit(1))).alias("pos", "component"))
+    rows = texts.select(key, F.posexplode(F.regexp_extract_all(E.text(column), F.lit(S.COMPONENT), F.lit(0))).alias("pos", "component"))
     rows = rows.filter(~F.col("component").rlike(S.OFF_TAXONOMY))
     return rows.withColumn("discount_value", E.discount("component")).withColumn("service_name", S.fluid_service("component", F.lit(None)))
 
@@ -53,10 +53,11 @@ def popup_images(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
 
 
 def leaf_blocks(blocks: DataFrame, key: str, least: int = 40) -> DataFrame:
-    """Blocks that hold no shorter block of the page of `least` characters or more."""
-    a, b = blocks.alias("a"), blocks.select(key, "text").alias("b")
-    inner = (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.length("b.text") < F.length("a.text")) & (F.length("b.text") >= least) & F.col("a.text").contains(F.col("b.text"))
-    return a.join(b, inner, "left_anti")
+    """Blocks that hold no shorter block of the page of `least` characters or more; a page's blocks are one array."""
+    page = blocks.groupBy(key).agg(F.collect_list(F.struct(*blocks.columns)).alias("_all"))
+    part = lambda t, o: (F.length(o["text"]) < F.length(t["text"])) & (F.length(o["text"]) >= least) & t["text"].contains(o["text"])
+    kept = F.filter("_all", lambda t: ~F.coalesce(F.exists("_all", lambda o: part(t, o)), F.lit(False)))
+    return page.select(F.explode(kept).alias("_b")).select("_b.*")
 
 
 def store_signature(title, discount, code) -> Column:

@@ -34,16 +34,43 @@ def final_dedupe(rows: DataFrame, order: list) -> tuple[DataFrame, DataFrame]:
     return kept, grouped.filter("_n > 1").drop("_n")
 
 
+#: Parts that numbering deals rows into, and values of the leading column that are looked at to find their borders.
+PARTS, BORDER_SAMPLE = 64, 10_000
+
+
+def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """rows with their number (from 1) in the given order, which has to be unique.
+
+    Rows are dealt by borders of the leading column, counted by part, and numbered within their parts, so no task sorts
+    all of them.  The borders come from some values picked by hash; they only balance the parts."""
+    lead = order[0]
+    some = sorted(r[0] for r in rows.select(lead).filter(F.col(lead).isNotNull()).orderBy(F.xxhash64(lead), lead).limit(BORDER_SAMPLE).collect())
+    borders = sorted(set(some[:: max(1, len(some) // PARTS)]))
+    kind = rows.schema[lead].dataType
+    part = F.lit(0)
+    if borders:
+        part = F.coalesce(F.size(F.filter(F.array(*[F.lit(x).cast(kind) for x in borders]), lambda x: x <= F.col(lead))), F.lit(0))
+    dealt = rows.withColumn("_part", part)
+    counts = {r[0]: r[1] for r in dealt.groupBy("_part").count().collect()}
+    before, starts = 0, {}
+    for p in sorted(counts):
+        starts[p], before = before, before + counts[p]
+    offset = F.element_at(F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]), F.col("_part")) if starts else F.lit(0)
+    number = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) + offset
+    return dealt.withColumn(name, number.cast("bigint")).drop("_part")
+
+
 def duplicate_groups(rows: DataFrame, signature: Column, prefix: str, order: list) -> DataFrame:
     """duplicate_group_id by the first appearance of a signature (prefix-001), and duplicate_group_total.
 
-    Groups are numbered over one row a signature, not over the offers."""
-    rows = rows.withColumn("_sig", signature)
-    first = F.min(F.struct(*order))
-    groups = rows.groupBy("_sig").agg(first.alias("_first"), F.count("*").alias("duplicate_group_total"))
-    number = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("_first"))
-    groups = groups.withColumn("duplicate_group_id", F.format_string(f"{prefix}-%03d", number)).drop("_first")
-    return rows.drop("duplicate_group_id", "duplicate_group_total").join(groups, "_sig").drop("_sig")
+    Groups are numbered over one row a signature, of which only two hashes (128 bits) are shuffled."""
+    rows = rows.withColumn("_s1", F.xxhash64(signature)).withColumn("_s2", F.xxhash64(F.lit("signature"), signature))
+    first = F.min(F.struct(*order)).alias("_first")
+    groups = rows.groupBy("_s1", "_s2").agg(first, F.count("*").alias("duplicate_group_total"))
+    names = [f"_o{k}" for k in range(len(order))]
+    groups = groups.select("_s1", "_s2", "duplicate_group_total", *[F.col(f"_first.{c}").alias(n) for c, n in zip(order, names, strict=True)])
+    groups = numbered(groups, [*names, "_s1", "_s2"], "_number").withColumn("duplicate_group_id", F.format_string(f"{prefix}-%03d", F.col("_number"))).drop("_number", *names)
+    return rows.drop("duplicate_group_id", "duplicate_group_total").join(groups, ["_s1", "_s2"]).drop("_s1", "_s2")
 
 
 def winner_per_group(rows: DataFrame, key: list[str], order: list) -> DataFrame:
@@ -82,19 +109,38 @@ def drop_placeholders(rows: DataFrame, by: str = "business_name") -> DataFrame:
     return rows.withColumn("_real", real).filter(~(check & (F.col("_real") == 1))).drop("_real")
 
 
+def tab_labels(rows: DataFrame, group: str, label: str) -> DataFrame:
+    """Of each group of repeats, the labels of all its rows (sorted, distinct) and their number."""
+    known = F.when(E.truthy(label), F.col(label))
+    return rows.filter(E.truthy(group)).groupBy(group).agg(F.nullif(F.array_sort(F.collect_set(known)), F.array().cast("array<string>")).alias("tabs"), F.count("*").alias("n"))
+
+
 # --- lookups -------------------------------------------------------------------------------------------------------
 
 
+def containing(outer: DataFrame, a: str, inner: DataFrame, b: str) -> DataFrame:
+    """Pairs of rows whose text a contains text b, by an equi-join: the first characters of b, three at most, are among
+    the pieces of a of that length."""
+    def of_length(k: int) -> Column:
+        at = F.sequence(F.lit(1), F.length(a) - k + 1)
+        return F.when(F.length(a) >= k, F.transform(at, lambda i: F.substring(F.col(a), i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+
+    pieces = F.concat(F.array(F.lit("")), of_length(1), of_length(2), of_length(3))
+    keyed = outer.select("*", F.explode(F.array_distinct(pieces)).alias("_piece"))
+    return keyed.join(inner.withColumn("_piece", F.substring(F.col(b), 1, 3)), "_piece").filter(F.col(a).contains(F.col(b))).drop("_piece")
+
+
 def review_lookup(rows: DataFrame, reviews: DataFrame, name: str = "business_name", order: str = "review_ord") -> DataFrame:
     """rows with the review of each name: the first with an equal plain name, else the first that contains or is part of it.
 
-    Distinct names meet the reviews, not the rows; equal names in an equi-join, the rest in a containment join."""
+    Distinct names meet the reviews, not the rows; both ways are equi-joins."""
     names = rows.select(F.col(name).alias("_name")).distinct().withColumn("_t", E.plain_name("_name")).filter("_t <> ''")
     r = reviews.withColumn("_r", E.plain_name("review_name"))
     equal = keep_first(names.join(r, F.col("_t") == F.col("_r")), [F.col("_name")], [order])
     rest = names.join(equal.select("_name"), "_name", "left_anti")
-    part = (F.col("_r") != "") & (F.col("_t").contains(F.col("_r")) | F.col("_r").contains(F.col("_t")))
-    near = keep_first(rest.join(r, part), [F.col("_name")], [order])
+    r = r.filter("_r <> ''")
+    both = containing(rest, "_t", r, "_r").select("_name", "_t", *r.columns).unionByName(containing(r, "_r", rest, "_t").select("_name", "_t", *r.columns))
+    near = keep_first(both, [F.col("_name")], [order])
     hit = equal.unionByName(near).drop("_t", "_r")
     return rows.join(hit, F.col(name) == F.col("_name"), "left").drop("_name")
 
@@ -103,7 +149,7 @@ def not_covered(legacy: DataFrame, current: DataFrame, name: str = "business_nam
     """Legacy rows whose plain name neither contains nor is part of a current one; distinct names meet, not rows."""
     a = legacy.select(E.plain_name(name).alias("_a")).distinct().filter("_a <> ''")  # a row without a name is not covered
     b = current.select(E.plain_name(name).alias("_b")).distinct()
-    covered = a.join(b, F.col("_a").contains(F.col("_b")) | F.col("_b").contains(F.col("_a")), "left_semi")
+    covered = containing(a, "_a", b, "_b").select("_a").unionByName(containing(b, "_b", a, "_a").select("_a")).distinct()
     return legacy.withColumn("_a", E.plain_name(name)).join(covered, "_a", "left_anti").drop("_a")
 
 

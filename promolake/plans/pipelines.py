@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promolake.functions import expressions as E
+from promolake.functions import gates as G
 from promolake.functions import rules as R
+from promolake.functions import sites as S
 from promolake.operators import analytics as A
 from promolake.operators import relational as J
 from promolake.operators import texts as X
@@ -93,17 +96,20 @@ class Site:
     services: tuple[str, ...] = tuple(R.SERVICES)
     #: Parts of the signature before the title: url, service, discount, expiry, city.
     signature: tuple[str, ...] = ("s", "d", "e")
+    #: Its own gate (gates.GATES) and rule for the service (text, hint), if it has them.
+    gate: str | None = None
+    service: Callable[[str, str], Column] | None = None
 
 
 #: The competitors' parameters.
 SITES = [
-    Site("Great Canadian Oil Change", "gcocltd.com", "national_service", ("Edmonton", "Calgary", "Grande Prairie"), "gcoc"),
-    Site("Mr. Lube + Tires", "mrlube.com", "national_shared", ("Calgary", "Edmonton"), "mrlube", tuple(R.SERVICES[:-1])),
-    Site("Econo Lube", "econolube.ca", "city_store", ("Edmonton",), "econolube"),
-    Site("Mobil 1 Lube Express", "mobil1lubeexpress.ca", "city_store", ("Calgary",), "mobil1"),
-    Site("LubeFx Plus", "lubefx.ca", "city_store", ("Edmonton",), "lubefx"),
+    Site("Great Canadian Oil Change", "gcocltd.com", "national_service", ("Edmonton", "Calgary", "Grande Prairie"), "gcoc", gate="gcoc", service=G.hinted_service),
+    Site("Mr. Lube + Tires", "mrlube.com", "national_shared", ("Calgary", "Edmonton"), "mrlube", tuple(R.SERVICES[:-1]), gate="mrlube", service=G.rebate_service),
+    Site("Econo Lube", "econolube.ca", "city_store", ("Edmonton",), "econolube", gate="econolube", service=lambda c, hint: S.purchase_service(c)),
+    Site("Mobil 1 Lube Express", "mobil1lubeexpress.ca", "city_store", ("Calgary",), "mobil1", gate="mobil1", service=S.fluid_service),
+    Site("LubeFx Plus", "lubefx.ca", "city_store", ("Edmonton",), "lubefx", gate="lubefx", service=lambda c, hint: G.kind_service(c, hint, F.lit("coupons"))),
     Site("Lube Town", "lubetown.ca", "city_store", ("Calgary",), "lt", signature=("u", "s", "d", "e")),
-    Site("Quick Lane", "quicklane.ca", "city_store", ("Edmonton",), "qlane", signature=("c", "s", "d", "e")),
+    Site("Quick Lane", "quicklane.ca", "city_store", ("Edmonton",), "qlane", signature=("c", "s", "d", "e"), gate="qlane", service=E.classify_site),
 ]
 
 
@@ -114,10 +120,10 @@ def offers_from_text(candidates: DataFrame, site: Site, today: Column, order: li
     text = E.normalize_money(E.squeeze("text"))
     c = candidates.withColumn("text", text)
     c = c.withColumn("discount_value", E.discount("text")).withColumn("coupon_code", E.coupon_code("text")).withColumn("expiry_date", E.expiry_phrase("text"))
-    c = c.withColumn("promotion_title", F.substring(E.first_sentence("text"), 1, 160)).withColumn("service_name", E.classify_site("text", "service_hint"))
+    c = c.withColumn("promotion_title", F.substring(E.first_sentence("text"), 1, 160)).withColumn("service_name", (site.service or E.classify_site)("text", "service_hint"))
     day = E.parse_offer_date("expiry_date")
     reason = F.coalesce(
-        E.offer_gate("text"), E.out_of_area("text"), F.when(E.terms_only("promotion_title", "text", "discount_value", "coupon_code"), "terms_only"),
+        F.when(~F.length("text").between(12, 600), "length"), G.gate("text", site.gate) if site.gate else E.offer_gate("text"), F.when(E.empty_offer("text"), "generic_offer"), E.out_of_area("text"), F.when(E.terms_only("promotion_title", "text", "discount_value", "coupon_code"), "terms_only"),
         F.when(F.coalesce(day < today, F.lit(False)), "expired"), F.when(~F.col("service_name").isin(list(site.services)), "service_outside_taxonomy"),
     )
     kept, excluded = J.split_excluded(c, reason)

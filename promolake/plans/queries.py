@@ -246,18 +246,28 @@ def q_review_lookup(spark, d):
     return J.review_lookup(names, reviews).select("business_name", "review_name", E.reviews_line("stars", "reviews").alias("google_reviews"))
 
 
-@query("""SELECT c_custkey, business_name FROM (SELECT c_custkey, 'Brand#' || (c_custkey % 40) AS business_name FROM customer) l WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT regexp_replace(lower(p_brand), '[^a-z0-9]', '', 'g') AS b FROM part WHERE p_size > 49) v
+@query("""SELECT c_custkey, business_name FROM (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Brand#' || (c_custkey % 90) WHEN 1 THEN 'The BRAND ' || (c_custkey % 60) || ' shop' ELSE '' END AS business_name FROM customer) l WHERE regexp_replace(lower(l.business_name), '[^a-z0-9]', '', 'g') = '' OR NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT regexp_replace(lower(p_brand), '[^a-z0-9]', '', 'g') AS b FROM part) v
 WHERE contains(regexp_replace(lower(l.business_name), '[^a-z0-9]', '', 'g'), v.b) OR contains(v.b, regexp_replace(lower(l.business_name), '[^a-z0-9]', '', 'g')))""", offers=False)
 def q_legacy_antijoin(spark, d):
-    legacy = V.table(spark, d, "customer").select("c_custkey", F.concat(F.lit("Brand#"), (F.col("c_custkey") % 40).cast("string")).alias("business_name"))
-    current = V.table(spark, d, "part").filter("p_size > 49").select(F.col("p_brand").alias("business_name"))
+    c = F.col("c_custkey")
+    legacy = V.table(spark, d, "customer").select("c_custkey", F.when(c % 3 == 0, F.concat(F.lit("Brand#"), (c % 90).cast("string"))).when(c % 3 == 1, F.concat(F.lit("The BRAND "), (c % 60).cast("string"), F.lit(" shop"))).otherwise("").alias("business_name"))
+    current = V.table(spark, d, "part").select(F.col("p_brand").alias("business_name"))
     return J.not_covered(legacy, current).select("c_custkey", "business_name")
 
 
-_CARDS = """r AS (SELECT o_orderkey, 'p' || (o_custkey % 100) AS page_url, CASE o_orderkey % 4 WHEN 0 THEN '$10' WHEN 1 THEN '20%' WHEN 2 THEN '$10.00' END AS discount_value, CASE WHEN o_orderkey % 2 = 0 THEN 'May 1' ELSE '' END AS expiry_date, CASE WHEN o_orderkey % 9 = 0 THEN 'KEEP1' END AS coupon_code FROM orders),
-c AS (SELECT 'p' || (c_custkey % 100) AS page_url, c_custkey AS card_ord, 'C' || c_custkey AS code, CASE c_custkey % 3 WHEN 0 THEN '$10' WHEN 1 THEN '20% off' ELSE 'free' END AS discount, CASE WHEN c_custkey % 4 = 0 THEN 'May 1' ELSE 'June 2' END AS expiry FROM customer WHERE c_custkey < 800),
-m AS (SELECT o_orderkey, code, card_ord, 3 + CASE WHEN expiry_date = expiry THEN 2 ELSE 0 END AS score FROM r JOIN c USING (page_url) WHERE coalesce(coupon_code, '') = ''
- AND CASE discount_value WHEN '$10' THEN 'usd:10' WHEN '$10.00' THEN 'usd:10' WHEN '20%' THEN 'pct:20' ELSE 'none' END = CASE discount WHEN '$10' THEN 'usd:10' WHEN '20% off' THEN 'pct:20' ELSE 'free' END AND (expiry_date = '' OR expiry_date = expiry)),
+_OFFERED = ["Brake rotors and pads special", "Tire rotation bonus", "", "Oil change deal with filter", "Battery check"]
+_CARDED = ["Brake rotors for less", "Tire rotation", "Battery", "Oil change and a new filter"]
+
+
+def title_tokens_sql(c: str) -> str:
+    return f"list_distinct(list_filter(string_split_regex(regexp_replace(lower({c}), '[^\\w\\s]', ' ', 'g'), '\\s+'), lambda w: length(w) > 2 AND w NOT IN ({sql_list(R.TITLE_STOPWORDS)})))"
+
+
+_CARDS = f"""r AS (SELECT o_orderkey, 'p' || (o_custkey // 8) AS page_url, CASE o_orderkey % 4 WHEN 0 THEN '$10' WHEN 1 THEN '20%' WHEN 2 THEN '$10.00' END AS discount_value, CASE WHEN o_orderkey % 2 = 0 THEN 'May 1' ELSE '' END AS expiry_date, CASE WHEN o_orderkey % 9 = 0 THEN 'KEEP1' END AS coupon_code, {title_tokens_sql(f"([{sql_list(_OFFERED)}])[(o_orderkey % 5 + 1)::INT]")} AS words FROM orders),
+c AS (SELECT 'p' || (c_custkey // 8) AS page_url, c_custkey AS card_ord, 'C' || c_custkey AS code, CASE c_custkey % 3 WHEN 0 THEN '$10' WHEN 1 THEN '20% off' ELSE 'free' END AS discount, CASE c_custkey % 4 WHEN 0 THEN 'May 1' WHEN 1 THEN '' ELSE 'June 2' END AS expiry, {title_tokens_sql(f"([{sql_list(_CARDED)}])[(c_custkey % 4 + 1)::INT]")} AS titles FROM customer),
+m AS (SELECT o_orderkey, code, card_ord, 3 + CASE WHEN expiry_date <> '' AND expiry_date = expiry THEN 2 ELSE 0 END + len(list_intersect(words, titles)) AS score FROM r JOIN c USING (page_url) WHERE coalesce(coupon_code, '') = ''
+ AND CASE discount_value WHEN '$10' THEN 'usd:10' WHEN '$10.00' THEN 'usd:10' WHEN '20%' THEN 'pct:20' ELSE 'none' END = CASE discount WHEN '$10' THEN 'usd:10' WHEN '20% off' THEN 'pct:20' ELSE 'free' END
+ AND (expiry_date = '' OR expiry = '' OR expiry_date = expiry OR len(list_intersect(words, titles)) >= greatest(1, least(2, len(words) // 3)))),
 b AS (SELECT *, row_number() OVER w AS n, lead(score) OVER w AS s2, lead(code) OVER w AS c2 FROM m WINDOW w AS (PARTITION BY o_orderkey ORDER BY score DESC, card_ord))"""
 
 
@@ -266,14 +276,16 @@ CASE WHEN r.coupon_code IS NOT NULL THEN 'kept' WHEN code IS NULL THEN 'missing'
 FROM r LEFT JOIN (SELECT * FROM b WHERE n = 1) b ON r.o_orderkey = b.o_orderkey""", offers=False)
 def q_code_enrichment(spark, d):
     k = F.col("o_orderkey")
+    page = lambda c: F.concat(F.lit("p"), F.floor(F.col(c) / 8).cast("string"))
+    pick = lambda values, key: F.get(E.literals(values), (key % len(values)).cast("int"))
     rows = V.table(spark, d, "orders").select(
-        "o_orderkey", F.concat(F.lit("p"), (F.col("o_custkey") % 100).cast("string")).alias("page_url"), F.when(k % 4 == 0, "$10").when(k % 4 == 1, "20%").when(k % 4 == 2, "$10.00").alias("discount_value"),
-        F.when(k % 2 == 0, "May 1").otherwise("").alias("expiry_date"), F.when(k % 9 == 0, "KEEP1").alias("coupon_code"), F.lit("").alias("promotion_title"),
+        "o_orderkey", page("o_custkey").alias("page_url"), F.when(k % 4 == 0, "$10").when(k % 4 == 1, "20%").when(k % 4 == 2, "$10.00").alias("discount_value"),
+        F.when(k % 2 == 0, "May 1").otherwise("").alias("expiry_date"), F.when(k % 9 == 0, "KEEP1").alias("coupon_code"), pick(_OFFERED, k).alias("promotion_title"),
     )
     c = F.col("c_custkey")
-    cards = V.table(spark, d, "customer").filter("c_custkey < 800").select(
-        F.concat(F.lit("p"), (c % 100).cast("string")).alias("page_url"), c.alias("card_ord"), F.concat(F.lit("C"), c.cast("string")).alias("code"),
-        F.when(c % 3 == 0, "$10").when(c % 3 == 1, "20% off").otherwise("free").alias("discount"), F.when(c % 4 == 0, "May 1").otherwise("June 2").alias("expiry"), F.lit("").alias("title"),
+    cards = V.table(spark, d, "customer").select(
+        page("c_custkey").alias("page_url"), c.alias("card_ord"), F.concat(F.lit("C"), c.cast("string")).alias("code"), F.when(c % 3 == 0, "$10").when(c % 3 == 1, "20% off").otherwise("free").alias("discount"),
+        F.when(c % 4 == 0, "May 1").when(c % 4 == 1, "").otherwise("June 2").alias("expiry"), pick(_CARDED, c).alias("title"),
     )
     return J.enrich_codes(rows, cards, ["o_orderkey"]).select("o_orderkey", "coupon_code", "coupon_code_source")
 
@@ -338,10 +350,10 @@ def q_ragged_union(spark, d):
     return a.unionByName(b).unionByName(c, allowMissingColumns=True)
 
 
-@query("""SELECT competitor, count(*) AS expected, count(*) FILTER (ok) AS processed, coalesce(string_agg(url, ' ' ORDER BY url) FILTER (NOT ok), '') AS failed_urls, coalesce(string_agg(url, ' ' ORDER BY url) FILTER (ok IS NULL), '') AS missing_urls FROM (SELECT DISTINCT business_name AS competitor, page_url AS url FROM offers WHERE k1 % 50 < 5) e
-LEFT JOIN (SELECT business_name AS competitor, page_url AS url, bool_or(k2 % 3 = 0) AS ok FROM offers WHERE k1 % 50 < 5 AND k4 % 2 = 0 GROUP BY 1, 2) l USING (competitor, url) GROUP BY 1""")
+@query("""SELECT competitor, count(*) AS expected, count(*) FILTER (ok) AS processed, coalesce(string_agg(url, ' ' ORDER BY url) FILTER (NOT ok), '') AS failed_urls, coalesce(string_agg(url, ' ' ORDER BY url) FILTER (ok IS NULL), '') AS missing_urls FROM (SELECT DISTINCT business_name AS competitor, page_url AS url FROM offers) e
+LEFT JOIN (SELECT business_name AS competitor, page_url AS url, bool_or(k2 % 3 = 0) AS ok FROM offers WHERE k4 % 2 = 0 GROUP BY 1, 2) l USING (competitor, url) GROUP BY 1""")
 def q_url_coverage(spark, d):
-    o = V.offers(spark, d).filter("k1 % 50 < 5").select(F.col("business_name").alias("competitor"), F.col("page_url").alias("url"), "k2", "k4")
+    o = V.offers(spark, d).select(F.col("business_name").alias("competitor"), F.col("page_url").alias("url"), "k2", "k4")
     log = o.filter("k4 % 2 = 0").select("competitor", "url", F.when(F.col("k2") % 3 == 0, "ok").otherwise("fetch_failed").alias("status"))
     return J.coverage(o, log)
 
@@ -352,9 +364,29 @@ def q_exclusion_reasons(spark, d):
     return J.split_excluded(V.offers(spark, d), reason)[1].groupBy("reason").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT section, ord, label, value FROM (
+_RUNS = "(SELECT o_orderpriority AS competitor, CASE left(o_orderpriority, 1) WHEN '1' THEN 'failed' WHEN '2' THEN 'parse_failed' WHEN '3' THEN 'partial' ELSE 'success' END AS status, count(*) AS rows_generated, count(*) FILTER (o_orderkey % 3 = 0) AS needs_review_count, max(strftime(o_orderdate, '%Y-%m-%dT10:00:00')) AS scraped_at FROM orders GROUP BY 1, 2)"
+
+
+def runs_of(spark, d):
+    p = F.col("o_orderpriority")
+    lead = F.substring(p, 1, 1)
+    status = F.when(lead == "1", "failed").when(lead == "2", "parse_failed").when(lead == "3", "partial").otherwise("success")
+    o = V.table(spark, d, "orders").groupBy(p.alias("competitor"), status.alias("status"))
+    return o.agg(F.count("*").alias("rows_generated"), F.count_if(F.col("o_orderkey") % 3 == 0).alias("needs_review_count"), F.max(F.date_format("o_orderdate", "yyyy-MM-dd'T'10:00:00")).alias("scraped_at"))
+
+
+_CHANGED = f"(SELECT CASE WHEN needs_review THEN 'needs_review' WHEN print IS NULL THEN 'new' WHEN print <> p THEN 'updated' ELSE 'current' END AS change_status FROM (SELECT o.*, {_PRINT} AS p, {_KEY} AS key FROM offers o WHERE k1 % 3 <> 1) o LEFT JOIN (SELECT row_key, print FROM prev) x ON x.row_key = o.key)"
+
+
+@query(_SNAP + f"""SELECT section, ord, label, value FROM (
 SELECT 0 AS section, CAST(0 AS BIGINT) AS ord, 'Total current offers' AS label, CAST(count(*) AS VARCHAR) AS value FROM offers
-UNION ALL SELECT 0, 5, 'Competitors run', CAST(count(DISTINCT o_orderpriority) AS VARCHAR) FROM orders
+UNION ALL SELECT 0, 1, 'New offers this run', CAST(count(*) FILTER (change_status = 'new') AS VARCHAR) FROM {_CHANGED}
+UNION ALL SELECT 0, 2, 'Updated offers this run', CAST(count(*) FILTER (change_status = 'updated') AS VARCHAR) FROM {_CHANGED}
+UNION ALL SELECT 0, 3, 'Expired offers removed', CAST(count(*) AS VARCHAR) FROM offers WHERE TRY_CAST(expiry_date AS DATE) < DATE '{V.TODAY}'
+UNION ALL SELECT 0, 4, 'Duplicate rows removed', CAST(coalesce(sum(n - 1), 0) AS VARCHAR) FROM (SELECT count(*) AS n FROM offers WHERE duplicate_group_id <> '' GROUP BY duplicate_group_id, coalesce(city, ''))
+UNION ALL SELECT 0, 5, 'Competitors run', CAST(count(*) AS VARCHAR) FROM {_RUNS}
+UNION ALL SELECT 0, 6, 'Successful scrapers', CAST(count(*) FILTER (status = 'success') AS VARCHAR) FROM {_RUNS}
+UNION ALL SELECT 0, 7, 'Failed scrapers', CAST(count(*) FILTER (status IN ('failed', 'parse_failed')) AS VARCHAR) FROM {_RUNS}
 UNION ALL SELECT 0, 8, 'Needs-review rows', CAST(count(*) FILTER (needs_review) AS VARCHAR) FROM offers
 UNION ALL SELECT 1, row_number() OVER (ORDER BY CASE city WHEN 'Edmonton' THEN 1 WHEN 'Calgary' THEN 2 WHEN 'Grande Prairie' THEN 3 ELSE 99 END, city), city, CAST(n AS VARCHAR) FROM (SELECT city, max(n) AS n FROM (SELECT city, count(*) AS n FROM offers WHERE coalesce(city, '') <> '' GROUP BY 1 UNION ALL SELECT unnest(['Edmonton', 'Calgary', 'Grande Prairie']), 0) GROUP BY 1)
 UNION ALL SELECT 2, row_number() OVER (ORDER BY count(*) DESC, service_name), service_name, CAST(count(*) AS VARCHAR) FROM offers GROUP BY service_name
@@ -362,9 +394,17 @@ UNION ALL SELECT 3, row_number() OVER (ORDER BY count(*) DESC, business_name), b
 def q_dashboard_grid(spark, d):
     o = V.offers(spark, d)
     now, previous = _split(spark, d)
-    runs = V.table(spark, d, "orders").select(F.col("o_orderpriority").alias("competitor")).distinct().withColumn("status", F.lit("success"))
-    out = A.grid(o, runs, J.change_status(now, previous), {"expired": J.split_expired(o, today()).filter("expired"), "duplicate": J.final_dedupe(o, V.ORDER)[1]})
-    return out.filter("section > 0 or ord in (0, 5, 8)")
+    return A.grid(o, runs_of(spark, d), J.change_status(now, previous), {"expired": J.split_expired(o, today()).filter("expired"), "duplicate": J.final_dedupe(o, V.ORDER)[1]})
+
+
+@query(f"SELECT CAST(count(*) AS BIGINT) AS runs, count(*) FILTER (status = 'success') AS successful, count(*) FILTER (status IN ('failed', 'parse_failed')) AS failed, CAST(sum(rows_generated) AS BIGINT) AS rows_generated, CAST(sum(needs_review_count) AS BIGINT) AS needs_review, max(scraped_at) AS last_scraped FROM {_RUNS}", offers=False)
+def q_run_totals(spark, d):
+    return A.run_totals(runs_of(spark, d))
+
+
+@query("SELECT duplicate_group_id, list_sort(list(DISTINCT city) FILTER (coalesce(city, '') <> '')) AS tabs, count(*) AS n FROM offers WHERE duplicate_group_id <> '' GROUP BY 1")
+def q_tab_labels(spark, d):
+    return J.tab_labels(V.offers(spark, d), "duplicate_group_id", "city")
 
 
 # --- scalar functions over columns of text -------------------------------------------------------------------------
@@ -395,7 +435,12 @@ def q_extract_discount(spark, d):
     return phrases(spark, d).select("p_partkey", E.discount("t").alias("discount"))
 
 
-@query(f"""WITH {_PHRASES} SELECT p_partkey, CASE WHEN p_partkey % 12 = 3 THEN 'SAVE' || p_size WHEN p_partkey % 12 = 6 AND p_size > 9 THEN 'AB' || p_size WHEN p_partkey % 12 = 6 THEN 'AB' || p_size END AS code FROM phrases JOIN part USING (p_partkey)""", offers=False)
+def cleaned_sql(c: str) -> str:
+    code = f"regexp_replace(upper(trim({c})), '^(.{{3,}}?)(?:{'|'.join(sorted(R.CODE_SUFFIXES, key=len))})+$', '\\1')"
+    return f"CASE WHEN regexp_full_match({code}, '[A-Z0-9_\\-]{{3,20}}') AND {code} NOT IN ({sql_list(R.CODE_BLOCKLIST)}) AND (regexp_matches({code}, '\\d') OR length({code}) >= 5) THEN {code} END"
+
+
+@query(f"WITH {_PHRASES} SELECT p_partkey, coalesce({', '.join(cleaned_sql(f"nullif(regexp_extract(coalesce(t, ''), '(?i){p}', 1), '')") for p in R.CODE_CUES)}) AS code FROM phrases", offers=False)
 def q_extract_code(spark, d):
     return phrases(spark, d).select("p_partkey", E.coupon_code("t").alias("code"))
 
@@ -405,17 +450,30 @@ def q_confidence(spark, d):
     return V.offers(spark, d).select("k1", "k2", "k3", "k4", E.confidence("discount_value", "coupon_code", "expiry_date", "offer_details").alias("confidence"))
 
 
-@query(f"WITH {_PHRASES} SELECT p_partkey, CASE WHEN NOT {any_of('l', [c.lower() for c in R.TARGET_CITIES])} THEN 'out_of_area:' || {first_of('l', R.OUT_OF_AREA)} END AS reason FROM (SELECT p_partkey, lower(coalesce(t, '')) AS l FROM phrases)", offers=False)
+_PLACES = ["Edmonton", "Kelowna", "West Kelowna", "Vancouver", "St. John", "Red Deer", "Grande Prairie", "Toronto", "Montreal", "Regina and Calgary", "Quebec City", "Surrey", "OKGN", "Newfoundland"]
+
+
+@query(f"SELECT c_custkey, CASE WHEN NOT {any_of('l', [c.lower() for c in R.TARGET_CITIES])} THEN 'out_of_area:' || {first_of('l', R.OUT_OF_AREA)} END AS reason FROM (SELECT c_custkey, lower('Oil change in ' || ([{sql_list(_PLACES)}])[(c_custkey % {len(_PLACES)} + 1)::INT] || CASE WHEN c_custkey % 5 = 0 THEN ' and Calgary' WHEN c_custkey % 5 = 1 THEN ' or Halifax' ELSE '' END) AS l FROM customer)", offers=False)
 def q_out_of_area(spark, d):
-    return phrases(spark, d).select("p_partkey", E.out_of_area("t").alias("reason"))
+    k = F.col("c_custkey")
+    t = F.concat(F.lit("Oil change in "), F.get(E.literals(_PLACES), (k % len(_PLACES)).cast("int")), F.when(k % 5 == 0, " and Calgary").when(k % 5 == 1, " or Halifax").otherwise(""))
+    return V.table(spark, d, "customer").select("c_custkey", E.out_of_area(t).alias("reason"))
+
+
+_TITLED = ["* Terms and conditions", "One more line", "Cannot be combined", "A title of more than eight words in all, with a coupon per visit", "", "Oil change with no cash value", "Brake special", "Terms of a deal"]
+_BODIES = ["", "Restrictions apply. No cash value.", "Your browser shows $5 now; restrictions apply", "Valid at participating locations. One coupon per visit. Earn bonus miles", "Fresh oil", "Cannot be combined. Restrictions apply."]
+_REST = "replace(" * len(R.TERMS_PHRASES) + "hay" + "".join(f", '{p}', ' ')" for p in R.TERMS_PHRASES)
+_HITS = " + ".join(f"CASE WHEN contains(hay, '{p}') THEN 1 ELSE 0 END" for p in R.TERMS_PHRASES)
+_START = "trim(regexp_replace(trim(lower(title)), '^\\*+', ''))"
 
 
-@query("""SELECT s_suppkey, s_suppkey % 4 IN (0, 1) AS terms_only FROM supplier""", offers=False)
+@query(f"""SELECT c_custkey, CASE WHEN coalesce(dv, '') <> '' THEN FALSE WHEN hay = '' THEN TRUE WHEN {" OR ".join(f"starts_with({_START}, '{p}')" for p in R.TERMS_STARTS)} THEN TRUE WHEN ({_HITS}) >= 2 AND NOT regexp_matches({_REST}, '{R.TERMS_CUE}') THEN TRUE
+ELSE title <> '' AND len(list_filter(string_split_regex(title, '\\s+'), lambda w: w <> '')) <= 8 AND ({_HITS}) >= 1 END AS terms_only
+FROM (SELECT *, lower(array_to_string(list_filter([title, body], lambda s: s <> ''), ' ')) AS hay FROM (SELECT c_custkey, ([{sql_list(_TITLED)}])[(c_custkey % 8 + 1)::INT] AS title, ([{sql_list(_BODIES)}])[(c_custkey // 8 % 6 + 1)::INT] AS body, CASE WHEN c_custkey % 11 = 0 THEN '$5' END AS dv FROM customer))""", offers=False)
 def q_terms_only(spark, d):
-    k = F.col("s_suppkey") % 4
-    title = F.when(k == 0, "* Terms and conditions").when(k == 1, "One more line").when(k == 2, "Cannot be combined").otherwise("A title of more than eight words in all, with a coupon per visit")
-    body = F.when(k == 1, "Restrictions apply. No cash value.").when(k == 3, "Your browser shows $5 now; restrictions apply").otherwise("")
-    return V.table(spark, d, "supplier").select("s_suppkey", E.terms_only(title, body, F.when(k == 2, "$5"), F.lit(None)).alias("terms_only"))
+    k = F.col("c_custkey")
+    title, body = F.get(E.literals(_TITLED), (k % 8).cast("int")), F.get(E.literals(_BODIES), (F.floor(k / 8) % 6).cast("int"))
+    return V.table(spark, d, "customer").select("c_custkey", E.terms_only(title, body, F.when(k % 11 == 0, "$5"), F.lit(None)).alias("terms_only"))
 
 
 @query(f"WITH {_PHRASES} SELECT p_partkey, regexp_matches(lower(coalesce(t, '')), '{R.BENEFIT}') AS benefit FROM phrases", offers=False)
@@ -423,13 +481,12 @@ def q_real_benefit(spark, d):
     return phrases(spark, d).select("p_partkey", E.real_benefit(F.lit(None), F.lit(""), "t", F.lit(None)).alias("benefit"))
 
 
-_TOKENS = f"substr(array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(regexp_replace(coalesce(text, ''), '[^a-zA-Z\\s]+', ' ', 'g')), '\\s+'), lambda w: length(w) > 1 AND w NOT IN ({sql_list(sorted(set(R.SIGNATURE_STOPWORDS)))})))), ' '), 1, 120)"
+_TOKENS = f"substr(array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(regexp_replace(regexp_replace(coalesce(text, ''), '\\d{{3}}[-.\\s]\\d{{3}}[-.\\s]\\d{{4}}', ' ', 'g'), '[^a-zA-Z\\s]+', ' ', 'g')), '\\s+'), lambda w: length(w) > 1 AND w NOT IN ({sql_list(sorted(set(R.SIGNATURE_STOPWORDS)))})))), ' '), 1, 120)"
 
 
-@query(f"SELECT doc_id, {_TOKENS} AS tokens FROM documents WHERE NOT regexp_matches(coalesce(text, ''), '\\d{{3}}[-.\\s]\\d{{3}}[-.\\s]\\d{{4}}')", offers=False)
+@query(f"SELECT doc_id, {_TOKENS} AS tokens FROM documents", offers=False)
 def q_signature(spark, d):
-    docs = V.table(spark, d, "documents").filter(~E.text("text").rlike(r"\d{3}[-.\s]\d{3}[-.\s]\d{4}"))
-    return docs.select("doc_id", E.signature_tokens("text").alias("tokens"))
+    return V.table(spark, d, "documents").select("doc_id", E.signature_tokens("text").alias("tokens"))
 
 
 @query("""SELECT conv_id, seg, string_agg(text, chr(10) ORDER BY turn) AS segment, count(*) AS n_lines FROM (SELECT conv_id, turn, text, CAST(greatest(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn), 1) AS BIGINT) AS seg,
@@ -477,9 +534,25 @@ def q_focused_text(spark, d):
     return V.table(spark, d, "documents").select("doc_id", X.focused_text("text").alias("focused"))
 
 
-@query("""SELECT k1, k2, k3, k4, CASE WHEN length(promotion_title) BETWEEN 15 AND 120 THEN promotion_title ELSE promo_description END AS summary FROM offers""")
+_ENDED = "{0} || CASE WHEN regexp_matches({0}, '[.!?]$') THEN '' ELSE '.' END"
+_FIRST = "trim(string_split_regex({}, '[.!?]+\\s+')[1])"
+
+
+@query(f""", x AS (SELECT k1, k2, k3, k4, CASE k3 % 4 WHEN 0 THEN 'Promotion' WHEN 1 THEN '' WHEN 2 THEN promotion_title ELSE repeat(promotion_title || ' ', 9) END AS t, CASE k2 % 4 WHEN 0 THEN '' WHEN 1 THEN promo_description WHEN 2 THEN promo_description || ' for all. ' || repeat(offer_details || ' ', 9) ELSE repeat(promo_description || ' ', 20) END AS d,
+ CASE k4 % 3 WHEN 0 THEN '' WHEN 1 THEN offer_details ELSE offer_details || '! ' || repeat(promo_description || ' ', 9) END AS o, CASE k1 % 3 WHEN 0 THEN '' WHEN 1 THEN offer_details || ' and so on' ELSE 'See it. Then go' END AS a FROM offers),
+y AS (SELECT k1, k2, k3, k4, trim(t) AS t, trim(d) AS d, trim(o) AS o, trim(a) AS a FROM x), z AS (SELECT *, {_FIRST.format("d")} AS first, coalesce(nullif(d, ''), nullif(o, ''), nullif(a, '')) AS source FROM y)
+SELECT k1, k2, k3, k4, CASE WHEN length(t) BETWEEN 15 AND 120 AND lower(t) NOT IN ({sql_list(R.GENERIC_HEADLINES)}) THEN t WHEN d <> '' AND length(d) <= 200 THEN d WHEN d <> '' AND length(first) BETWEEN 15 AND 200 THEN {_ENDED.format("first")} WHEN o <> '' AND length(o) <= 120 AND NOT starts_with(a, o) THEN o
+WHEN source IS NOT NULL AND length({_FIRST.format("source")}) BETWEEN 10 AND 200 THEN {_ENDED.format(_FIRST.format("source"))} WHEN source IS NOT NULL THEN trim(substr(source, 1, 150)) ELSE o END AS summary FROM z""")
 def q_offer_summary(spark, d):
-    return V.offers(spark, d).select("k1", "k2", "k3", "k4", E.offer_summary("promotion_title", "promo_description", "offer_details", F.lit("")).alias("summary"))
+    o = V.offers(spark, d)
+    p, q, t = F.col("promo_description"), F.col("offer_details"), F.col("promotion_title")
+    often = lambda c, n: F.repeat(F.concat(c, F.lit(" ")), n)
+    k3, k2, k4, k1 = F.col("k3") % 4, F.col("k2") % 4, F.col("k4") % 3, F.col("k1") % 3
+    title = F.when(k3 == 0, "Promotion").when(k3 == 1, "").when(k3 == 2, t).otherwise(often(t, 9))
+    description = F.when(k2 == 0, "").when(k2 == 1, p).when(k2 == 2, F.concat(p, F.lit(" for all. "), often(q, 9))).otherwise(often(p, 20))
+    details = F.when(k4 == 0, "").when(k4 == 1, q).otherwise(F.concat(q, F.lit("! "), often(p, 9)))
+    text = F.when(k1 == 0, "").when(k1 == 1, F.concat(q, F.lit(" and so on"))).otherwise("See it. Then go")
+    return o.select("k1", "k2", "k3", "k4", E.offer_summary(title, description, details, text).alias("summary"))
 
 
 @query("""SELECT k1, k2, k3, k4, CASE WHEN d = 'none' THEN 'none' ELSE d END AS discount_key FROM (SELECT *, CASE WHEN coalesce(discount_value, '') = '' THEN 'none' WHEN contains(dv, 'free') THEN 'free' WHEN contains(dv, '%') THEN 'pct:' || regexp_extract(dv, '([0-9]+)', 1) WHEN amount IS NULL THEN dv

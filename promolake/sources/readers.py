@@ -45,10 +45,15 @@ def _whole(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
 def runs(spark: SparkSession, folder: str, pattern: str = "*_v2.json") -> DataFrame:
     """One row a file: competitor, status, counts, and the nested lists."""
+    return runs_of(_whole(spark, folder, pattern))
+
+
+def runs_of(files: DataFrame) -> DataFrame:
+    """The same from landed files (file, content)."""
     from promolake.functions.expressions import run_status
 
     names = F.create_map(*[F.lit(x) for kv in R.FILE_COMPETITORS.items() for x in kv])
-    rows = _whole(spark, folder, pattern).withColumn("e", F.from_json("content", envelope_type(), {"mode": "PERMISSIVE"}))
+    rows = files.withColumn("e", F.from_json("content", envelope_type(), {"mode": "PERMISSIVE"}))
     ok = F.try_parse_json("content").isNotNull()
     stem = F.regexp_replace("file", r"\.json$", "")
     guess = F.coalesce(names[stem], F.lit("Unknown"))
@@ -63,7 +68,11 @@ def runs(spark: SparkSession, folder: str, pattern: str = "*_v2.json") -> DataFr
 
 def offers(spark: SparkSession, folder: str, pattern: str = "*_v2.json") -> DataFrame:
     """All offers of all files that parse, in the order of file names and places."""
-    rows = runs(spark, folder, pattern).filter("status <> 'parse_failed'").select("file", F.posexplode("promotions").alias("_row_ord", "o"))
+    return offers_of(runs(spark, folder, pattern))
+
+
+def offers_of(all_runs: DataFrame) -> DataFrame:
+    rows = all_runs.filter("status <> 'parse_failed'").select("file", F.posexplode("promotions").alias("_row_ord", "o"))
     return rows.select("o.*", F.col("file").alias("_file_ord"), "_row_ord")
 
 
@@ -94,15 +103,22 @@ def coverage_csv(spark: SparkSession, files: list[str]) -> DataFrame:
 
 def reviews(spark: SparkSession, folder: str, name: str = "all_reviews.json") -> DataFrame:
     """review_name, stars, reviews, review_ord."""
+    return reviews_of(_whole(spark, folder, name))
+
+
+def reviews_of(files: DataFrame) -> DataFrame:
     kind = "struct<reviews:array<struct<business_name:string,google_review_stars:string,google_review_count:string,google_business_url:string,scraped_at:string>>>"
-    rows = _whole(spark, folder, name).select(F.posexplode(F.from_json("content", kind)["reviews"]).alias("review_ord", "r"))
+    rows = files.select(F.posexplode(F.from_json("content", kind)["reviews"]).alias("review_ord", "r"))
     return rows.select(F.col("r.business_name").alias("review_name"), F.col("r.google_review_stars").alias("stars"), F.col("r.google_review_count").alias("reviews"), "review_ord")
 
 
 def legacy_promotions(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
     """Older files: one object or a list of them; confidence (text, number or object) becomes a score."""
+    return legacy_of(_whole(spark, folder, pattern))
+
+
+def legacy_of(rows: DataFrame) -> DataFrame:
     one = "struct<competitor:string,scraped_at:string,google_ai_overview_text:string,promotions:array<struct<promotion_title:string,offer_details:string,ad_text:string,discount_value:string,coupon_code:string,expiry_date:string,service_name:string,service_category:string,confidence:string>>>"
-    rows = _whole(spark, folder, pattern)
     many = F.coalesce(F.when(F.trim("content").startswith("["), F.from_json("content", f"array<{one}>")), F.array(F.from_json("content", one)))
     rows = rows.select("file", F.posexplode(many).alias("_part", "e")).select("file", "_part", F.col("e.competitor").alias("business_name"), "e.scraped_at", F.posexplode_outer("e.promotions").alias("_row_ord", "p"))
     level = F.col("p.confidence")
@@ -148,6 +164,21 @@ def matched_ads(creatives: DataFrame, details: DataFrame, brands: DataFrame, per
     return kept.select("business_name", F.col("title").alias("ad_title"), F.col("snippet").alias("ad_description"), E.ad_discount("title", "snippet").alias("discount_value"), F.lit("").alias("ad_link"), F.col("visible_link").alias("displayed_link"))
 
 
+def fetched(urls: DataFrame, *landings: DataFrame) -> DataFrame:
+    """url, body, method, fetch_status of each address: from the first landing, in the order given, that has a body for it.
+
+    landings: url, status (of the response), body; rows with another status than 200 or a blank body are no success."""
+    from promolake.functions import expressions as E
+
+    out = urls.select("url").distinct()
+    for k, landing in enumerate(landings):
+        ok = landing.filter((F.col("status") == 200) & E.filled("body")).groupBy("url").agg(F.max("body").alias(f"b{k}"))
+        out = out.join(ok, "url", "left")
+    bodies = [F.col(f"b{k}") for k in range(len(landings))]
+    method = F.coalesce(*[F.when(b.isNotNull(), F.lit(k)) for k, b in enumerate(bodies)])
+    return out.select("url", F.coalesce(*bodies).alias("body"), method.alias("method"), F.when(method.isNull(), "fetch_failed").when(method == 0, "ok").otherwise("ok_by_fallback").alias("fetch_status"))
+
+
 def with_ocr(images: DataFrame, ocr: DataFrame) -> DataFrame:
     """Images with the recognised text of their address and a status; texts are landed, one an address."""
     from promolake.functions import expressions as E

@@ -1,7 +1,8 @@
 """Change status as a stream (an extension: the batch form is operators.relational.change_status).
 
 Rows with a key and a fingerprint come in; of each key the last fingerprint is state.  Every row goes out with new,
-updated or current.  State is one string a key; keys that stay away for `ttl` lose it."""
+updated or current.  State is one string a key.  It is kept for good unless `ttl_days` is given: then a key that stays away
+for so long loses it, and is new when it comes back."""
 
 from __future__ import annotations
 
@@ -12,27 +13,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from promolake.sources.folders import scratch
+
 OUT = "row_key string, ts timestamp, content_fingerprint string, change_status string"
 
 
-def status_of(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    last = state.get[0] if state.exists else None
-    rows = pd.concat(list(batches)).sort_values(["ts", "content_fingerprint"], kind="stable")
-    out = []
-    for ts, mark in zip(rows["ts"], rows["content_fingerprint"], strict=True):
-        out.append((key[0], ts, mark, "new" if last is None else "current" if last == mark else "updated"))
-        last = mark
-    state.update((last,))
-    yield pd.DataFrame(out, columns=["row_key", "ts", "content_fingerprint", "change_status"])
+def status_of(ttl_ms: int | None):
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last = state.get[0] if state.exists else None
+        rows = pd.concat(list(batches)).sort_values(["ts", "content_fingerprint"], kind="stable")
+        out = []
+        for ts, mark in zip(rows["ts"], rows["content_fingerprint"], strict=True):
+            out.append((key[0], ts, mark, "new" if last is None else "current" if last == mark else "updated"))
+            last = mark
+        state.update((last,))
+        if ttl_ms is not None:
+            state.setTimeoutDuration(ttl_ms)
+        yield pd.DataFrame(out, columns=["row_key", "ts", "content_fingerprint", "change_status"])
+
+    return run
 
 
-def change_stream(rows: DataFrame) -> DataFrame:
-    """rows: a stream of row_key, ts, content_fingerprint."""
+def change_stream(rows: DataFrame, ttl_days: float | None = None) -> DataFrame:
+    """rows: a stream of row_key, ts, content_fingerprint.  With a time to live the stream has to be one that goes on, as
+    the end of a key's time is waited for."""
     keyed = rows.select("row_key", "ts", "content_fingerprint").groupBy("row_key")
-    return keyed.applyInPandasWithState(status_of, OUT, "last string", "append", GroupStateTimeout.NoTimeout)
+    return keyed.applyInPandasWithState(status_of(None if ttl_days is None else int(ttl_days * 86_400_000)), OUT, "last string", "append", GroupStateTimeout.NoTimeout if ttl_days is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def distinct_stream(rows: DataFrame, key: list[str], time: str = "ts", delay: str = "10 minutes") -> DataFrame:
@@ -44,11 +53,7 @@ def replay(spark: SparkSession, path: str) -> DataFrame:
     """Runs a table of events through change_stream once and returns what came out.
 
     The result goes to a table in the shared folder, from where it is read."""
-    import tempfile
-    import uuid
-
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    root = f"{conf or 'file://' + tempfile.mkdtemp(prefix='promolake-')}/stream-{uuid.uuid4().hex}"
+    root = scratch(spark, "stream")
     schema = spark.read.parquet(path).schema
     folder, _, name = path.rpartition("/")
     events = spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)

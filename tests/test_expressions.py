@@ -37,10 +37,15 @@ CASES = {
     "phrase": (E.expiry_phrase, [("Expires: May 30th, 2026.", "May 30th, 2026"), ("offer ends 5/3/26", "5/3/26"), ("no date", None)]),
     "iso": (E.iso_date, [("5/3/2026", "2026-05-03"), ("May 3", "May 3")]),
     "slug": (E.slug, [(" Grande Prairie!", "grande_prairie"), (None, "")]),
+    "ad": (lambda c: E.ad_discount(c, F.lit("buy 2 get 1")), [("now $ 10 off", "$ 10 off"), ("10 % off tires", "10 % off"), ("only $9.5 a month", "$9.5"), ("free wipers", "free wipers"), ("nothing", "buy 2 get 1"), (None, "buy 2 get 1")]),
     "cents": (E.discount_display, [("$10.00", "$10"), ("$10.50", "$10.50"), (None, None)]),
 }
 
 
+def test_column_letters(spark):
+    assert values(spark, E.column_letter, [1, 26, 27, 52, 702, 703, 18278, 18279, 0], "int") == ["A", "Z", "AA", "AZ", "ZZ", "AAA", "ZZZ", None, None]
+
+
 @pytest.mark.parametrize("name", sorted(CASES))
 def test_function(spark, name):
     function, cases = CASES[name]
