@@ -11,8 +11,8 @@ which linked sets share one at least; lists are scanned for pairs.  The boundary
 Rarity is by a sketch of fixed size that counts every shingle of every document, so passages that many documents share
 do not make long lists; among shingles that the sketch does not tell apart, longer ones come first.  Pairs in a list must be of fitting size, and the parity of their shingles in 256 groups, which
 bounds their difference from below, must allow a link; that test is exact in what it drops.  First each list's pairs
-with one member (and lists of two) are verified and components built; then all other pairs of different components, in
-long lists each pair at its first shared shingle only.  What is left is tested by parity in more groups than shingles, and then set by set.  No list
+with one member (and lists of two) are verified and components built; then all other pairs of different components.
+What is left is tested by parity in more groups than shingles, and then set by set.  No list
 and no group is ever collected.
 
 Nulls and edges: null and blank texts have an empty set and link with nothing; fewer words than SHINGLE make one
@@ -35,8 +35,6 @@ from .words import Words, mix, shingle_sizes, shingles
 
 SHINGLE, PERCENT = 3, 90
 SLOTS, BLOCK = 1 << 18, 1 << 12
-#: Members of a list from which on a pair is taken at its first long list only.
-LONG = 8
 _SALT, _SUBSET = np.uint64(0x632BE59BD9B4E019), np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -270,13 +268,11 @@ def found_classes(spark: SparkSession, docs: DataFrame, k: int, percent: int) ->
     first = shelf.put(components(shelf, links), "components")
     # all pairs of different components that fit, at their first shared key; pairs that the stars have tried are known
     rest = entries_n.join(first, F.col("id") == F.col("node"), "left").select("id", "n", "p0", "p1", "p2", "p3", "key", F.coalesce("root", "id").alias("root"))
-    mixed = rest.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), (F.count("*") > LONG).alias("long")).filter("x <> y").select("key", "long")
-    rest = shelf.put(rest.join(shelf.put(mixed, "mixed"), "key"), "rest")
-    keys = rest.filter("long").groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
-    rest = rest.join(keys, "id", "left")
+    mixed = rest.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
+    rest = shelf.put(rest.join(mixed, "key"), "rest")
     apart = (F.col("l.key") == F.col("r.key")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.root") != F.col("r.root")) & _fits("l", "r", percent)
-    once = ~F.col("l.long") | (F.element_at(F.array_intersect("l.keys", "r.keys"), 1) == F.col("l.key"))
-    more = rest.alias("l").join(rest.alias("r"), apart & once).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
+    # few pairs are left by now, so those of several lists are not told apart before they are made
+    more = rest.alias("l").join(rest.alias("r"), apart).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
     more = shelf.put(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
     shelf.drop(lists)
     links = shelf.put(links.unionByName(_verified(shelf, docs, classes, more, k, percent)), "links")
