@@ -5,7 +5,7 @@ a template.  Capitalised words count as names wherever they stand, in runs as on
 same slot.  Hashes of WINDOW-word windows of the benchmark's templates are joined with those of every document.  A
 document holds an item when the windows found make up `share` of the item's, on alignments of the two that differ by
 SLACK words at most, and its slots are consistent: equal values of the item stand for equal values of the document, and
-different names for different names.  So questions with other numbers or names are found with those that are repeated
+different names for different names (but for the item's first and last word).  So questions with other numbers or names are found with those that are repeated
 word for word.
 
 Every item has two forms, with typed names and with names as plain words, as a copy in lower or upper case has no names;
@@ -150,7 +150,9 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, sha
     both = both.select("doc_id", "th", "item", "item_id", "of_item", "size", "pairs", F.explode(F.array(words)).alias("w")).select("doc_id", "th", "item", "item_id", "of_item", "size", "pairs", "w.*")
     places = F.flatten(F.transform("pairs", lambda x: F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda k: F.struct((x["at"] + k).alias("p"), (x["at"] + k + x["shift"]).alias("q")))))
     kind = lambda w: F.regexp_extract(F.coalesce(w, F.lit("")), f"({NUM}|{UNIT}|{NAME})", 1)
-    slots = F.filter(F.array_distinct(places), lambda x: kind(F.get("words", x["p"])) != "")
+    # names at the item's ends may be parts of longer ones in the document, so they say nothing
+    inside = lambda x: (x["p"] > 0) & (x["p"] < F.size("words") - 1)
+    slots = F.filter(F.array_distinct(places), lambda x: inside(x) & (kind(F.get("words", x["p"])) != ""))
     filled = F.transform(slots, lambda x: F.struct(kind(F.get("words", x["p"])).alias("kind"), F.get("asked", x["p"]).alias("from"), F.get("said", x["q"]).alias("to")))
     both = both.withColumn("n_windows", F.size(F.array_distinct(F.transform("pairs", lambda x: x["at"]))).cast("bigint")).withColumn("filled", F.array_distinct(filled))
     # as many distinct fillings as values of the item, and of names as many as values of the document

@@ -127,7 +127,7 @@ def _plain_held(text, item, share=0.5, slack=3, size=8, least=4):
             filled = set()
             for a, s in pairs:
                 for p in range(a, a + n):
-                    if m := re.search("⟨(num|unit|name)⟩", form[p]):
+                    if 0 < p < len(form) - 1 and (m := re.search("⟨(num|unit|name)⟩", form[p])):
                         filled.add((m[1], asked[p], doc_words[p + s]))
             named = [f for f in filled if f[0] == "name"]
             if len({f[:2] for f in filled}) == len(filled) and len({f[1] for f in named}) == len({f[2] for f in named}):
@@ -154,11 +154,11 @@ def test_decontamination(spark):
         (5, "so " + asked + " end"), (6, "now " + other + " end"), (7, "now " + torn + " end"), (8, "1 2 3 4 5 6 7 8 9 10 11 12 13"),
         (9, "and two plus two is four then"), (None, items[2][1]), (10, " ".join(items[3][1].split(" ")[:9]) + " " + filler(40)),
         (11, filler(300) + " " + mark + " " + filler(5)), (12, story.lower()), (13, "X " + story.upper()), (14, mark.replace("Mark gives", "Jane gives")), (15, "So who wrote it all?"),
-        (16, "1 2 3 4 5 6 7 8 9 10 x 12"), (17, story.replace("then buys", "then very soon buys")), (18, (items[0][1] + " ") * 40), (19, filler(6000) + " " + asked),
+        (16, "1 2 3 4 5 6 7 8 9 10 x 12"), (17, story.replace("then buys", "then very soon buys")), (18, (items[0][1] + " ") * 40), (19, filler(6000) + " " + asked), (20, "all the Great " + story + " Then it ends"),
     ]
     found = decontamination.contaminated(spark, make(spark, docs), bench)
     pairs = {(r.doc_id, r.item_id) for r in found.collect()}
-    assert pairs == {(1, 0), (2, 1), (5, 5), (6, 5), (8, 8), (9, 9), (None, 2), (11, 11), (12, 11), (13, 11), (15, None), (16, 8), (17, 11), (18, 0), (19, 5)}
+    assert pairs == {(1, 0), (2, 1), (5, 5), (6, 5), (8, 8), (9, 9), (None, 2), (11, 11), (12, 11), (13, 11), (15, None), (16, 8), (17, 11), (18, 0), (19, 5), (20, 11)}
     assert pairs == {(d, i) for d, t in docs for i, x in items if x is not None and _plain_held(t, x)}
     assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
     clash = make(spark, docs).selectExpr("*", "1 as __th", "2 as _th", "3 as _id", "4 as held_id", "5 as c0", "6 as `a.b`", "7 as h")
@@ -1001,3 +1001,45 @@ def test_pipeline_drops_copies(spark):
     kept = corpus_pipeline.keep_one(spark, left, SF).collect()
     assert {r.doc_id: r.text for r in kept} == {10 * g: "\n".join(lines) for g, lines in enumerate(groups)}
     assert len(kept) == len(groups)
+
+
+def test_pipeline_against_plain_code(spark):
+    """Every stage on all that its predecessor kept, beside a plain version of it."""
+    import corpus_pipeline
+
+    rng = random.Random(33)
+    own = vocabulary(rng)
+    bench = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect()]
+    real = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60).collect()]
+    base = [rng.choice(own) for _ in range(60)]
+    near = [" ".join([*base[: 13 * k], *([] if not k else ["anotherword"]), *base[13 * k + (k > 0) :]]) for k in range(4)]
+    rows = [*real, *[(5000 + k, t) for k, t in enumerate(near)], (5010, prose(rng, own, 30) + " " + bench[0] + " " + prose(rng, own, 5)), (5011, bench[1]), (5012, None), (5013, ""), (5014, real[3][1]), (None, prose(rng, own, 20)), (5015, "a\nb\na")]
+    docs, shelf = make(spark, rows), Shelf(spark, "test")
+    now = list(rows)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = shelf.put(stage(spark, docs, SF), name)
+        if name == "toxicity":
+            score = model.score([(t or "").encode() for _, t in now])
+            now = [r for r, s in zip(now, score, strict=True) if s < 0.5]
+        elif name == "line_dedup":
+            now = [(i, t) for (i, _, gone, t), times in _plain_lines(now).items() for _ in range(times) if not gone or WORD.search(t or "")]
+        elif name == "jaccard_join":
+            groups, kept = defaultdict(list), []
+            sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := _tokens(t)) else set() for _, t in now]
+            root = list(range(len(now)))
+            for a, b in itertools.combinations(range(len(now)), 2):
+                if sets[a] and sets[b] and root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    root = [root[a] if x == root[b] else x for x in root]
+            for k, r in enumerate(now):
+                (groups[root[k]] if sets[k] else kept).append(r)
+            now = kept + [min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in groups.values()]
+        elif name == "decontamination":
+            now = [r for r in now if not any(_plain_held(r[1], b) for b in bench if not r[1] or set(_tokens(b)) & set(_tokens(r[1])))]
+        else:
+            now = [(i, t or "") for i, t in now]
+        assert Counter((r.doc_id, r.text) for r in docs.collect()) == Counter(now), name
+    assert {5000, 5012, 5013} <= {i for i, _ in now} and not {5001, 5010, 5011, 5014} & {i for i, _ in now}
+    out = corpus_pipeline.run(spark, SF)
+    assert {"ids", "n_tokens", "n_byte_pieces"} <= set(out.columns)
