@@ -17,6 +17,7 @@ names but for the score's own, `scored` reads doc_id and text only."""
 
 from __future__ import annotations
 
+import gc
 import zlib
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Rows, arrow_schema, bounded_batches, chunks, utf8
+from .common import Rows, arrow_schema, bounded_batches, chunks, give_back, utf8
 from .words import Words, byte_sums, mix, span_hash
 
 WINDOW, STRIDE, MOST, MOST_BYTES = 32, 16, 2000, 32_000_000
@@ -337,7 +338,10 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text"
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
-    return train(sample(docs, labels, most))
+    model = train(sample(docs, labels, most))
+    gc.collect()
+    give_back()  # the driver has other work after this
+    return model
 
 
 def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
