@@ -1013,7 +1013,7 @@ def test_pipeline_against_plain_code(spark):
     real = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60).collect()]
     base = [rng.choice(own) for _ in range(60)]
     near = [" ".join([*base[: 13 * k], *([] if not k else ["anotherword"]), *base[13 * k + (k > 0) :]]) for k in range(4)]
-    rows = [*real, *[(5000 + k, t) for k, t in enumerate(near)], (5010, prose(rng, own, 30) + " " + bench[0] + " " + prose(rng, own, 5)), (5011, bench[1]), (5012, None), (5013, ""), (5014, real[3][1]), (None, prose(rng, own, 20)), (5015, "a\nb\na")]
+    rows = [*real, *[(5000 + k, t) for k, t in enumerate(near)], (5010, prose(rng, own, 30) + " " + bench[0] + " " + prose(rng, own, 5)), (5011, bench[1]), (5012, None), (5013, ""), (5014, real[3][1]), (None, prose(rng, own, 20)), (5015, "the first line here\nanother one over there\nthe first line here")]
     docs, shelf = make(spark, rows), Shelf(spark, "test")
     now = list(rows)
     labels = spark.read.parquet(f"{SF}/labels.parquet")
