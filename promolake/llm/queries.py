@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, host_rules, jaccard_join, line_dedup, pii, resampling, sentencepieces, suffix_runs, suffix_tree, toxicity
+from . import compaction, decontamination, host_rules, jaccard_join, line_dedup, manifest, pii, resampling, sentencepieces, sharding, suffix_runs, suffix_tree, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,10 +53,22 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes_of(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.documents_shards(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compaction.clicks_compacted(spark, table(spark, sf_dir, "clicks"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.documents_manifest(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     own = (
         op1_decontamination, op2_sentencepiece, op3_pii, op4_toxicity, op5_suffix_tree, op6_line_dedup,
-        op7_resampling, op8_suffix_runs, op9_host_rules, op10_jaccard_join,
+        op7_resampling, op8_suffix_runs, op9_host_rules, op10_jaccard_join, op11_sharding, op12_compaction, op13_manifest,
     )
     return {f.__name__: f for f in own}
 
