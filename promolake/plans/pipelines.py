@@ -13,6 +13,7 @@ from promolake.functions import gates as G
 from promolake.functions import rules as R
 from promolake.functions import sites as S
 from promolake.operators import analytics as A
+from promolake.operators import elements as D
 from promolake.operators import relational as J
 from promolake.operators import texts as X
 from promolake.sources import readers
@@ -99,6 +100,24 @@ class Site:
     #: Its own gate (gates.GATES) and rule for the service (text, hint), if it has them.
     gate: str | None = None
     service: Callable[[str, str], Column] | None = None
+    #: How its pages state offers (pages, key): key, pos and text.
+    cards: Callable[[DataFrame, str], DataFrame] | None = None
+
+
+def _coupon_sections(pages: DataFrame, key: str) -> DataFrame:
+    return D.coupon_sections(pages, key).select(key, F.col("ord").alias("pos"), "text")
+
+
+def _offer_sections(pages: DataFrame, key: str) -> DataFrame:
+    return D.offer_sections(pages, key).select(key, F.col("pre").alias("pos"), "text")
+
+
+def _coupon_cards(pages: DataFrame, key: str) -> DataFrame:
+    return D.coupon_cards(pages, key).select(key, F.col("pre").alias("pos"), F.col("raw_text").alias("text"))
+
+
+def _tab_coupons(pages: DataFrame, key: str) -> DataFrame:
+    return D.tab_coupons(pages, key).select(key, F.col("pre").alias("pos"), F.col("raw_text").alias("text"))
 
 
 #: The competitors' parameters.
@@ -108,8 +127,10 @@ SITES = [
     Site("Econo Lube", "econolube.ca", "city_store", ("Edmonton",), "econolube", gate="econolube", service=lambda c, hint: S.purchase_service(c)),
     Site("Mobil 1 Lube Express", "mobil1lubeexpress.ca", "city_store", ("Calgary",), "mobil1", gate="mobil1", service=S.fluid_service),
     Site("LubeFx Plus", "lubefx.ca", "city_store", ("Edmonton",), "lubefx", gate="lubefx", service=lambda c, hint: G.kind_service(c, hint, F.lit("coupons"))),
-    Site("Lube Town", "lubetown.ca", "city_store", ("Calgary",), "lt", signature=("u", "s", "d", "e")),
-    Site("Quick Lane", "quicklane.ca", "city_store", ("Edmonton",), "qlane", signature=("c", "s", "d", "e"), gate="qlane", service=E.classify_site),
+    Site("Lube Town", "lubetown.ca", "city_store", ("Calgary",), "lt", signature=("u", "s", "d", "e"), cards=_coupon_cards),
+    Site("Quick Lane", "quicklane.ca", "city_store", ("Edmonton",), "qlane", signature=("c", "s", "d", "e"), gate="qlane", service=E.classify_site, cards=_tab_coupons),
+    Site("Jiffy Lube", "jiffylubeservice.ca", "national", ("Edmonton", "Calgary", "Grande Prairie"), "jiffy", cards=_coupon_sections),
+    Site("Midas", "midas.com", "store", ("Edmonton", "Calgary"), "midas", cards=_offer_sections),
 ]
 
 
@@ -145,6 +166,6 @@ def offers_from_text(candidates: DataFrame, site: Site, today: Column, order: li
 
 
 def offers_from_pages(pages: DataFrame, site: Site, today: Column, final: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Landed pages (page_url, service_hint, html): blocks that look like offers, then as from texts."""
-    blocks = X.card_blocks(pages.select("page_url", "html"), "page_url").join(pages.select("page_url", "service_hint"), "page_url")
+    """Landed pages (page_url, service_hint, html): the site's cards, or blocks that look like offers, then as from texts."""
+    blocks = (site.cards or X.card_blocks)(pages.select("page_url", "html"), "page_url").join(pages.select("page_url", "service_hint"), "page_url")
     return offers_from_text(blocks.select("page_url", "service_hint", "text", "pos"), site, today, ["page_url", "pos"], final)

@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -29,3 +29,11 @@ def scratch(spark: SparkSession, name: str) -> str:
 
     atexit.register(drop)
     return path
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """df written to a scratch folder and read back: several plans then read it instead of computing it again, and a lost executor
+    costs no more than the tasks that were running."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
