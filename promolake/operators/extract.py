@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolake.functions import expressions as E
 from promolake.functions import rules as R
 from promolake.functions import sites as S
+from promolake.operators import neardup as N
 from promolake.operators import relational as J
 from promolake.operators import texts as X
 
@@ -88,28 +88,12 @@ def similar(a: str, b: str) -> Column:
     return ~veto & (((ta == tb) & (ta != "") & (same_code | same_discount)) | (both & (E.overlap_percent(ta, tb) >= 50)))
 
 
-def alike(a: tuple[str, str], b: tuple[str, str]) -> bool:
-    """Titles and discounts of two offers: equal discounts and starts over 85 alike, or starts over 90."""
-    (t, d), (u, e) = a, b
-    return bool(d and d == e and X.indel_ratio(t[:100], u[:100]) > 85) or X.indel_ratio(t[:200], u[:200]) > 90
-
-
 def greedy_alike(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """Offers of a group in encounter order without those that are alike to an earlier kept one (order decides)."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        kept: list[tuple[str, str]] = []
-        flags = []
-        for t, d in zip(pdf["promotion_title"].fillna("").str.lower(), pdf["discount_value"].fillna(""), strict=True):
-            flags.append(not any(alike((t, d), k) for k in kept))
-            if flags[-1]:
-                kept.append((t, d))
-        return pdf[flags]
-
-    # equal titles and discounts are decided before, so that a group holds distinct offers only
-    first = J.keep_first(rows, [F.col(group), F.lower(E.text("promotion_title")), E.text("discount_value")], order)
-    return first.groupBy(group).applyInPandas(run, rows.schema)
+    """Offers of a group in encounter order without those that are alike to an earlier kept one: equal discounts and starts of titles over 85
+    alike, or starts over 90."""
+    title = F.lower(E.text("promotion_title"))
+    kept = N.greedy(rows, group, order, [([E.first_of("discount_value")], F.substring(title, 1, 100), 85), ([], F.substring(title, 1, 200), 90)])
+    return kept.filter("kept").drop("kept")
 
 
 def staged_dedup(rows: DataFrame, order: list[str], group: str = "business_name") -> DataFrame:
