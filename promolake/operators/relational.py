@@ -118,16 +118,30 @@ def tab_labels(rows: DataFrame, group: str, label: str) -> DataFrame:
 # --- lookups -------------------------------------------------------------------------------------------------------
 
 
-def containing(outer: DataFrame, a: str, inner: DataFrame, b: str) -> DataFrame:
-    """Pairs of rows whose text a contains text b, by an equi-join: the first characters of b, three at most, are among
-    the pieces of a of that length."""
-    def of_length(k: int) -> Column:
-        at = F.sequence(F.lit(1), F.length(a) - k + 1)
-        return F.when(F.length(a) >= k, F.transform(at, lambda i: F.substring(F.col(a), i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+def _pieces(c: str, lengths: list[int]) -> Column:
+    """The distinct pieces of a text of these lengths."""
+    of = lambda k: F.when(F.length(c) >= k, F.transform(F.sequence(F.lit(1), F.length(c) - k + 1), lambda i: F.substring(F.col(c), i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(*[of(k) for k in lengths]))
+
 
-    pieces = F.concat(F.array(F.lit("")), of_length(1), of_length(2), of_length(3))
-    keyed = outer.select("*", F.explode(F.array_distinct(pieces)).alias("_piece"))
-    return keyed.join(inner.withColumn("_piece", F.substring(F.col(b), 1, 3)), "_piece").filter(F.col(a).contains(F.col(b))).drop("_piece")
+def containing(outer: DataFrame, a: str, inner: DataFrame, b: str) -> DataFrame:
+    """Pairs of rows whose text a contains text b, by an equi-join on the piece of b (three characters, or all of a shorter one) that
+    the fewest texts a have.
+
+    How many texts have a piece is counted first, so that what many names share, such as their beginning, is no key.  A b with a piece that no
+    text has meets none; the empty text is in all."""
+    texts = outer.select(F.col(a).alias("_hay")).filter("_hay is not null").distinct().withColumn("_piece", F.explode(_pieces("_hay", [1, 2, 3])))
+    known = texts.groupBy("_piece").agg(F.count("*").alias("_df"))
+    own = inner.select(F.col(b).alias("_pin")).filter("_pin <> ''").distinct()
+    size = F.least(F.length("_pin"), F.lit(3))
+    own = own.withColumn("_piece", F.explode(F.filter(_pieces("_pin", [1, 2, 3]), lambda p: F.length(p) == size)))
+    rarest = F.min(F.struct(F.coalesce("_df", F.lit(0)).alias("n"), "_piece"))
+    keys = own.join(known, "_piece", "left").groupBy("_pin").agg(rarest.alias("k")).filter("k.n > 0").select("_pin", F.col("k._piece").alias("_piece"))
+    met = keys.join(texts, "_piece").filter(F.col("_hay").contains(F.col("_pin"))).select("_hay", "_pin")
+    columns = [*outer.columns, *inner.columns]
+    some = outer.withColumn("_hay", F.col(a)).join(met, "_hay").join(inner.withColumn("_pin", F.col(b)), "_pin").select(*columns)
+    blank = outer.filter(F.col(a).isNotNull()).withColumn("_k", F.lit(0)).join(inner.filter(F.col(b) == "").withColumn("_k", F.lit(0)), "_k").select(*columns)
+    return some.unionByName(blank)
 
 
 def review_lookup(rows: DataFrame, reviews: DataFrame, name: str = "business_name", order: str = "review_ord") -> DataFrame:
@@ -168,13 +182,14 @@ def enrich_codes(rows: DataFrame, cards: DataFrame, key: list[str]) -> DataFrame
     discount, expiry, title.  A tie of the two best with different codes goes to review."""
     r = rows.filter(~E.truthy("coupon_code")).select(*key, "page_url", E.discount_key("discount_value").alias("_d"), F.trim(E.text("expiry_date")).alias("_e"), E.title_tokens("promotion_title").alias("_t"))
     c = cards.select("page_url", "card_ord", "code", E.discount_key("discount").alias("_cd"), F.trim(E.text("expiry")).alias("_ce"), E.title_tokens("title").alias("_ct"))
-    both = r.join(c, "page_url")
+    # a page with many cards meets its rows by discount, too
+    both = r.join(c, (r["page_url"] == c["page_url"]) & (F.col("_d") == F.col("_cd"))).drop(c["page_url"])
     shared = F.size(F.array_intersect("_t", "_ct"))
     same_day = (F.col("_e") != "") & (F.col("_e") == F.col("_ce"))
     either = same_day | (F.col("_e") == "") | (F.col("_ce") == "")
     enough = shared >= F.greatest(F.lit(1), F.least(F.lit(2), F.floor(F.size("_t") / 3)))
-    score = F.when(F.col("_d") == F.col("_cd"), 3).otherwise(0) + F.when(same_day, 2).otherwise(0) + shared
-    both = both.withColumn("_score", score).filter((F.col("_d") == F.col("_cd")) & (enough | either) & (F.col("_score") >= 2))
+    score = F.lit(3) + F.when(same_day, 2).otherwise(0) + shared
+    both = both.withColumn("_score", score).filter((enough | either) & (F.col("_score") >= 2))
     w = Window.partitionBy(*key).orderBy(F.col("_score").desc(), "card_ord")
     both = both.withColumn("_n", F.row_number().over(w)).withColumn("_s2", F.lead("_score").over(w)).withColumn("_c2", F.lead("code").over(w)).filter("_n = 1")
     torn = F.coalesce((F.col("_s2") == F.col("_score")) & (F.col("_c2") != F.col("code")), F.lit(False))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,3 +74,13 @@ def test_site_gates(spark):
 
 def test_scratch(spark):
     assert folders.scratch(spark, "x") != folders.scratch(spark, "x")
+
+
+def test_containing_by_rarest_piece(spark):
+    """Names that share their beginning meet by what tells them apart."""
+    rng = random.Random(2)
+    names = ["brand " + "".join(rng.choice("abcdefghijklmnop") for _ in range(12)) for _ in range(300)]
+    inner = [n[rng.randrange(3) : rng.randrange(8, 19)] for n in names[:150]] + ["brand ", "", "br", "q", None, "zzz"]
+    a, b = spark.createDataFrame([(n,) for n in [*names, None, ""]], "a string"), spark.createDataFrame([(n,) for n in inner], "b string")
+    got = Counter((r.a, r.b) for r in J.containing(a, "a", b, "b").collect())
+    assert got == Counter((x, y) for x in [*names, ""] for y in inner if y is not None and y in x)
