@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from promolake.functions import expressions as E
 from promolake.functions import rules as R
-from promolake.sources import readers, sinks
+from promolake.sources import readers, sinks, versions
 from promolake.sources.folders import scratch
 
 from . import pipelines
@@ -137,6 +137,18 @@ def q_snapshot_versions(spark, d):
     return readers.snapshot(spark, root).select("row_key", "row.k1", "row.k2", "row.k3", "row.k4")
 
 
+@query("SELECT client_id, seq, op, source, segment, city, balance FROM (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY seq DESC, change_id DESC, valid_at DESC, op DESC, source DESC NULLS LAST, segment DESC NULLS LAST, city DESC NULLS LAST, balance DESC NULLS LAST) AS n FROM client_changes) WHERE n = 1 AND op <> 'D'", offers=False)
+def q_merged_state(spark, d):
+    """Changes of clients in four commits, of which the third is compacted; the state is what is left of each client."""
+    rows, root = V.table(spark, d, "client_changes"), scratch(spark, "clients")
+    order = ["seq", "change_id", "valid_at", "op", "source", "segment", "city", "balance"]
+    for k in range(4):
+        versions.commit(rows.filter(F.pmod(F.col("change_id"), F.lit(4)) == k), root, ["client_id"], order, F.col("op") == "D")
+        if k == 2:
+            versions.compact(spark, root)
+    return versions.state(spark, root).select("client_id", "seq", "op", "source", "segment", "city", "balance")
+
+
 _LOGGED = "l AS (SELECT 'u' || s_suppkey AS url, s_suppkey AS _row_ord, CASE WHEN s_suppkey % 2 = 0 THEN 'Calgary' ELSE 'Edmonton' END AS city, s_name AS store_name, CASE WHEN s_suppkey % 5 = 0 THEN 'failed' ELSE 'ok' END AS status FROM supplier)"
 
 

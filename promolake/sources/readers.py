@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promolake.functions import rules as R
+from promolake.sources import versions
 
 _BOOLEAN, _LONG, _ARRAY = {"needs_review", "duplicate_of_national"}, {"duplicate_group_total"}, {"applicable_cities"}
 
@@ -190,10 +191,7 @@ def with_ocr(images: DataFrame, ocr: DataFrame) -> DataFrame:
 
 
 def snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The latest version of the snapshot, or an empty one."""
+    """The latest whole version of the snapshot, or an empty one."""
     kind = T.StructType([T.StructField("row_key", T.StringType()), T.StructField("content_fingerprint", T.StringType()), T.StructField("row", offer_type())])
-    try:
-        versions = spark.read.parquet(f"{root}/versions")
-        return versions.filter(F.col("version") == versions.agg(F.max("version")).first()[0]).drop("version")
-    except AnalysisException:
-        return spark.createDataFrame([], kind)
+    rows = versions.state(spark, root)
+    return spark.createDataFrame([], kind) if rows is None else rows

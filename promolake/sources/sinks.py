@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from promolake.functions import expressions as E
 from promolake.functions import rules as R
+from promolake.sources import versions
 
 
 def as_text(rows: DataFrame, preferred: list[str], extras: bool = True) -> DataFrame:
@@ -73,8 +74,10 @@ def preview(tabs: dict[str, DataFrame], most: int = 200) -> dict[str, list[dict]
 
 
 def save_snapshot(snapshot: DataFrame, root: str, version: str) -> None:
-    """A new version beside the others; what is being read is never overwritten."""
-    snapshot.write.mode("error").parquet(f"{root}/versions/version={version}")
+    """A new version of the snapshot under its label; it is there whole or not at all."""
+    if any(m.label == version for m in versions.history(snapshot.sparkSession, root)):
+        raise ValueError(f"there is a snapshot {version} already")
+    versions.commit(snapshot, root, ["row_key"], whole=True, label=version)
 
 
 def ads_csv(ads: DataFrame, path: str) -> None:
