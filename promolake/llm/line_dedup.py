@@ -1,14 +1,15 @@
 """Line deduplication by a segment-partition edit join.
 
 Lines (parts of a text between line feeds, without white space at their ends) that are not empty are compared over all
-documents; equal ones form one class.  Two classes link when their edit distance is at most EDITS; lines of up to EDITS
-characters, which would all be within reach of each other, are compared for equality only.  Every longer line is split
-into EDITS + 1 segments, and the index holds each segment by its content, number and the line's length: of EDITS edits
+documents; equal ones form one class, whatever their length.  Two classes link when their edit distance is within the
+reach of the shorter one: no edit below 20 characters, where words and numbers that have nothing to do with each other are
+as near, one below 40, two from there on (REACH).  Every line of 20 characters or more is split
+into one segment more than the largest reach, and the index holds each segment by its content, number and the line's length: of that many edits
 one segment at least is spared, so a line within reach has an equal substring at a fitting place.  A line probes the
-index of its own and of up to EDITS smaller lengths with the substrings that the positions of the remaining edits allow
+index of its own and of smaller lengths within reach with the substrings that the positions of the remaining edits allow
 on both sides.  Pairs whose characters or pairs of characters differ too much in number (parity in 24 and 64 groups,
 lower bounds) fall out in the join; the others are verified by banded bit-parallel edit distance.  Of all lines that
-links connect, the first (by doc_id and line number) stays; the others go from their texts.
+links connect, in chains too, the first (by doc_id and line number) stays; the others go from their texts.
 
 Nulls and edges: null and blank texts have no lines and come back as they are; blank lines stay; a null doc_id comes
 before all others; rows that repeat doc_id and text are one document that appears more than once; texts are read whole;
@@ -29,7 +30,8 @@ from .common import BROADCAST_ROWS, Rows, Shelf, arrow_schema, chunks, signed, s
 from .components import components
 from .words import mix, running, span_hash
 
-EDITS = 2
+#: The least characters of a line for one edit, for two, and so on.
+REACH = (20, 40)
 _SPACE = " \t\n\x0b\x0c\r"
 _CODE = np.random.default_rng(41).integers(1, 1 << 63, 4096, dtype=np.uint64) | np.uint64(1)
 _GROUP = (_CODE >> np.uint64(20)).astype(np.int64) % 24
@@ -61,7 +63,8 @@ def segments(n: np.ndarray, edits: int) -> tuple[list[np.ndarray], list[np.ndarr
 class Lines:
     """Hash of each line, keys of its segments and of its probes: 40 bits of the content's hash, 24 of parity."""
 
-    def __init__(self, lines: list[str], edits: int = EDITS, keys: bool = True):
+    def __init__(self, lines: list[str], reach: tuple[int, ...] = REACH, keys: bool = True):
+        edits, least = len(reach), max(reach[0], len(reach) + 1)
         points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
         n = np.fromiter(map(len, lines), np.int64, len(lines))
         first = np.concatenate([[0], np.cumsum(n)])
@@ -85,9 +88,9 @@ class Lines:
             h = mix(span_hash(sums, start, start + size) ^ (length.astype(np.uint64) * np.uint64(0x9E3779B1) + np.uint64(i)))
             return (h & ~np.uint64(0xFFFFFF)) | parity
 
-        # lines of up to `edits` characters have no keys (0): a segment would be empty
+        # lines without an edit within reach have no keys (0)
         starts, sizes = segments(n, edits)
-        self.index = np.stack([np.where(n > edits, key(first[:-1] + s, m, n, i), np.uint64(0)) for i, (s, m) in enumerate(zip(starts, sizes, strict=True))], 1)
+        self.index = np.stack([np.where(n >= least, key(first[:-1] + s, m, n, i), np.uint64(0)) for i, (s, m) in enumerate(zip(starts, sizes, strict=True))], 1)
         probes = []
         for less in range(edits + 1):
             length = np.maximum(n - less, 0)
@@ -97,7 +100,7 @@ class Lines:
                 for shift in range(low, high + 1):
                     at = s + shift
                     k = key(first[:-1] + np.clip(at, 0, n - m), m, length, i)
-                    probes.append(np.where((length > edits) & (at >= 0) & (at + m <= n), k, np.uint64(0)))
+                    probes.append(np.where((length >= least) & (at >= 0) & (at + m <= n), k, np.uint64(0)))
         self.probes = np.stack(probes, 1)
 
 
@@ -120,20 +123,25 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, arrow_schema("doc_id bigint, th bigint, line int, h bigint"))
 
 
-def keyed(docs: DataFrame, edits: int) -> DataFrame:
+def keyed(docs: DataFrame, reach: tuple[int, ...]) -> DataFrame:
     """h, parity of pairs, index and probe keys of the lines, each line once in a batch."""
 
     def run(batches):
         for b in batches:
             for rows in _batches_of_lines(b.column(0).to_pylist()):
                 distinct = list(dict.fromkeys(r[2] for r in rows))
-                x = Lines(distinct, edits)
+                x = Lines(distinct, reach)
                 lists = [pa.FixedSizeListArray.from_arrays(pa.array(signed(k.ravel())), k.shape[1]).cast(pa.list_(pa.int64())) if len(distinct) else pa.array([], pa.list_(pa.int64())) for k in (x.index, x.probes)]
                 yield pa.RecordBatch.from_arrays([pa.array(signed(x.hash)), pa.array(signed(x.pairs)), *lists], names=["h", "pairs", "index", "probes"])
 
     return docs.select("text").mapInArrow(run, arrow_schema("h bigint, pairs bigint, index array<bigint>, probes array<bigint>"))
 
 
+def edits_of(n: int, reach: tuple[int, ...] = REACH) -> int:
+    """The edits within the reach of a line of n characters."""
+    return sum(n >= least for least in reach)
+
+
 def within(a: str, b: str, edits: int) -> bool:
     """Whether the edit distance is at most `edits`: common ends off, then a band of 2 * edits + 1 diagonals as bits."""
     if abs(len(a) - len(b)) > edits:
@@ -186,8 +194,8 @@ def within(a: str, b: str, edits: int) -> bool:
     return here <= edits
 
 
-def _verified(shelf: Shelf, docs: DataFrame, found: DataFrame, pairs: DataFrame, edits: int) -> DataFrame:
-    """The pairs (a, b) of line hashes whose lines are within `edits`."""
+def _verified(shelf: Shelf, docs: DataFrame, found: DataFrame, pairs: DataFrame, reach: tuple[int, ...]) -> DataFrame:
+    """The pairs (a, b) of line hashes whose lines are within the reach of the shorter one."""
     needed = shelf.put(pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct(), "needed")
     where = found.join(needed, "h", "left_semi").groupBy("h").agg(F.min(F.struct("doc_id", "th")).alias("at")).select("at.*").distinct()
     where = shelf.put(where.withColumnsRenamed({"doc_id": "_id", "th": "_th"}), "where")
@@ -206,15 +214,16 @@ def _verified(shelf: Shelf, docs: DataFrame, found: DataFrame, pairs: DataFrame,
 
     def check(batches):
         for b in batches:
-            ok = pa.array([within(x, y, edits) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)], pa.bool_())
+            ok = pa.array([within(x, y, edits_of(min(len(x), len(y)), reach)) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(ok)
 
     return both.select("a", "b", "x", "y").mapInArrow(check, arrow_schema("a bigint, b bigint"))
 
 
-def pairs_of(shelf: Shelf, docs: DataFrame, edits: int) -> DataFrame:
+def pairs_of(shelf: Shelf, docs: DataFrame, reach: tuple[int, ...]) -> DataFrame:
     """Candidate pairs (a < b) of line hashes."""
-    keys = shelf.put(keyed(docs, edits), "keys")
+    edits = len(reach)
+    keys = shelf.put(keyed(docs, reach), "keys")
     part = lambda c: keys.select("h", "pairs", F.explode(c).alias("k"))
     index, probe = part("index").filter("k <> 0").distinct(), part("probes").filter("k <> 0")
     differ = F.bit_count(F.col("l.k").bitwiseXOR(F.col("r.k")).bitwiseAND(F.lit(0xFFFFFF))) <= 2 * edits
@@ -227,12 +236,12 @@ def pairs_of(shelf: Shelf, docs: DataFrame, edits: int) -> DataFrame:
     return out
 
 
-def removals(spark: SparkSession, docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def removals(spark: SparkSession, docs: DataFrame, reach: tuple[int, ...] = REACH) -> DataFrame:
     """docs: doc_id (long), text, th (hash of the text).  For each (doc_id, th) the numbers of the lines that go."""
     shelf = Shelf(spark, "line_dedup")
     found = shelf.put(occurrences(docs.select("doc_id", "text", "th")), "lines")
-    pairs = pairs_of(shelf, docs, edits)
-    links = shelf.put(_verified(shelf, docs, found, pairs, edits), "links")
+    pairs = pairs_of(shelf, docs, reach)
+    links = shelf.put(_verified(shelf, docs, found, pairs, reach), "links")
     roots = components(shelf, links).withColumnRenamed("node", "h")
     # equal lines are one class; only classes with more than one occurrence or a link matter from here on
     classes = found.groupBy("h").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("times")).join(roots, "h", "left")
@@ -243,12 +252,12 @@ def removals(spark: SparkSession, docs: DataFrame, edits: int = EDITS) -> DataFr
     return gone.groupBy("doc_id", "th").agg(F.collect_set("line").alias("gone"))
 
 
-def deduplicated(spark: SparkSession, docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def deduplicated(spark: SparkSession, docs: DataFrame, reach: tuple[int, ...] = REACH) -> DataFrame:
     """All columns of docs with n_lines, n_removed (of the lines compared), and the text that is left."""
     rows = Rows(docs, "n_lines", "n_removed")
     doc_id, text = rows.at("doc_id"), rows.at("text")
     key = rows.df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
-    gone = removals(spark, key, edits)
+    gone = removals(spark, key, reach)
     same = (F.xxhash64(F.col(text).cast("string")) == F.col("th")) & F.col(doc_id).cast("bigint").eqNullSafe(F.col("doc_id"))
     joined = rows.df.join(gone, same, "left").select(*rows.df.columns, "gone")
     at = rows.df.columns.index(text)

@@ -566,7 +566,8 @@ def _plain_lines(rows):
         return x
 
     for a, b in itertools.combinations(distinct, 2):
-        if abs(len(a) - len(b)) <= 2 and find(a) != find(b) and _distance(a, b) <= 2:
+        most = (min(len(a), len(b)) >= 20) + (min(len(a), len(b)) >= 40)
+        if most and abs(len(a) - len(b)) <= most and find(a) != find(b) and _distance(a, b) <= most:
             root[find(a)] = find(b)
     first = {}
     for i, k, s in sorted(occ, key=lambda o: ((o[0] is not None, o[0]), o[1])):
@@ -608,15 +609,25 @@ def test_line_dedup(spark):
 
 
 def test_short_lines(spark):
-    """Lines of all lengths from one character: equal ones go, and those of over two characters within two edits."""
+    """Lines of all lengths from one character: equal ones go, and from 20 characters on those within one edit, from 40 on two."""
     rng = random.Random(18)
-    line = lambda: "".join(rng.choice("abcdefgh XYZ") for _ in range(rng.choice((1, 2, 3, 4, 5, 6, 7, 9, 14, 24, 39)))).strip(" ") or "z"
+    bases = ["".join(rng.choice("abcdefgh XYZ") for _ in range(n)).strip(" ") or "z" for n in (1, 1, 2, 3, 4, 7, 14, 18, 19, 20, 21, 22, 30, 38, 39, 40, 41, 42, 60)]
+
+    def line():
+        s = list(rng.choice(bases))
+        for _ in range(rng.choice((0, 0, 1, 2, 3))):
+            k = rng.randrange(len(s) + 1)
+            s[k : k + rng.randint(0, 1)] = rng.choice(["", "q", "r"])
+        return "".join(s).strip(" ") or "z"
+
     rows = [(i, "\n".join(line() for _ in range(rng.randint(1, 4)))) for i in range(50)]
+    rows += [(60 + i, f"Step {i}\n{2020 + i}\nno!\ndog\n{i}0%") for i in range(5)]
     rows += [(i, f"All rights reserved.\n\n{'abc' * i}\nReleased under the MIT License{'.' * (i % 3)}") for i in range(50, 60)]
     said = [(i, k, s) for i, t in rows for k, x in enumerate(t.split("\n")) if (s := x.strip(" "))]
     group = {s: {s} for _, _, s in said}
     for a, b in itertools.combinations(group, 2):
-        if min(len(a), len(b)) > 2 and abs(len(a) - len(b)) <= 2 and group[a] is not group[b] and _distance(a, b) <= 2:
+        most = (min(len(a), len(b)) >= 20) + (min(len(a), len(b)) >= 40)
+        if group[a] is not group[b] and _distance(a, b) <= most:
             group[a] |= group[b]
             for x in group[b]:
                 group[x] = group[a]
@@ -630,6 +641,8 @@ def test_short_lines(spark):
     assert {r.doc_id: r.text for r in got} == want
     assert sum(r.n_removed for r in got) == len(gone) > 20 and sum(r.n_lines for r in got) == len(said)
     assert want[51] == "\n" + "abc" * 51
+    left = [x for t in want.values() for x in t.split("\n")]
+    assert {f"Step {i}" for i in range(5)} | {str(2020 + i) for i in range(5)} | {"no!", "dog"} <= set(left) and left.count("dog") == 1
 
 
 # --- 7: resampling ---------------------------------------------------------------------------------------------
