@@ -91,5 +91,35 @@ v AS (SELECT source, (k + mean * size) / (n + size) <= 0.5 AS ok FROM h, z)
 SELECT f.doc_id, f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words, f.base_failed, NOT f.base_failed AND coalesce(v.ok, NOT f.failed) AS kept FROM f LEFT JOIN v ON f.source = v.source"""
 
 
+#: The trees of op13 level by level, and every row's proof folded step by step; crc32 bit by bit.
+_MANIFEST = r"""WITH RECURSIVE base AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, lang, n_chars, coalesce('=' || lang, '') AS grp,
+ coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail,
+ list_reduce([xor(CAST(ord(c) AS BIGINT), 0) FOR c IN string_split(coalesce(CAST(doc_id AS VARCHAR), ''), '')], lambda a, b:
+  list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384)), CAST(4294967295 AS BIGINT)) AS crc FROM documents),
+leaf AS MATERIALIZED (SELECT r, doc_id, grp, sha256(head || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+ CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN sha256(head || coalesce(length(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) ELSE sha256(head || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) END AS seen FROM base),
+pos AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaf),
+tree AS (SELECT grp, 0 AS lvl, pos AS k, leaf AS h, count(*) OVER (PARTITION BY grp) AS n FROM pos
+ UNION ALL
+ SELECT grp, lvl + 1, k >> 1, sha256(string_agg(h, '' ORDER BY k)), any_value((n + 1) >> 1) FROM tree WHERE n > 1 GROUP BY grp, lvl, k >> 1),
+nodes AS MATERIALIZED (SELECT * FROM tree),
+sub AS MATERIALIZED (SELECT grp, h AS subroot, lvl AS height, row_number() OVER (ORDER BY grp) - 1 AS pos FROM nodes WHERE n = 1),
+top AS (SELECT 0 AS lvl, pos AS k, subroot AS h, count(*) OVER () AS n FROM sub
+ UNION ALL
+ SELECT lvl + 1, k >> 1, sha256(string_agg(h, '' ORDER BY k)), any_value((n + 1) >> 1) FROM top WHERE n > 1 GROUP BY lvl, k >> 1),
+tops AS MATERIALIZED (SELECT * FROM top),
+steps AS MATERIALIZED (SELECT p.r, l.lvl AS step, (p.pos >> l.lvl) & 1 AS odd, s.h AS sib FROM pos p JOIN sub b USING (grp) JOIN (SELECT DISTINCT grp, lvl FROM nodes WHERE n > 1) l USING (grp)
+  LEFT JOIN nodes s ON s.grp = p.grp AND s.lvl = l.lvl AND s.k = xor(p.pos >> l.lvl, 1)
+ UNION ALL
+ SELECT p.r, b.height + l.lvl, (b.pos >> l.lvl) & 1, s.h FROM pos p JOIN sub b USING (grp) JOIN (SELECT DISTINCT lvl FROM tops WHERE n > 1) l ON true LEFT JOIN tops s ON s.lvl = l.lvl AND s.k = xor(b.pos >> l.lvl, 1)),
+proof AS MATERIALIZED (SELECT r, sha256(coalesce(string_agg(coalesce(sib, ''), '' ORDER BY step), '')) AS proof_sha256 FROM pos LEFT JOIN steps USING (r) GROUP BY r),
+fold AS (SELECT r, 0 AS step, seen AS h FROM pos
+ UNION ALL
+ SELECT f.r, f.step + 1, sha256(CASE WHEN s.sib IS NULL THEN f.h WHEN s.odd = 1 THEN s.sib || f.h ELSE f.h || s.sib END) FROM fold f JOIN steps s ON s.r = f.r AND s.step = f.step),
+ended AS (SELECT r, arg_max(h, step) AS folded_root FROM fold GROUP BY r),
+root AS (SELECT h AS root FROM tops WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM pos JOIN sub USING (grp) JOIN proof USING (r) JOIN ended USING (r), root"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_host_rules": _HOST_RULES}
+    return {"op9_host_rules": _HOST_RULES, "op13_manifest": _MANIFEST}
