@@ -85,13 +85,16 @@ def ads_csv(ads: DataFrame, path: str) -> None:
 
 
 def dashboard_html(tables: dict[str, DataFrame], path: str, title: str = "Promotions", most: int = 1000) -> None:
-    """One page with a table for each of some small results (a report, so their rows are limited), as one text file."""
+    """One page with a table for each of some small results, as one text file; a result of over `most` rows is an error, none is cut."""
     from html import escape
 
     parts = [f"<!doctype html><meta charset='utf-8'><title>{escape(title)}</title><h1>{escape(title)}</h1>"]
     for name, df in tables.items():
         head = "".join(f"<th>{escape(c)}</th>" for c in df.columns)
-        body = "".join("<tr>" + "".join(f"<td>{escape('' if v is None else str(v))}</td>" for v in row) + "</tr>" for row in df.limit(most).collect())
+        rows = df.limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"{name} has over {most} rows: too many for one page")
+        body = "".join("<tr>" + "".join(f"<td>{escape('' if v is None else str(v))}</td>" for v in row) + "</tr>" for row in rows)
         parts.append(f"<h2>{escape(name)}</h2><table><tr>{head}</tr>{body}</table>")
     spark = next(iter(tables.values())).sparkSession
     spark.createDataFrame([("".join(parts).replace("\n", " "),)], "value string").coalesce(1).write.mode("overwrite").text(path)

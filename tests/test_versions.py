@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from promolake.sources import sinks
 from promolake.sources import versions as W
 
 
@@ -66,3 +67,12 @@ def test_two_writers(spark, tmp_path):
     with pytest.raises(RuntimeError, match="another writer"):
         W._publish(spark, root, m)
     assert [f for f in os.listdir(f"{root}/manifest") if f.endswith(".tmp")] == []
+
+
+def test_page_is_whole(spark, tmp_path):
+    """A page shows all rows of its tables or fails."""
+    df = spark.range(5)
+    sinks.dashboard_html({"five": df}, str(tmp_path / "page"), most=5)
+    assert spark.read.text(str(tmp_path / "page")).first().value.count("<tr><td>") == 5
+    with pytest.raises(ValueError, match="over 4 rows"):
+        sinks.dashboard_html({"five": df}, str(tmp_path / "other"), most=4)
