@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from promolake.functions import rules as R
 from promolake.operators import analytics as A
 from promolake.operators import relational as J
 from promolake.operators import texts as X
-from promolake.streaming import changes
+from promolake.sources.folders import scratch
+from promolake.streaming import changes, lifetimes
 
 from . import views as V
 
@@ -565,3 +567,39 @@ def q_discount_key(spark, d):
 def q_stream_state(spark, d):
     """Events as a stream: of each user and kind the latest value and whether it is new, changed or the same."""
     return changes.replay(spark, f"{d}/events.parquet")
+
+
+ABSENCE, DELAY = timedelta(days=3), timedelta(hours=1)
+
+
+def events_of(spark, d) -> DataFrame:
+    """Events as rows that come in late by up to 49 minutes; every fifth runs out after twelve hours, some at once."""
+    e, k = V.table(spark, d, "events"), F.col("event_id")
+    ts = F.col("ts").cast("timestamp")
+    hours = F.when(k % 15 == 0, F.timestamp_micros(F.unix_micros(ts) - 3_600_000_000)).when(k % 5 == 0, F.timestamp_micros(F.unix_micros(ts) + 43_200_000_000))
+    late = F.timestamp_micros(F.unix_micros(ts) + k * 37 % 50 * 60_000_000)
+    return e.select(F.concat_ws("|", F.col("user_id").cast("string"), "event_type").alias("row_key"), ts.alias("ts"), F.floor(F.col("value") / 10).cast("string").alias("content_fingerprint"), hours.alias("expires"), late.alias("arrived"))
+
+
+_LIFETIMES = """WITH e AS (SELECT concat_ws('|', user_id, event_type) AS row_key, epoch_us(ts) AS micros, coalesce(CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR), '') AS mark,
+ CASE WHEN event_id % 15 = 0 THEN epoch_us(ts) - 3600000000 WHEN event_id % 5 = 0 THEN epoch_us(ts) + 43200000000 ELSE 9000000000000000000 END AS until FROM events WHERE ts IS NOT NULL),
+t AS (SELECT max(micros) // 1000 * 1000 - 3600000000 AS now FROM e),
+x AS (SELECT *, least(micros + 259200000000, greatest(until, micros)) AS stop, CASE WHEN greatest(until, micros) <= micros + 259200000000 THEN 'expired' ELSE 'vanished' END AS kind FROM e, t WHERE micros <= now),
+y AS (SELECT *, lag(mark) OVER w AS was, lag(stop) OVER w AS stopped, lead(micros) OVER w AS follower FROM x WINDOW w AS (PARTITION BY row_key ORDER BY micros, mark, until))
+SELECT row_key, micros, mark AS content_fingerprint, CASE WHEN stopped IS NULL OR stopped < micros THEN 'new' WHEN was = mark THEN 'current' ELSE 'updated' END AS change_status FROM y
+UNION ALL SELECT row_key, stop, mark, kind FROM y WHERE stop < follower OR (follower IS NULL AND stop <= now)"""
+
+
+@query(_LIFETIMES, offers=False)
+def q_stream_lifetimes(spark, d):
+    """New, updated, current, expired and vanished keys of the events, by a stream that starts again from its checkpoint twice."""
+    out = lifetimes.replay(events_of(spark, d), scratch(spark, "lifetimes", keep=True), ABSENCE, DELAY, "arrived")
+    return out.select("row_key", F.unix_micros("ts").alias("micros"), "content_fingerprint", "change_status")
+
+
+@query(_LIFETIMES, offers=False)
+def q_lifetimes(spark, d):
+    """The same over the table at once."""
+    rows = events_of(spark, d)
+    now = rows.agg(lifetimes.last_watermark(rows, DELAY)).first()[0]  # one row
+    return lifetimes.of_table(rows, ABSENCE, now).select("row_key", F.unix_micros("ts").alias("micros"), "content_fingerprint", "change_status")

@@ -9,9 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch(spark: SparkSession, name: str) -> str:
+def scratch(spark: SparkSession, name: str, keep: bool = False) -> str:
     """A new folder under spark.checkpoint.dir, which the driver and all executors share; it goes when the application
-    ends.  Where that is unset, a local folder will do for a local session only."""
+    ends, unless it is kept.  Where that is unset, a local folder will do for a local session only."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or getattr(sc, "_promolake_scratch", None)
     if not root:
@@ -20,6 +20,9 @@ def scratch(spark: SparkSession, name: str) -> str:
         root = sc._promolake_scratch = "file://" + tempfile.mkdtemp(prefix="promolake-")
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
+    if keep:
+        return path
+
     def drop() -> None:
         try:
             p = sc._jvm.org.apache.hadoop.fs.Path(path)

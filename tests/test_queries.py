@@ -11,7 +11,7 @@ from promolake.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clicks sales sale_lines clients client_changes vendors items stamps".split()
-PYTHON = {"q_fuzzy_dupes", "q_html_blocks", "q_html_cards", "q_stream_state", "q_dashboard_html"}
+PYTHON = {"q_fuzzy_dupes", "q_html_blocks", "q_html_cards", "q_stream_state", "q_stream_lifetimes", "q_dashboard_html"}
 
 
 @pytest.fixture(scope="module")
