@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from promolake.functions import expressions as E
 from promolake.functions import rules as R
 from promolake.operators import analytics as A
+from promolake.operators import cube
 from promolake.operators import relational as J
 from promolake.operators import texts as X
 from promolake.sources.folders import scratch
@@ -569,6 +570,41 @@ def q_stream_state(spark, d):
     return changes.replay(spark, f"{d}/events.parquet")
 
 
+# --- filters of the dashboard as lookups on one cube ---------------------------------------------------------------------
+
+
+def _plain_sums(by: list[str], where: str) -> str:
+    """The plain aggregates of the offers under a filter."""
+    names = ", ".join(by)
+    return f"""SELECT {names}{", " if by else ""}CAST(count(*) AS BIGINT) AS n, count(*) FILTER (trim(coalesce(discount_value, '')) <> '') AS with_discount, count(*) FILTER (trim(coalesce(coupon_code, '')) <> '') AS coupons,
+CAST(sum(CASE WHEN coalesce(discount_value, '') = '' THEN 0 WHEN contains(lower(discount_value), 'free') THEN 3 WHEN contains(discount_value, '%') THEN 2 ELSE 1 END) AS BIGINT) AS weight,
+max(amount) FILTER (amount > 0) AS most, round(avg(amount) FILTER (amount > 0), 1) AS mean, count(DISTINCT business_name) AS competitors
+FROM (SELECT trim(coalesce(city, '')) AS city, coalesce(business_name, '') AS business_name, coalesce(category, '') AS category, discount_value, coupon_code, amount,
+ CASE WHEN dv = '' THEN '' WHEN dv LIKE 'free%' THEN 'Free' WHEN contains(dv, '%') THEN '%' WHEN amount IS NULL THEN 'Other' WHEN amount <= 10 THEN '≤$10' WHEN amount <= 25 THEN '$11–25' WHEN amount <= 50 THEN '$26–50' ELSE '$50+' END AS bucket FROM amounts)
+{where} {"GROUP BY " + names + " HAVING count(*) > 0" if by else "HAVING count(*) > 0"}"""
+
+
+@query(_plain_sums(["category"], "WHERE city = 'Calgary'"))
+def q_cube_city(spark, d):
+    return cube.lookup(cube.build(V.offers(spark, d)), ["category"], city="Calgary")
+
+
+@query(_plain_sums(["city", "bucket"], "WHERE business_name = 'Brand#13'"))
+def q_cube_competitor(spark, d):
+    return cube.lookup(cube.build(V.offers(spark, d)), ["city", "bucket"], business_name="Brand#13")
+
+
+@query(_plain_sums(["category", "bucket"], "WHERE city IN ('Calgary', 'Edmonton') AND business_name IN ('Brand#13', 'Brand#21', 'Brand#34')"))
+def q_cube_several(spark, d):
+    """Several values of two filters: the bitmaps of their cells merge."""
+    return cube.lookup(cube.build(V.offers(spark, d)), ["category", "bucket"], city=["Calgary", "Edmonton"], business_name=["Brand#13", "Brand#21", "Brand#34"])
+
+
+@query(_plain_sums([], ""))
+def q_cube_all(spark, d):
+    return cube.lookup(cube.build(V.offers(spark, d)), [])
+
+
 ABSENCE, DELAY = timedelta(days=3), timedelta(hours=1)
 
 
