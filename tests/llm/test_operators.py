@@ -504,12 +504,22 @@ def test_suffix_tree(spark, corpus, head, known, followers):
     for k in range(60):
         w = [x for _ in range(12) for x in (chain if rng.random() < 0.7 else rng.sample(chain, 5))]
         rows.append((1000 + k, " ".join(w)))
-    own = {"least": 12, "often": 2, "gain": 6.0, "strength": 5.0}
+    _suffix_tree_is_plain(spark, rows, {"least": 12, "often": 2, "gain": 6.0, "strength": 5.0}, {1, 2, 3}, head, known, followers)
+
+
+def test_suffix_tree_production(spark):
+    """The constants of the query, over the whole smallest table."""
+    own = {"least": suffix_tree.LEAST, "often": suffix_tree.OFTEN, "gain": suffix_tree.GAIN, "strength": suffix_tree.STRENGTH}
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    _suffix_tree_is_plain(spark, rows, own, {1, 2})
+
+
+def _suffix_tree_is_plain(spark, rows, own, lengths, head=suffix_tree.HEAD, known=suffix_tree.HEAD_CONTEXTS, followers=suffix_tree.HEAD_GRAMS):
     docs = make(spark, rows).selectExpr("*", "1 as h", "2 as uid")
     out = suffix_tree.score(spark, docs, head, known, followers, **own).collect()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
     tree = _PlainTree([t for i, t in rows if not held(i)], head, **own)
-    assert {len(c) for c in tree.states} >= {1, 2, 3}
+    assert {len(c) for c in tree.states} >= lengths
     n, v = tree.total, len(tree.count) + 1
     count = tree.count | {None: tree.ends}
     expected = Counter()
