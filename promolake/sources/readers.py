@@ -5,13 +5,16 @@ _file_ord by file name, _row_ord by place in the file.  A file that does not par
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promolake.functions import rules as R
 from promolake.sources import versions
+from promolake.sources.folders import saved
 
 _BOOLEAN, _LONG, _ARRAY = {"needs_review", "duplicate_of_national"}, {"duplicate_group_total"}, {"applicable_cities"}
 
@@ -85,21 +88,38 @@ def url_log(all_runs: DataFrame) -> DataFrame:
     return all_runs.select("competitor", F.explode("url_log").alias("x")).select("competitor", "x.*")
 
 
-def coverage_csv(spark: SparkSession, files: list[str]) -> DataFrame:
-    """CSV files with different headers as one table of strings, with competitor and source_file."""
-    names = F.create_map(*[F.lit(x) for kv in R.FILE_COMPETITORS.items() for x in kv])
-    out = None
-    for f in files:
-        df = spark.read.csv(f, header=True)
-        name = f.rsplit("/", 1)[-1]
-        guess = F.coalesce(names[F.lit(name.removesuffix(".csv").replace("_url_coverage", ""))], F.lit("Unknown"))
-        own = F.nullif("competitor", F.lit("")) if "competitor" in df.columns else F.lit(None).cast("string")
-        df = df.withColumn("competitor", F.coalesce(own, guess)).withColumn("source_file", F.lit(name))
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    if out is None:
-        return spark.createDataFrame([], "competitor string, source_file string")
-    have = out.columns
-    return out.select(*[c for c in R.COVERAGE_COLUMNS if c in have], *[c for c in have if c not in R.COVERAGE_COLUMNS])
+def coverage_csv(spark: SparkSession, files: str | list[str]) -> DataFrame:
+    """CSV files with different headers as one table of strings, with competitor and source_file.
+
+    One scan reads the first line of each file and one all rows, whatever the number of files; the different headers (a few)
+    come to the driver.  A file of no line has no rows; fields beyond a header are dropped, missing ones null."""
+    kind = "competitor string, source_file string"
+    try:
+        lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("_file"), "value", F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_n"))
+    except AnalysisException:
+        return spark.createDataFrame([], kind)
+    # lines of a block are numbered in their order
+    heads = lines.filter("_at = 0").groupBy("_file").agg(F.min_by("value", "_n").alias("_head"))
+    heads = saved(heads, "headers")
+    kinds = sorted(r[0] for r in heads.select("_head").distinct().collect())
+    if not kinds:
+        return spark.createDataFrame([], kind)
+    parsed = [next(csv.reader([k.lstrip("\ufeff")])) for k in kinds]
+    width = max(map(len, parsed))
+    cells = spark.read.schema(T.StructType([T.StructField(f"_c{k}", T.StringType()) for k in range(width)])).option("header", True).option("enforceSchema", True).csv(files)
+    rows = cells.select("*", F.col("_metadata.file_path").alias("_file")).join(heads, "_file")
+
+    def column(name: str) -> Column:
+        at = [F.when(F.col("_head") == k, F.col(f"_c{p.index(name)}")) for k, p in zip(kinds, parsed, strict=True) if name in p]
+        return F.coalesce(*at) if at else F.lit(None).cast("string")
+
+    guesses = F.create_map(*[F.lit(x) for kv in R.FILE_COMPETITORS.items() for x in kv])
+    source = F.url_decode(F.element_at(F.split("_file", "/"), -1))
+    guess = F.coalesce(guesses[F.regexp_replace(F.regexp_replace(source, r"\.csv$", ""), "_url_coverage", "")], F.lit("Unknown"))
+    have = dict.fromkeys([*(n for p in parsed for n in p if n), "competitor", "source_file"])
+    value = {"competitor": F.coalesce(F.nullif(column("competitor"), F.lit("")), guess), "source_file": source}
+    names = [*[c for c in R.COVERAGE_COLUMNS if c in have], *[c for c in have if c not in R.COVERAGE_COLUMNS]]
+    return rows.select(*[value.get(c, column(c)).alias(c) for c in names])
 
 
 def reviews(spark: SparkSession, folder: str, name: str = "all_reviews.json") -> DataFrame:

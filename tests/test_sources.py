@@ -117,3 +117,20 @@ def test_ads(spark):
     images = spark.createDataFrame([("a",), ("b",), ("c",)], "image_url string")
     ocr = spark.createDataFrame([("a", "$5 off now"), ("b", " ")], "image_url string, text string")
     assert {r.image_url: r.ocr_status for r in readers.with_ocr(images, ocr).collect()} == {"a": "ocr_success", "b": "ocr_failed", "c": "download_failed"}
+
+
+def test_many_ragged_files(spark, tmp_path):
+    """Three headers over 60 files: one plan of fixed size, each row by its own file's header."""
+    heads = [["url", "status", "competitor"], ["status", "city", "url"], ["url", "note, long"]]
+    for k in range(60):
+        h = heads[k % 3]
+        own = {"url": f"u{k}", "status": "ok", "competitor": "" if k % 2 else "Own", "city": f'"c, {k}"', "note, long": "n"}
+        text = ",".join(f'"{c}"' if "," in c else c for c in h) + "\n" + "".join(",".join(own[c] for c in h) + "\n" for _ in range(2))
+        (tmp_path / f"f{k:02d}.csv").write_text(text)
+    out = readers.coverage_csv(spark, str(tmp_path))
+    rows = out.collect()
+    assert len(rows) == 120 and {r.url for r in rows} == {f"u{k}" for k in range(60)}
+    assert {(r.competitor, r.city, r["note, long"]) for r in rows if r.source_file == "f01.csv"} == {("Unknown", "c, 1", None)}
+    assert {r.competitor for r in rows if r.source_file == "f06.csv"} == {"Own"} and {r["note, long"] for r in rows if r.source_file == "f02.csv"} == {"n"}
+    assert out._jdf.queryExecution().analyzed().toString().count("Relation") == 2
+    assert readers.coverage_csv(spark, str(tmp_path / "none")).count() == 0
