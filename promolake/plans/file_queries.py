@@ -240,6 +240,19 @@ def q_column_letters(spark, d):
     return V.table(spark, d, "part").select("p_partkey", E.column_letter("p_partkey").alias("letter"))
 
 
+@query("""SELECT 'u' || s_suppkey AS url, CASE WHEN s_suppkey % 5 = 0 THEN 'failed' ELSE 'ok' END AS status, NULL AS city, CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE 'Unknown' END AS competitor FROM supplier
+UNION ALL SELECT 'c' || c_custkey, c_mktsegment, 'a "quoted", ' || c_name, 'Unknown' FROM customer UNION ALL SELECT 'n' || n_nationkey, NULL, NULL, 'Unknown' FROM nation""", offers=False)
+def q_coverage_files(spark, d):
+    """Files with three different headers, in many parts, as one table."""
+    root = scratch(spark, "coverage", keep=True)
+    k, s, n = F.col("c_custkey").cast("string"), F.col("s_suppkey"), F.col("n_nationkey").cast("string")
+    log = V.table(spark, d, "supplier").select(F.concat(F.lit("u"), s.cast("string")).alias("url"), F.when(s % 5 == 0, "failed").otherwise("ok").alias("status"), F.when(s % 2 == 0, F.col("s_name")).alias("competitor"))
+    stores = V.table(spark, d, "customer").select(F.col("c_mktsegment").alias("status"), F.concat(F.lit('a "quoted", '), "c_name").alias("city"), F.concat(F.lit("c"), k).alias("url"))
+    for name, rows in (("log", log), ("stores", stores), ("links", V.table(spark, d, "nation").select(F.concat(F.lit("n"), n).alias("url"), F.lit("x").alias("note")))):
+        rows.repartition(4).write.option("header", True).option("escape", '"').csv(f"{root}/{name}")
+    return readers.coverage_csv(spark, [f"{root}/{name}" for name in ("log", "stores", "links")]).select("url", "status", "city", "competitor")
+
+
 @query("SELECT count(*) AS competitors, TRUE AS is_page FROM (SELECT DISTINCT business_name FROM offers)")
 def q_dashboard_html(spark, d):
     """The page of the counts by competitor: how many rows it shows, and whether it is one."""

@@ -106,7 +106,7 @@ def coverage_csv(spark: SparkSession, files: str | list[str]) -> DataFrame:
         return spark.createDataFrame([], kind)
     parsed = [next(csv.reader([k.lstrip("\ufeff")])) for k in kinds]
     width = max(map(len, parsed))
-    cells = spark.read.schema(T.StructType([T.StructField(f"_c{k}", T.StringType()) for k in range(width)])).option("header", True).option("enforceSchema", True).csv(files)
+    cells = spark.read.schema(T.StructType([T.StructField(f"_c{k}", T.StringType()) for k in range(width)])).option("header", True).option("enforceSchema", True).option("escape", '"').csv(files)
     rows = cells.select("*", F.col("_metadata.file_path").alias("_file")).join(heads, "_file")
 
     def column(name: str) -> Column:
