@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -63,25 +64,25 @@ class Selector:
     class_or_id_like: str | None = None
     href_like: str | None = None
 
-    def test(self) -> Column:
-        """Over the columns of an element table."""
+    def test(self, at: Callable[[str], Column] = F.col) -> Column:
+        """Over the columns of an element table, or the fields of an element that `at` gives."""
         own = [F.lit(True)]
         if self.tags:
-            own.append(F.col("tag").isin(list(self.tags)))
+            own.append(at("tag").isin(list(self.tags)))
         if self.classes:
-            own.append(F.arrays_overlap(F.split("cls", r"\s+"), F.array(*[F.lit(c) for c in self.classes])))
+            own.append(F.arrays_overlap(F.split(at("cls"), r"\s+"), F.array(*[F.lit(c) for c in self.classes])))
         if self.class_like:
-            own.append(F.col("cls").rlike(self.class_like))
+            own.append(at("cls").rlike(self.class_like))
         if self.class_or_id_like:
-            own.append(F.col("cls").rlike(self.class_or_id_like) | F.col("id").rlike(self.class_or_id_like))
+            own.append(at("cls").rlike(self.class_or_id_like) | at("id").rlike(self.class_or_id_like))
         if self.href_like:
-            own.append(F.col("href").rlike(self.href_like))
+            own.append(at("href").rlike(self.href_like))
         return reduce(lambda a, b: a & b, own)
 
 
-def roles(selectors: list[Selector]) -> Column:
+def roles(selectors: list[Selector], at: Callable[[str], Column] = F.col) -> Column:
     """The roles of an element, in the selectors' order."""
-    return F.array_compact(F.array(*[F.when(s.test(), F.lit(s.role)) for s in selectors]))
+    return F.array_compact(F.array(*[F.when(s.test(at), F.lit(s.role)) for s in selectors]))
 
 
 CODE_CARDS = [
