@@ -88,6 +88,27 @@ def similar(a: str, b: str) -> Column:
     return ~veto & (((ta == tb) & (ta != "") & (same_code | same_discount)) | (both & (E.overlap_percent(ta, tb) >= 50)))
 
 
+def similar_pairs(offers: DataFrame, group: str, key: str) -> DataFrame:
+    """Pairs a, b (a before b) of keys of one group whose offers are one, each once.
+
+    Likeness asks for an equal title with an equal code or discount, or for both of these equal with words in common: so pairs come from three joins
+    on these, which take no pair twice, and not from all pairs of a group."""
+    filled = lambda c: F.coalesce(F.col(c), F.lit(""))
+    own = offers.select(F.col(group).alias("g"), F.col(key).alias("key"), "coupon_code", "discount_value", "normalized_title", filled("coupon_code").alias("c"), filled("discount_value").alias("d"), E.text("normalized_title").alias("t"))
+    own = own.withColumn("w", F.array_distinct(E.words(F.lower("t"))))
+
+    def met(rows: DataFrame, *on: str) -> DataFrame:
+        side = lambda p: rows.select(*on, *[F.col(c).alias(f"{p}_{c}") for c in rows.columns if c not in on[:1]])
+        return side("a").join(side("b"), list(on)).filter("a_key < b_key")
+
+    titled = own.filter("t <> ''")
+    by_code = met(titled.drop("w"), "g", "t", "c")
+    by_discount = met(titled.drop("w"), "g", "t", "d").filter("a_c <> b_c")
+    worded = met(own.filter("c <> ''").withColumn("word", F.explode("w")), "g", "c", "d", "word").filter((F.col("a_t") != F.col("b_t")) & (F.col("word") == F.array_min(F.array_intersect("a_w", "b_w"))))
+    found = [df.filter(similar("a_", "b_")).select(F.col("a_key").alias("a"), F.col("b_key").alias("b")) for df in (by_code, by_discount, worded)]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def greedy_alike(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     """Offers of a group in encounter order without those that are alike to an earlier kept one: equal discounts and starts of titles over 85
     alike, or starts over 90."""

@@ -345,9 +345,7 @@ def q_similar(spark, d):
     code = F.when(m == 0, F.concat(F.lit("C"), (F.col("p_size") % 3).cast("string"))).when(m == 1, "")
     discount = F.when(n == 0, "$10").when(n == 1, "$10.00").when(n == 2, "20%").when(n == 3, "")
     o = p.select("p_brand", F.col("p_partkey").alias("k"), code.alias("coupon_code"), discount.alias("discount_value"), F.substring_index("p_name", " ", 2).alias("normalized_title"))
-    side = lambda s: o.select(F.col("p_brand"), *[F.col(c).alias(f"{s}{c}") for c in o.columns if c != "p_brand"])
-    both = side("a_").join(side("b_"), "p_brand").filter("a_k < b_k")
-    return both.filter(O.similar("a_", "b_")).select(F.col("a_k").alias("a"), F.col("b_k").alias("b"))
+    return O.similar_pairs(o, "p_brand", "k")
 
 
 

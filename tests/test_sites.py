@@ -75,3 +75,15 @@ def test_similarity(spark):
     df = spark.createDataFrame(offers, "business_name string, k int, promotion_title string, discount_value string, coupon_code string, offer_details string")
     assert sorted(r.k for r in O.staged_dedup(df, ["k"]).collect()) == [2, 3, 5]
     assert J.not_covered(spark.createDataFrame([("",), ("Mr Lube",), ("Z",)], "business_name string"), spark.createDataFrame([("Mr. Lube + Tires",)], "business_name string")).count() == 2
+
+
+def test_similar_pairs(spark):
+    """As all pairs of a group give it, without meeting them all."""
+    offers = [(g, 8 * i + j, c, d, t) for g in ("x", "y") for i, c in enumerate((None, "", "A", "B")) for j, (d, t) in enumerate(((None, "Oil deal"), ("$10", "Oil deal"), ("$10.00", "oil DEAL"), ("", "oil tire deal"), ("$10", ""), ("20%", "Oil deal"), ("20%", None), ("$10", "oil oil")))]
+    df = spark.createDataFrame(offers, "g string, k int, coupon_code string, discount_value string, normalized_title string")
+    side = lambda p: df.select("g", *[F.col(c).alias(f"{p}{c}") for c in df.columns if c != "g"])
+    want = side("a_").join(side("b_"), "g").filter("a_k < b_k").filter(O.similar("a_", "b_")).select("a_k", "b_k").collect()
+    pairs = O.similar_pairs(df, "g", "k")
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, want)) and len(want) > 20
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert all("t#" in j or "word#" in j for j in plan.splitlines() if "Join Inner" in j)
