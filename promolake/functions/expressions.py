@@ -42,8 +42,17 @@ def found(c: Text, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(text(c), pattern, group), F.lit(""))
 
 
+def once(value: Column, f) -> Column:
+    """f of a value that is computed once a row, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+#: What Unicode counts as white space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Text) -> Column:
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(WHITE))
 
 
 def squeeze(c: Text) -> Column:
@@ -129,7 +138,7 @@ def clean_ad_text(c: Text) -> Column:
 
 
 def first_sentence(c: Text) -> Column:
-    return strip(F.split(strip(c), r"[.!?]+\s+")[0])
+    return strip(F.split(strip(c), r"[.!?]+\s+", 2)[0])
 
 
 def sentences(c: Text) -> Column:
@@ -299,16 +308,19 @@ def standard_category(c: Text) -> Column:
     return F.coalesce(*[F.when(key.isin(*R.SERVICE_WORDS[s], s.lower()), F.lit(s)) for s in R.SERVICES])
 
 
+def named_service(c: Text) -> Column:
+    """The first service whose pattern is in the text, or null."""
+    return F.coalesce(*[F.when(text(c).rlike(f"(?i){p}"), F.lit(s)) for s, p in R.SERVICE_PATTERNS])
+
+
 def classify(c: Text, hint: Text | None = None) -> Column:
     """A valid hint wins; else the patterns in their order; else Other."""
-    by_text = [F.when(text(c).rlike(f"(?i){p}"), F.lit(s)) for s, p in R.SERVICE_PATTERNS]
-    return F.coalesce(*([standard_category(hint)] if hint is not None else []), *by_text, F.lit("Other"))
+    return F.coalesce(*([standard_category(hint)] if hint is not None else []), named_service(c), F.lit("Other"))
 
 
 def classify_site(c: Text, hint: Text) -> Column:
     by_text = [F.when(F.lower(text(c)).rlike(p), F.lit(s)) for s, p in [("Tire Rotation", R.SITE_ROTATION), *R.SITE_SERVICE_PATTERNS]]
-    own = F.nullif(classify(c), F.lit("Other"))
-    return F.coalesce(*by_text, own, F.when(col(hint).isin(R.SERVICES), col(hint)), F.lit("Other"))
+    return F.coalesce(*by_text, named_service(c), F.when(col(hint).isin(R.SERVICES), col(hint)), F.lit("Other"))
 
 
 def confidence(discount_: Text, code: Text, expiry: Text, details: Text) -> Column:
@@ -448,17 +460,20 @@ def site_signature(parts: dict[str, Text], title: Text) -> Column:
 
 def offer_summary(title: Text, description: Text, details: Text, ad_text: Text) -> Column:
     """A headline, a short description or its first sentence, short details of their own, else a first sentence or start."""
-    t, d, o, a = (strip(text(c)) for c in (title, description, details, ad_text))
     ended = lambda s: F.concat(s, F.when(s.rlike(r"[.!?]$"), "").otherwise("."))
-    first, source = first_sentence(d), first_of(d, o, a)
-    lead = first_sentence(source)
-    return (
-        F.when(F.length(t).between(15, 120) & ~F.lower(t).isin(R.GENERIC_HEADLINES), t)
-        .when((d != "") & (F.length(d) <= 200), d).when((d != "") & F.length(first).between(15, 200), ended(first))
-        .when((o != "") & (F.length(o) <= 120) & ~a.startswith(o), o)
-        .when(source.isNotNull() & F.length(lead).between(10, 200), ended(lead))
-        .when(source.isNotNull(), strip(F.substring(source, 1, 150))).otherwise(o)
-    )
+
+    def of(p: Column) -> Column:
+        t, d, o, a = p["t"], p["d"], p["o"], p["a"]
+        source = first_of(d, o, a)
+        lead = lambda x: F.when(F.length(x).between(10, 200), ended(x)).otherwise(strip(F.substring(source, 1, 150)))
+        rest = F.when((o != "") & (F.length(o) <= 120) & ~a.startswith(o), o).when(source.isNotNull(), once(first_sentence(source), lead)).otherwise(o)
+        return (
+            F.when(F.length(t).between(15, 120) & ~F.lower(t).isin(R.GENERIC_HEADLINES), t)
+            .when((d != "") & (F.length(d) <= 200), d)
+            .when(d != "", once(first_sentence(d), lambda x: F.when(F.length(x).between(15, 200), ended(x)).otherwise(rest))).otherwise(rest)
+        )
+
+    return once(F.struct(*[strip(text(c)).alias(n) for n, c in zip("tdoa", (title, description, details, ad_text), strict=True)]), of)
 
 
 def title_case(c: Column) -> Column:

@@ -85,30 +85,33 @@ def gate(c, site: str) -> Column:
 
 def hinted_service(c, hint) -> Column:
     """The hint, unless the text names another service; a tire page that speaks of rotation is for that."""
-    low, own, h = F.lower(E.text(c)), E.classify(c), E.text(hint)
+    low, h = F.lower(E.text(c)), E.text(hint)
     rotation = (h == "Tire Sales") & low.rlike(r"\btire\s+rotation\b|\brotate\s+tires?\b")
-    named = F.coalesce(*[F.when((own == s) & E.contains_any(low, w), F.lit(s)) for s, w in SERVICE_EVIDENCE.items() if s != "Other"])
-    known = F.when(rotation, "Tire Rotation").when(h.isin("", "Other"), own).when((named != h) & named.isNotNull(), named).otherwise(h)
+    named = lambda own: F.coalesce(*[F.when((own == s) & E.contains_any(low, w), F.lit(s)) for s, w in SERVICE_EVIDENCE.items() if s != "Other"])
+    # a service with evidence is taken whether it is the hint or another one
+    known = F.when(rotation, "Tire Rotation").otherwise(E.once(E.classify(c), lambda own: F.when(h.isin("", "Other"), own).otherwise(F.coalesce(named(own), h))))
     return F.when(E.text(c) == "", F.coalesce(E.first_of(hint), F.lit("Other"))).otherwise(known)
 
 
 def rebate_service(c, hint) -> Column:
     """Of a tire page: rotation, oil and tires by their words, else a likely class, else the hint."""
-    low, own = F.lower(E.text(c)), E.classify(c)
     given = F.coalesce(E.first_of(hint), F.lit("Tire Sales"))
-    words = [F.when(low.rlike(p), F.lit(s)) for s, p in REBATE_SERVICES]
-    return F.when(E.text(c) == "", given).otherwise(F.coalesce(*words, F.when(own.isin(REBATE_CATEGORIES), own), given))
+    words = lambda low: [F.when(low.rlike(p), F.lit(s)) for s, p in REBATE_SERVICES]
+    likely = E.once(E.classify(c), lambda own: F.when(own.isin(REBATE_CATEGORIES), own))
+    return F.when(E.text(c) == "", given).otherwise(F.coalesce(E.once(F.lower(E.text(c)), lambda low: F.coalesce(*words(low))), likely, given))
 
 
 def kind_service(c, hint, kind) -> Column:
     """By the page's kind (coupons, rewards) first, then the hint, which oil, tires and batteries in the text overrule."""
-    clean = S.without_brand_noise(c)
-    low, own, k = F.lower(clean), E.classify(clean), E.col(kind)
-    known = E.col(hint).isin(R.SERVICES)
-    overruled = ((own == "Oil Change") & low.contains("oil")) | ((own == "Tire Sales") & low.contains("tire")) | ((own == "Battery") & low.contains("batter"))
-    return (
-        F.when((k == "coupons") & low.rlike(r"tire\s+rotation") & ~low.contains("diesel") & ~low.rlike(r"differential|fuel\s+filter"), "Tire Rotation")
-        .when((k == "rewards") & (low.contains("tire storage") | (low.contains("storage") & low.contains("tire"))), "Tire Sales")
-        .when((k == "rewards") & ((low.contains("buy 7") & low.contains("free")) | (low.contains("birthday") & (own == "Other"))), "Oil Change")
-        .when(F.coalesce(known, F.lit(False)), F.when(overruled, own).otherwise(E.col(hint))).otherwise(own)
-    )
+    k, known = E.col(kind), E.col(hint).isin(R.SERVICES)
+
+    def of(low: Column, own: Column) -> Column:
+        overruled = ((own == "Oil Change") & low.contains("oil")) | ((own == "Tire Sales") & low.contains("tire")) | ((own == "Battery") & low.contains("batter"))
+        return (
+            F.when((k == "coupons") & low.rlike(r"tire\s+rotation") & ~low.contains("diesel") & ~low.rlike(r"differential|fuel\s+filter"), "Tire Rotation")
+            .when((k == "rewards") & (low.contains("tire storage") | (low.contains("storage") & low.contains("tire"))), "Tire Sales")
+            .when((k == "rewards") & ((low.contains("buy 7") & low.contains("free")) | (low.contains("birthday") & (own == "Other"))), "Oil Change")
+            .when(F.coalesce(known, F.lit(False)), F.when(overruled, own).otherwise(E.col(hint))).otherwise(own)
+        )
+
+    return E.once(S.without_brand_noise(c), lambda clean: E.once(F.struct(F.lower(clean).alias("low"), E.classify(clean).alias("own")), lambda x: of(x["low"], x["own"])))

@@ -193,21 +193,20 @@ def page_kind(given, url, kinds: dict[str, str], default: str) -> Column:
 
 def fluid_service(c, hint) -> Column:
     low = F.lower(E.text(c))
-    own = F.nullif(E.classify(c), F.lit("Other"))
-    return F.coalesce(*[F.when(low.rlike(p), F.lit(s)) for s, p in FLUID_SERVICES], own, F.when(E.col(hint).isin(R.SERVICES), E.col(hint)), F.lit("Other"))
+    return F.coalesce(*[F.when(low.rlike(p), F.lit(s)) for s, p in FLUID_SERVICES], E.named_service(c), F.when(E.col(hint).isin(R.SERVICES), E.col(hint)), F.lit("Other"))
 
 
 def purchase_service(c) -> Column:
     """Of `free x with y`, the service of y; else of the whole text."""
     bought = F.when(F.lower(E.text(c)).rlike(r"\bfree\b.*\bwith\s+"), E.found(F.lower(E.text(c)), r"\bwith\s+(?:your\s+)?([a-z][a-z &/\-]{2,40})"))
-    return F.coalesce(F.nullif(E.classify(bought), F.lit("Other")), E.classify(c))
+    return F.coalesce(E.once(bought, E.named_service), E.classify(c))
 
 
 def store_service(title, body) -> Column:
     """Oil and brakes first, tires only with an offer verb, then the common rules; title and 400 characters."""
     t = F.lower(F.concat_ws(" ", E.text(title), F.substring(E.text(body), 1, 400)))
-    first = [F.when(t.rlike(p), F.lit(s)) for s, p in STORE_SERVICES]
-    return F.coalesce(*first, F.when(t.rlike(r"\btires?\b") & t.rlike(TIRE_OFFER), F.lit("Tire Sales")), E.classify(t))
+    first = lambda x: [F.when(x.rlike(p), F.lit(s)) for s, p in STORE_SERVICES]
+    return E.once(t, lambda x: F.coalesce(*first(x), F.when(x.rlike(r"\btires?\b") & x.rlike(TIRE_OFFER), F.lit("Tire Sales")), E.classify(x)))
 
 
 def keyword_category(c, categories: dict[str, list[str]], default: str) -> Column:

@@ -53,7 +53,7 @@ BANK = [
 
 def bank(spark, d) -> DataFrame:
     """k, n, d, t of each part."""
-    p = V.table(spark, d, "part")
+    p = V.spread(V.table(spark, d, "part").select("p_partkey", "p_size"), "p_partkey")
     n, day = F.col("p_size").cast("string"), (F.col("p_partkey") % 28 + 1).cast("string")
     form = F.get(E.literals(BANK), (F.col("p_partkey") % len(BANK)).cast("int"))
     return p.select(F.col("p_partkey").alias("k"), F.col("p_size").alias("n"), F.replace(F.replace(form, F.lit("{n}"), n), F.lit("{d}"), day).alias("t"))

@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """rows dealt out by a key, for work of many expressions a row: a small file of many rows is one block, hence one task."""
+    spark = rows.sparkSession
+    return rows.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
+
+
 def _pick(key, values):
     """The value at key, counted from 0; null beyond them."""
     return F.get(F.array(*[F.lit(v).cast("string") for v in values]), key.cast("int"))
