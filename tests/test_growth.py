@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from promolake.functions import expressions as E
 from promolake.functions import gates as G
+from promolake.operators import texts as X
 from promolake.plans import text_queries
 
 ROOT = "/root/testdata/sf0.001"
@@ -27,3 +30,12 @@ def test_strip(spark):
     texts = ["", " a ", "\n a b　\r", "​a", " \t\n", "a ", "\x1ca\x1c", "a"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert df.select(E.strip("t") == F.regexp_replace("t", r"(?U)^\s+|\s+$", "")).distinct().collect() == [(True,)]
+
+
+def test_focus_in_long_texts(spark):
+    """The time of a text grows with its lines, not with their square."""
+    few = spark.createDataFrame([("\n".join(["x"] * 6000 + ["b", "$5 off", "c"]),)], "t string")
+    few.select(X.focused_text("t")).collect()
+    start = time.monotonic()
+    assert few.select(X.focused_text("t")).first()[0] == "b\n$5 off\nc"
+    assert time.monotonic() - start < 5
