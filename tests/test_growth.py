@@ -39,3 +39,29 @@ def test_focus_in_long_texts(spark):
     start = time.monotonic()
     assert few.select(X.focused_text("t")).first()[0] == "b\n$5 off\nc"
     assert time.monotonic() - start < 5
+
+
+def test_streams_call_by_bucket(spark, tmp_path, monkeypatch):
+    """Keys share calls of the state functions: far fewer buckets than keys, with the result of each key by itself."""
+    from datetime import datetime, timedelta
+
+    from promolake.streaming import changes, lifetimes
+
+    assert changes.buckets_for(36_000_000) == 9000 and changes.buckets_for(0) == 64
+    start = datetime(2024, 1, 1)
+    rows = [(f"k{i % 50}", start + timedelta(minutes=i), str(i // 50 % 3 // 2), None) for i in range(200)]
+    df = spark.createDataFrame(rows, "row_key string, ts timestamp, content_fingerprint string, expires timestamp")
+    df.drop("expires").write.parquet(str(tmp_path / "in"))
+    seen = spark.readStream.schema(df.drop("expires").schema).parquet(str(tmp_path / "in"))
+    out = changes.change_stream(seen, buckets=3)
+    run = out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    got = {(r[0], r[1]): r[3] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    want = {(k, t): "new" if i < 50 else "updated" if mark != rows[i - 50][2] else "current" for i, (k, t, mark, _) in enumerate(rows)}
+    assert got == want
+    monkeypatch.setattr(lifetimes, "buckets_for", lambda n: 3)
+    now = df.agg(lifetimes.last_watermark(df, timedelta(minutes=5))).first()[0]
+    arrived = df.withColumn("arrived", F.col("ts"))
+    got = lifetimes.replay(arrived, str(tmp_path / "l"), timedelta(minutes=60), timedelta(minutes=5), "arrived", slices=2)
+    want = lifetimes.of_table(df, timedelta(minutes=60), now)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
