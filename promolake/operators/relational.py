@@ -204,9 +204,10 @@ def enrich_codes(rows: DataFrame, cards: DataFrame, key: list[str]) -> DataFrame
 
 def snapshot_of(rows: DataFrame, order: list) -> DataFrame:
     """row_key, content_fingerprint, row; of rows with one key the last."""
-    keyed = rows.select("*", E.row_key().alias("row_key"), E.fingerprint().alias("content_fingerprint"))
-    last = keep_first(keyed, [F.col("row_key")], [F.col(c).desc() for c in order])
-    return last.select("row_key", "content_fingerprint", F.struct(*rows.columns).alias("row"))
+    w = Window.partitionBy("row_key").orderBy(*[F.col(c).desc() for c in order])
+    last = rows.withColumn("row_key", E.row_key()).withColumn("_n", F.row_number().over(w)).filter("_n = 1")
+    # the key is shuffled once, and the fingerprint not at all
+    return last.select("row_key", E.fingerprint().alias("content_fingerprint"), F.struct(*rows.columns).alias("row"))
 
 
 def change_status(rows: DataFrame, previous: DataFrame) -> DataFrame:

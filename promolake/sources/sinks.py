@@ -74,10 +74,10 @@ def preview(tabs: dict[str, DataFrame], most: int = 200) -> dict[str, list[dict]
 
 
 def save_snapshot(snapshot: DataFrame, root: str, version: str) -> None:
-    """A new version of the snapshot under its label; it is there whole or not at all."""
+    """A new version of the snapshot (of snapshot_of, which deals rows by key) under its label; it is there whole or not at all."""
     if any(m.label == version for m in versions.history(snapshot.sparkSession, root)):
         raise ValueError(f"there is a snapshot {version} already")
-    versions.commit(snapshot, root, ["row_key"], whole=True, label=version)
+    versions.commit(snapshot, root, ["row_key"], whole=True, label=version, dealt=True)
 
 
 def ads_csv(ads: DataFrame, path: str) -> None:

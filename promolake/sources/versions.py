@@ -81,21 +81,22 @@ def _publish(spark: SparkSession, root: str, m: Manifest) -> None:
         raise RuntimeError(f"version {m.number} was committed by another writer")
 
 
-def _write(rows: DataFrame, root: str, keys: list[str], number: int) -> str:
+def _write(rows: DataFrame, root: str, keys: list[str], number: int, dealt: bool = False) -> str:
     at = f"data/{number:012d}-{uuid.uuid4().hex}"
     own = rows.withColumns({_COMMIT: F.lit(number), _BUCKET: F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")})
-    own.repartition(_BUCKET, *keys).write.partitionBy(_BUCKET).parquet(f"{root}/{at}")
+    (own if dealt else own.repartition(_BUCKET, *keys)).write.partitionBy(_BUCKET).parquet(f"{root}/{at}")
     return at
 
 
-def commit(rows: DataFrame, root: str, keys: list[str], order: list[str] | None = None, gone=None, whole: bool = False, label: str = "") -> Manifest:
-    """A new version: rows on top of the newest one, or instead of it if `whole`.  gone: a condition under which a row says that its key is gone."""
+def commit(rows: DataFrame, root: str, keys: list[str], order: list[str] | None = None, gone=None, whole: bool = False, label: str = "", dealt: bool = False) -> Manifest:
+    """A new version: rows on top of the newest one, or instead of it if `whole`.  gone: a condition under which a row says that its key is gone.
+    dealt: rows are in partitions by their keys already, as after a window over them, and are written from there without another shuffle."""
     spark = rows.sparkSession
     last = None if whole else next(iter(history(spark, root)), None)
     if last and (last.keys, T.StructType.fromJson(json.loads(last.schema)).simpleString()) != (keys, rows.schema.simpleString()):
         raise ValueError("rows of other keys or columns than the table's")
     number = _next(spark, root)
-    at = _write(rows.withColumn(_GONE, F.coalesce(gone, F.lit(False)) if gone is not None else F.lit(False)), root, keys, number)
+    at = _write(rows.withColumn(_GONE, F.coalesce(gone, F.lit(False)) if gone is not None else F.lit(False)), root, keys, number, dealt)
     m = Manifest(number, label, keys, list(order or []), rows.schema.json(), [*(last.parts if last else []), {"path": at, "kind": "delta" if last else "base"}])
     _publish(spark, root, m)
     return m
