@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from promolake.functions import expressions as E
 from promolake.functions import rules as R
+from promolake.sources.folders import saved
 
 
 def dimension(like: DataFrame, name: str, values: list[str]) -> DataFrame:
@@ -158,36 +159,52 @@ def row_counts(offers: DataFrame, keys: list[str]) -> DataFrame:
     return out.groupBy("x.key", "x.value").agg(F.count("*").alias("n"))
 
 
-def grid(offers: DataFrame, runs: DataFrame, changes: DataFrame, removed: dict[str, DataFrame]) -> DataFrame:
-    """The dashboard tab: metrics, then offers by city, service and competitor, each in its order (section, ord, label, value)."""
-    spark = offers.sparkSession
+def metrics(df: DataFrame, values: list[tuple[int, str, Column]]) -> DataFrame:
+    """Section 0: each value over all rows of df, in one pass."""
+    rows = [F.struct(F.lit(0).alias("section"), F.lit(o).cast("bigint").alias("ord"), F.lit(label).alias("label"), F.coalesce(v, F.lit(0)).cast("string").alias("value")) for o, label, v in values]
+    return df.agg(F.array(*rows).alias("m")).select(F.inline("m"))
+
 
-    def metric(ord_: int, label: str, df: DataFrame, value: Column) -> DataFrame:
-        return df.agg(F.coalesce(value, F.lit(0)).cast("string").alias("value")).select(F.lit(0).alias("section"), F.lit(ord_).cast("bigint").alias("ord"), F.lit(label).alias("label"), "value")
+def grid(offers: DataFrame, runs: DataFrame, changes: DataFrame, removed: dict[str, DataFrame] | Column) -> DataFrame:
+    """The dashboard tab: metrics, then offers by city, service and competitor, each in its order (section, ord, label, value).
 
+    removed: expired and duplicate rows; or today's date, if they are among the offers and are to be counted there.  Offers are read
+    once: rows of equal city, service and competitor are counted together, and beside these those of equal expiry dates and of groups."""
+    spark = offers.sparkSession
+    among = isinstance(removed, Column)
+    keys = {"city": E.text("city"), "service_name": E.text("service_name"), "business_name": E.text("business_name"), "_review": F.coalesce("needs_review", F.lit(False))}
+    if among:
+        keys |= {"_day": F.col("expiry_date"), "_group": E.text("duplicate_group_id")}
+    rows = offers.select(*[c.alias(k) for k, c in keys.items()])
+    sets = [["city", "service_name", "business_name", "_review"], *([["_day"], ["_group", "city"]] if among else [])]
+    counts = rows.groupingSets(sets, *keys).agg(F.grouping("service_name").alias("_no_cell"), F.grouping("_day").alias("_no_day") if among else F.lit(1).alias("_no_day"), F.count("*").alias("n"))
+    cell, day, group = F.col("_no_cell") == 0, F.col("_no_day") == 0, (F.col("_no_cell") == 1) & (F.col("_no_day") == 1)
+    own = [(0, "Total current offers", total(F.when(cell, F.col("n")))), (8, "Needs-review rows", total(F.when(cell & F.col("_review"), F.col("n"))))]
+    if among:
+        own.append((3, "Expired offers removed", total(F.when(day & (E.parse_expiry("_day", removed) < removed), F.col("n")))))
+        own.append((4, "Duplicate rows removed", total(F.when(group & (F.col("_group") != ""), F.col("n") - 1))))
+    # written, as four plans read these sums
+    keep = saved(counts, "grid")
     parts = [
-        metric(0, "Total current offers", offers, F.count("*")),
-        metric(1, "New offers this run", changes, count_if(F.col("change_status") == "new")),
-        metric(2, "Updated offers this run", changes, count_if(F.col("change_status") == "updated")),
-        metric(3, "Expired offers removed", removed["expired"], F.count("*")),
-        metric(4, "Duplicate rows removed", removed["duplicate"], F.count("*")),
-        metric(5, "Competitors run", runs, F.count("*")),
-        metric(6, "Successful scrapers", runs, count_if(F.col("status") == "success")),
-        metric(7, "Failed scrapers", runs, count_if(F.col("status").isin("failed", "parse_failed"))),
-        metric(8, "Needs-review rows", offers, count_if(F.coalesce("needs_review", F.lit(False)))),
+        metrics(keep, own),
+        metrics(changes, [(1, "New offers this run", count_if(F.col("change_status") == "new")), (2, "Updated offers this run", count_if(F.col("change_status") == "updated"))]),
+        metrics(runs, [(5, "Competitors run", F.count("*")), (6, "Successful scrapers", count_if(F.col("status") == "success")), (7, "Failed scrapers", count_if(F.col("status").isin("failed", "parse_failed")))]),
     ]
+    if not among:
+        parts += [metrics(removed["expired"], [(3, "Expired offers removed", F.count("*"))]), metrics(removed["duplicate"], [(4, "Duplicate rows removed", F.count("*"))])]
     # sections have a row a city, service or competitor
     def section(k: int, key: str, rows: DataFrame, order: list[Column]) -> DataFrame:
         ranked = rows.withColumn("ord", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order)).cast("bigint"))
         return ranked.select(F.lit(k).alias("section"), "ord", F.col(key).alias("label"), F.col("n").cast("string").alias("value"))
 
-    by_city = offers.groupBy(E.text("city").alias("city")).agg(F.count("*").alias("n"))
+    cells = keep.filter(cell)
+    by_city = cells.groupBy("city").agg(F.sum("n").alias("n"))
     dim = spark.createDataFrame([(c,) for c in R.TARGET_CITIES], "city string")
     cities = F.broadcast(dim).join(by_city, "city", "full").filter("city <> ''").na.fill(0, ["n"])
     place = F.array_position(E.literals(R.TARGET_CITIES), F.col("city"))
     parts.append(section(1, "city", cities, [F.when(place > 0, place).otherwise(99), F.col("city")]))
     for k, key in ((2, "service_name"), (3, "business_name")):
-        n = offers.groupBy(E.text(key).alias(key)).agg(F.count("*").alias("n")).filter(F.col(key) != "")
+        n = cells.groupBy(key).agg(F.sum("n").alias("n")).filter(F.col(key) != "")
         parts.append(section(k, key, n, [F.col("n").desc(), F.col(key)]))
     out = parts[0]
     for p in parts[1:]:

@@ -397,7 +397,7 @@ UNION ALL SELECT 3, row_number() OVER (ORDER BY count(*) DESC, business_name), b
 def q_dashboard_grid(spark, d):
     o = V.offers(spark, d)
     now, previous = _split(spark, d)
-    return A.grid(o, runs_of(spark, d), J.change_status(now, previous), {"expired": J.split_expired(o, today()).filter("expired"), "duplicate": J.final_dedupe(o, V.ORDER)[1]})
+    return A.grid(o, runs_of(spark, d), J.change_status(now, previous), today())
 
 
 @query(f"SELECT CAST(count(*) AS BIGINT) AS runs, count(*) FILTER (status = 'success') AS successful, count(*) FILTER (status IN ('failed', 'parse_failed')) AS failed, CAST(sum(rows_generated) AS BIGINT) AS rows_generated, CAST(sum(needs_review_count) AS BIGINT) AS needs_review, max(scraped_at) AS last_scraped FROM {_RUNS}", offers=False)

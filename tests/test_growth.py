@@ -88,3 +88,36 @@ def test_snapshot_is_shuffled_once(spark, tmp_path):
     finally:
         versions.DataFrame.repartition = wide
     assert versions.history(spark, str(tmp_path / "s"))[0].label == "b"
+
+
+def test_grid_reads_offers_once(spark):
+    """The sums of the grid come from one reading of the offers; two more are the two runs that are compared."""
+    from promolake.plans.registry import QUERIES
+
+    out = QUERIES["q_dashboard_grid"](spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey") and sum("l_orderkey" in line and "Relation" in line for line in plan.splitlines()) == 2
+
+
+def test_grid_counts_expired_and_duplicates(spark):
+    """Among the offers as in tables of their own, without offers too."""
+    from pyspark.sql import functions as F
+
+    from promolake.operators import analytics as A
+    from promolake.operators import relational as J
+
+    schema = "k int, city string, service_name string, business_name string, needs_review boolean, expiry_date string, duplicate_group_id string"
+    rows = [
+        (1, "Calgary", "a", "x", True, "2020-01-01", "g"), (2, "Calgary", "a", "y", None, "2030-01-01", "g"), (3, None, None, "x", False, None, "g"), (4, "", "", "", False, "soon", "g"),
+        (5, "Banff", "b", None, True, "2019-05-05", None), (6, "Banff", "b", "x", False, None, ""), (7, "Banff", "b", "x", False, "2020-01-01", "h"),
+    ]
+    day = F.lit("2024-01-01").cast("date")
+    runs = spark.createDataFrame([("x", "success"), ("y", "failed")], "competitor string, status string")
+    for some in (rows, []):
+        o = spark.createDataFrame(some, schema)
+        changes = o.withColumn("change_status", F.when(F.col("k") < 3, "new").otherwise("updated"))
+        apart = {"expired": J.split_expired(o, day).filter("expired"), "duplicate": J.final_dedupe(o, ["k"])[1]}
+        got, want = ({tuple(r) for r in A.grid(o, runs, changes, x).collect()} for x in (day, apart))
+        assert got == want
+        value = {label: v for s, _, label, v in got if s == 0}
+        assert len(value) == 9 and [value[x] for x in ("Total current offers", "Expired offers removed", "Duplicate rows removed", "Needs-review rows")] == (["7", "3", "2", "2"] if some else ["0"] * 4)
