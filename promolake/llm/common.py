@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import ctypes
 import tempfile
 import uuid
@@ -50,6 +51,23 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+@contextlib.contextmanager
+def shuffles_deleted(spark: SparkSession):
+    """Within it, the shuffle files of a query go as soon as the query ends, not when the driver happens to collect garbage.
+
+    For steps whose results stand in tables; a result that is read lazily should be built outside."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 class Shelf:
     """Tables that one run of an operator writes to the shared folder.
 

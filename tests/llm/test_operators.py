@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -544,6 +546,46 @@ def test_suffix_tree_parts(spark, corpus, monkeypatch):
     assert len(rows) < n < len(rows) + 40 * 200 // 3
 
 
+def test_suffix_tree_disk(spark, corpus, monkeypatch):
+    """What is on disk when the steps are done: no shuffle files, and of the tables only those that the result reads."""
+
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(k).getName() for k in range(files.size())) if n.startswith("shuffle_")}
+
+    made, plain = [], suffix_tree.Shelf.put
+    monkeypatch.setattr(suffix_tree.Shelf, "put", lambda self, df, name: made.append((name, plain(self, df, name))) or made[-1][1])
+    before, settings = shuffles(), dict(spark.conf.getAll)
+    out = suffix_tree.score(spark, make(spark, corpus), 60, 1 << 20, 10, least=12, gain=6.0)
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:  # files are deleted in the background
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert {n for n, t in made if os.path.exists(t._shelf_path.removeprefix("file://"))} == {"words", "symbols", "more", "tried"}
+    assert {k: v for k, v in spark.conf.getAll.items() if "maxBytesPerBatch" not in k} == {k: v for k, v in settings.items() if "maxBytesPerBatch" not in k}
+    assert out.count() == len(corpus) == len(out.collect())
+
+
+def test_suffix_tree_small_numbers():
+    """Symbols are numbered by falling counts."""
+    n = np.array([70, 900, 3, 70, 500])
+    v = suffix_tree.Vocabulary(0, np.arange(5, dtype=np.uint64), n, 9, {}, np.zeros(5, np.int64), 64, 0.1)
+    assert v.symbol.tolist() == [2, 0, -1, 3, 1] and v.times[: v.size].tolist() == [900, 500, 70, 70]
+    assert np.allclose(v.root[:4] * (v.total + 0.1 * v.symbols) - 0.1, [900, 500, 70, 70])
+
+
+def test_suffix_tree_bloom(spark):
+    """Every key is found, hardly any other, and keys leave the tasks as few rows of about three bytes a key."""
+    rng = np.random.default_rng(3)
+    c, following = rng.integers(-(1 << 63), 1 << 63, 40_000), rng.integers(0, 5000, 40_000)
+    grams = spark.createDataFrame([(int(a), int(b)) for a, b in zip(c, following, strict=True)], "c bigint, next int").coalesce(1)
+    bloom = suffix_tree.Bloom(grams)
+    assert bloom.may_have(suffix_tree.gram_key(c.view(np.uint64), following)).all()
+    assert bloom.may_have(suffix_tree.gram_key(c.view(np.uint64), following + 5000)).mean() < 0.001
+    keys = suffix_tree.gram_key(c.view(np.uint64), following) >> np.uint64(24)
+    assert len(suffix_tree.rising(np.sort(keys).astype(np.int64))) < 5 * len(keys)
+
+
 def test_suffix_tree_edges(spark, corpus):
     out = suffix_tree.score(spark, make(spark, corpus)).collect()
     assert len(out) == len(corpus) and all(r.score <= 0 and math.isfinite(r.score) for r in out)
