@@ -29,12 +29,14 @@ from .common import BROADCAST_ROWS, Rows, Shelf, small_enough
 WINDOW, LEAST_LITERALS, SHARE, SLACK = 8, 4, 0.5, 3
 # Units that count as such after a number.
 UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "lb", "lbs", "oz", "l", "ml", "s", "sec", "min", "h", "hr", "hrs", "hours", "minutes", "seconds", "days", "weeks", "years", "miles", "mile", "feet", "ft", "inches", "inch", "meters", "metres", "km/h", "mph", "dollars", "euros", "cents", "usd", "eur", "percent", "%")
-_NUMBER = r"(?=[$€£+\-0-9])(?<![^\s(\[$€£+\-])[$€£]?[+\-]?[0-9]+(?:[.,:/][0-9]+)*%?"
+# Groups repeat without giving back (*+): nothing after them could ask for it, and otherwise each turn takes some of the thread's stack, which
+# a text of some thousand capitalised words, or a number of as many parts, uses up.
+_NUMBER = r"(?=[$€£+\-0-9])(?<![^\s(\[$€£+\-])[$€£]?[+\-]?[0-9]+(?:[.,:/][0-9]+)*+%?"
 _SPACE = r"[\x20\x09-\x0D]+"
 #: Stands between the words of one name, and keeps them one word.
 _TIE = "⁀"
 _RUN = r"(\p{Lu}(?<![\p{L}\p{N}].)\p{Ll}+) (?=\p{Lu}\p{Ll})"
-_NAME = rf"\p{{Lu}}(?<![\p{{L}}\p{{N}}{_TIE}].)\p{{Ll}}+(?:{_TIE}\p{{Lu}}\p{{Ll}}+)*"  # the capital first, as few characters are one
+_NAME = rf"\p{{Lu}}(?<![\p{{L}}\p{{N}}{_TIE}].)\p{{Ll}}+(?:{_TIE}\p{{Lu}}\p{{Ll}}+)*+"  # the capital first, as few characters are one
 NUM, UNIT, NAME = "⟨num⟩", "⟨unit⟩", "⟨name⟩"
 _UNIT = f"(?i)(?<={NUM} )(?:" + "|".join(u.replace("/", r"\/") for u in sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{N}])"
 

@@ -186,6 +186,19 @@ def test_templates(spark):
         assert r.z == _plain_template(r.text.lower(), False)[0], r.text
 
 
+def test_long_runs(spark):
+    """A name of thousands of words and a number of thousands of parts: the patterns take no stack for each of them."""
+    item = "Maria bought 12 red apples and 7 green pears, then gave 12 apples to Jonas for 3 kg of rice today"
+    name, number = "Abc Éf " * 10_000, ",".join(str(i) for i in range(20_000))
+    docs = [(1, name), (2, f"{number} {item}"), (3, f"{name}then {item}"), (4, number)]
+    found = decontamination.contaminated(spark, make(spark, docs), spark.createDataFrame([(5, item)], "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(d, 5) for d, t in docs if _plain_held(t, item)} == {(2, 5), (3, 5)}
+    from pyspark.sql import functions as F
+
+    for r in make(spark, docs).select("text", decontamination.template(F.col("text")).alias("x"), decontamination.plain(F.col("text")).alias("y")).collect():
+        assert (r.x, r.y) == _plain_template(r.text)
+
+
 # --- 2: SentencePiece ------------------------------------------------------------------------------------------
 
 
