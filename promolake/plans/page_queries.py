@@ -145,7 +145,7 @@ _SIGN = r"(?i)(?:\bcoupons?\b|\brebates?\b|\bsave\b|\boff\b|\bdiscount\b|\bfree\
 who AS (SELECT page_id, pre FROM near UNION SELECT page_id, pre FROM every_ e WHERE tag IN ('article', 'section', 'li', 'div') AND regexp_matches({_attr('class')} || ' ' || {_attr('id')}, '(?i)(coupon|offer|promo|deal|rebate|special|discount)')),
 cand AS MATERIALIZED (SELECT w.page_id, w.pre, e.text AS line, l.text FROM who w JOIN every_ e USING (page_id, pre) JOIN lined l USING (page_id, pre)),
 leaf AS (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM cand o WHERE o.page_id = c.page_id AND length(o.line) < length(c.line) AND length(o.line) >= 40 AND contains(c.line, o.line))),
-good AS (SELECT page_id, pre, text, row_number() OVER (PARTITION BY page_id, substr(text, 1, 500) ORDER BY pre) AS n FROM leaf WHERE length(text) BETWEEN 25 AND 4000 AND regexp_matches(text, '{_SIGN}')
+good AS (SELECT page_id, pre, text, row_number() OVER (PARTITION BY page_id, text ORDER BY pre) AS n FROM leaf WHERE length(text) BETWEEN 25 AND 4000 AND regexp_matches(text, '{_SIGN}')
  AND string_split(text, chr(10))[1] <> '' AND lower(string_split(text, chr(10))[1]) NOT IN ('home', 'about', 'services', 'offers', 'coupons', 'locations', 'contact', 'menu', 'terms', 'oil change'))
 SELECT page_id, pre, text FROM good WHERE n = 1""", offers=False,
 )
