@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,10 @@ from promolake.functions import sites as S
 from promolake.operators import neardup as N
 from promolake.operators import relational as J
 from promolake.operators import texts as X
+from promolake.sources.folders import saved
+
+#: Offers of one kind that meet others in one task.
+PART_OFFERS = 2000
 
 
 def sentence_offers(texts: DataFrame, key: str, column: str = "text") -> DataFrame:
@@ -91,22 +97,38 @@ def similar(a: str, b: str) -> Column:
 def similar_pairs(offers: DataFrame, group: str, key: str) -> DataFrame:
     """Pairs a, b (a before b) of keys of one group whose offers are one, each once.
 
-    Likeness asks for an equal title with an equal code or discount, or for both of these equal with words in common: so pairs come from three joins
-    on these, which take no pair twice, and not from all pairs of a group."""
+    Offers of equal code, discount and title are of one kind, and likeness is a matter of kinds.  It asks for an equal title with an equal code or
+    discount, or for both of these equal with words in common: so pairs of kinds come from three joins on these, which take no pair twice, and not
+    from all pairs of a group.  Then the offers of like kinds, and those of a kind that is like itself, meet part by part: what is asked
+    of texts is asked once a pair of kinds, and no task holds more than two parts."""
+    said = ["coupon_code", "discount_value", "normalized_title"]
+    rows = offers.select(F.col(group).alias("g"), F.col(key).alias("key"), *said).filter("g is not null and key is not null")
+    kinds = rows.groupBy("g", *said).agg(F.count("*").alias("n")).select("*", F.ceil(F.col("n") / PART_OFFERS).cast("int").alias("parts"), F.monotonically_increasing_id().alias("kind"))
+    kinds = saved(kinds, "kinds")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in said], F.col("g") == F.col("k_g"))
+    members = rows.join(kinds.select(*[F.col(c).alias(f"k_{c}") for c in ("g", *said)], "kind", "parts"), same)
+    members = saved(members.select("kind", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), "key"), "members")
     filled = lambda c: F.coalesce(F.col(c), F.lit(""))
-    own = offers.select(F.col(group).alias("g"), F.col(key).alias("key"), "coupon_code", "discount_value", "normalized_title", filled("coupon_code").alias("c"), filled("discount_value").alias("d"), E.text("normalized_title").alias("t"))
+    own = kinds.select("g", "kind", "parts", *said, filled("coupon_code").alias("c"), filled("discount_value").alias("d"), E.text("normalized_title").alias("t"))
     own = own.withColumn("w", F.array_distinct(E.words(F.lower("t"))))
 
     def met(rows: DataFrame, *on: str) -> DataFrame:
         side = lambda p: rows.select(*on, *[F.col(c).alias(f"{p}_{c}") for c in rows.columns if c not in on[:1]])
-        return side("a").join(side("b"), list(on)).filter("a_key < b_key")
+        return side("a").join(side("b"), list(on)).filter("a_kind < b_kind")
 
     titled = own.filter("t <> ''")
     by_code = met(titled.drop("w"), "g", "t", "c")
     by_discount = met(titled.drop("w"), "g", "t", "d").filter("a_c <> b_c")
     worded = met(own.filter("c <> ''").withColumn("word", F.explode("w")), "g", "c", "d", "word").filter((F.col("a_t") != F.col("b_t")) & (F.col("word") == F.array_min(F.array_intersect("a_w", "b_w"))))
-    found = [df.filter(similar("a_", "b_")).select(F.col("a_key").alias("a"), F.col("b_key").alias("b")) for df in (by_code, by_discount, worded)]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    itself = kinds.filter("n > 1").select(*[F.col(c).alias(f"{p}_{c}") for p in "ab" for c in ("kind", "parts", *said)])
+    like = [df.filter(similar("a_", "b_")).select(F.col("a_kind").alias("x"), F.col("b_kind").alias("y"), F.col("a_parts").alias("x_parts"), F.col("b_parts").alias("y_parts")) for df in (by_code, by_discount, worded, itself)]
+    like = saved(reduce(DataFrame.unionByName, like), "like")
+    cells = like.withColumn("x_part", F.explode(F.sequence(F.lit(0), F.col("x_parts") - 1))).withColumn("y_part", F.explode(F.sequence(F.lit(0), F.col("y_parts") - 1)))
+    cells = cells.filter("x <> y or x_part <= y_part").select("x", "x_part", "y", "y_part")
+    side = lambda c: cells.join(members.select(F.col("kind").alias(c), F.col("part").alias(f"{c}_part"), F.col("key").alias(f"{c}_key")), [c, f"{c}_part"])
+    both = side("x").join(side("y"), ["x", "x_part", "y", "y_part"])
+    both = both.filter(((F.col("x") == F.col("y")) & (F.col("x_part") == F.col("y_part")) & (F.col("x_key") < F.col("y_key"))) | (((F.col("x") != F.col("y")) | (F.col("x_part") < F.col("y_part"))) & (F.col("x_key") != F.col("y_key"))))
+    return both.select(F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b"))
 
 
 def greedy_alike(rows: DataFrame, group: str, order: list[str]) -> DataFrame:

@@ -87,3 +87,15 @@ def test_similar_pairs(spark):
     assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, want)) and len(want) > 20
     plan = pairs._jdf.queryExecution().optimizedPlan().toString()
     assert all("t#" in j or "word#" in j for j in plan.splitlines() if "Join Inner" in j)
+
+
+def test_similar_kinds(spark, monkeypatch):
+    """Many equal offers: all their pairs, from parts, while likeness is asked of kinds only."""
+    monkeypatch.setattr(O, "PART_OFFERS", 3)
+    said = [("A", "$10", "oil deal"), ("A", "$10", "deal oil"), (None, "$5", "tire"), (None, None, ""), ("B", None, "oil deal")]
+    df = spark.createDataFrame([("g" if k % 3 else "h", k, *said[k % 5]) for k in range(70)] + [(None, 99, *said[0]), ("g", 1, *said[1])], "g string, k int, coupon_code string, discount_value string, normalized_title string")
+    side = lambda p: df.select("g", *[F.col(c).alias(f"{p}{c}") for c in df.columns if c != "g"])
+    want = side("a_").join(side("b_"), "g").filter("a_k < b_k").filter(O.similar("a_", "b_")).select("a_k", "b_k").collect()
+    pairs = O.similar_pairs(df, "g", "k")
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, want)) and len(want) > 200
+    assert "normalized_title" not in pairs._jdf.queryExecution().optimizedPlan().toString()
