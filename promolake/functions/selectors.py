@@ -37,6 +37,8 @@ SECTION_DISCOUNT = r"(?i)\$(\d+)|(\d+)\s*%|free|bonus"
 SECTION_CODE = r"[A-Z0-9]{4,}"
 SECTION_EXPIRY = r"(?i)(?:expires?|valid|until)"
 SECTION_SERVICE = r"(?i)(?:oil change|synthetic|pennzoil|service|miles)"
+#: The words of SECTION_SERVICE, in lower case.
+SECTION_SERVICES = ["oil change", "synthetic", "pennzoil", "service", "miles"]
 SECTION_SERVICE_NARROW = r"(?i)(?:oil change|synthetic|pennzoil|service)"
 SECTION_BONUS = r"(?i)(?:bonus|miles|rewards?|points)"
 SECTION_TERMS = ["cannot be combined", "terms and conditions", "one coupon per visit", "valid at participating"]
