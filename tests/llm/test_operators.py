@@ -199,6 +199,16 @@ def test_long_runs(spark):
         assert (r.x, r.y) == _plain_template(r.text)
 
 
+def test_long_runs_in_the_pipeline(spark):
+    """The pipeline's fourth stage over texts of that kind."""
+    import corpus_pipeline
+
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").filter("item_id = 0").first().text
+    name = "Abc Éf " * 10_000
+    left = corpus_pipeline.drop_benchmark(spark, make(spark, [(1, name), (2, f"{name}then {item}"), (3, "plain")]), SF)
+    assert {r.doc_id for r in left.collect()} == {1, 3}
+
+
 # --- 2: SentencePiece ------------------------------------------------------------------------------------------
 
 
